@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import mixture, packing, simhash
 from ._shared import tables
 
 
@@ -12,5 +13,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(tables(spark, sf_dir, "documents"), width=4, radius=4)
 
 
-QUERIES = {"op1_simhash": op1_simhash}
+def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixture.mix(tables(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(tables(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_mixture": op2_mixture, "op3_packing": op3_packing}
 ORACLE_SQL: dict[str, str] = {}
