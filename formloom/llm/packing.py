@@ -25,36 +25,49 @@ BINS = 256
 #: Pieces of a partition: what stays open at its end is little against this many.
 PIECES = 1 << 15
 #: Distinct chunks that a worker remembers, and the longest of them in bytes.
-CHUNKS, LONGEST = 200_000, 64
+CHUNKS, LONGEST = 500_000, 48
+#: Lower-case letters below this are single precomposed letters: the tokenizer's normalisation leaves them as they are.
+PLAIN = "\u0250"
 
 
-class ChunkTokenizer:
-    """Ids of texts by a public tokenizer, as little-endian 32-bit numbers."""
+class ChunkTokenizer(dict):
+    """Ids of white-space chunks by the word-end BPE, as little-endian 32-bit numbers; looks up what it has met."""
 
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def encode(self, chunks: list[bytes]) -> list[bytes]:
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        # The byte alphabet: bytes that print stand for themselves, the others for letters from U+0100 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = iter(range(256, 512))
+        self.alphabet = {b: b if b in shown else next(hidden) for b in range(256)}
+        assert set(map(chr, self.alphabet.values())) == set(pre_tokenizers.ByteLevel.alphabet())
+
+    def __missing__(self, chunk: bytes) -> bytes:
         import array
 
-        texts = [c.decode("utf-8", "replace") for c in chunks]
-        return [array.array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        text = chunk.decode("utf-8", "replace")
+        word = text[:-1] if len(chunk) > 1 and chunk[-1] in b".," else text
+        low = word.lower()
+        if low.isalpha() and max(low) < PLAIN:  # one run of letters: it goes to the merges as it is
+            ids = array.array("I", [t.id for t in self.model.tokenize(low.encode().decode("latin-1").translate(self.alphabet))]).tobytes()
+            if word is not text:
+                ids += self[chunk[-1:]]
+        else:
+            ids = array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if len(chunk) <= LONGEST:
+            self[chunk] = ids
+        return ids
 
     def ids(self, text: bytes) -> bytes:
-        words, known = text.split(), self.known
-        if len(known) > CHUNKS:
-            known.clear()
-        new = [w for w in set(words) if w not in known]
-        found = dict(zip(new, self.encode(new)))
-        for w, x in found.items():
-            if len(w) <= LONGEST and len(known) < 2 * CHUNKS:
-                known[w] = x
-        return b"".join([x if (x := known.get(w)) is not None else found[w] for w in words])
+        if len(self) > CHUNKS:
+            self.clear()
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 def pieces(df: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
