@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K, SKETCHES, TUPLE, KEPT = 12, 64, 2, 10
+#: A key has 6 bits for its sketch; tuples are pairs.
+K, SKETCHES, TUPLE, KEPT, WIDER = 12, 64, 2, 10, 6
 ORDER = 1 << 27
 #: Documents of a range of ids, and the most ranges.
 RANGE, RANGES = 500, 1 << 16
@@ -64,12 +65,15 @@ def signature(df: DataFrame, text_col: str, out: str) -> DataFrame:
     cut = f"cast(if(_n <= {SKETCHES * KEPT}, {ORDER}, {ORDER}D * {SKETCHES * KEPT} / _n) as bigint)"
     df = df.withColumn("_cut", F.expr(cut)).withColumn("_few", F.expr(_kept("_points", "_n", "_cut")))
     full = SKETCHES * TUPLE
-    df = df.withColumn("_all", F.expr(f"if(size(_few) = {full} or _cut >= {ORDER}, _few, {_kept('_points', '_n', f'{ORDER}L')})"))
+    # Texts that repeat themselves have few distinct k-mers: first a higher limit, then none.
+    for was, now, limit in (("_few", "_more", f"least(_cut * {WIDER}, {ORDER}L)"), ("_more", "_all", f"{ORDER}L")):
+        redo = _let("d", limit, _kept("_points", "_n", "d"))
+        df = df.withColumn(now, F.expr(f"if(size({was}) = {full} or _cut >= {ORDER}, {was}, {redo})"))
     own = _let("q", "filter(a, x -> shiftright(x, 57) = b)",
                f"case size(q) when 0 then 0L when 1 then shiftrightunsigned(xxhash64(shiftright(q[0], 29)), 32) | 1 else {_pair('q[0]', 'q[1]')} end")
     sketches = f"sequence(0, {SKETCHES - 1})"
     made = f"if(size(a) = {full}, transform({sketches}, b -> {_pair('a[2 * b]', 'a[2 * b + 1]')}), transform({sketches}, b -> {own}))"
-    return df.withColumn(out, F.expr(_let("a", "_all", made))).drop("_points", "_n", "_cut", "_few", "_all")
+    return df.withColumn(out, F.expr(_let("a", "_all", made))).drop("_points", "_n", "_cut", "_few", "_more", "_all")
 
 
 def text_form(signature_col: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixture, packing, simhash
+from . import mixture, order_minhash, packing, simhash
 from ._shared import tables
 
 
@@ -22,5 +22,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(tables(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_mixture": op2_mixture, "op3_packing": op3_packing}
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compared(tables(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_mixture": op2_mixture,
+    "op3_packing": op3_packing,
+    "op9_order_minhash": op9_order_minhash,
+}
 ORACLE_SQL: dict[str, str] = {}
