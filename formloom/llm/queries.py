@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixture, order_minhash, packing, simhash
+from . import langid, mixture, order_minhash, packing, simhash
 from ._shared import tables
 
 
@@ -26,10 +26,17 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.compared(tables(spark, sf_dir, "documents"))
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables(spark, sf_dir, "documents").select("doc_id", "text", "lang", langid.held_out().alias("held_out"))
+    prototypes = langid.learn(docs.where("not held_out"))
+    return langid.predict(docs, prototypes, keep=("doc_id", "held_out"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_mixture": op2_mixture,
     "op3_packing": op3_packing,
     "op9_order_minhash": op9_order_minhash,
+    "op10_langid": op10_langid,
 }
 ORACLE_SQL: dict[str, str] = {}
