@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixture, order_minhash, packing, pii, simhash
+from . import ann, langid, mixture, order_minhash, packing, pii, simhash
 from ._shared import tables
 
 
@@ -26,6 +26,10 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.compared(tables(spark, sf_dir, "documents"))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(tables(spark, sf_dir, "embeddings"), "vec_id", "embedding", lambda i: i % 20 == 0)
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace(tables(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
 
@@ -40,6 +44,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_mixture": op2_mixture,
     "op3_packing": op3_packing,
+    "op6_ann": op6_ann,
     "op7_pii": op7_pii,
     "op9_order_minhash": op9_order_minhash,
     "op10_langid": op10_langid,
