@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, mixture, order_minhash, packing, pii, simhash
+from . import ann, langid, lm, mixture, order_minhash, packing, pii, simhash
 from ._shared import tables
 
 
@@ -34,6 +34,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace(tables(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
 
 
+def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(tables(spark, sf_dir, "documents"))
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables(spark, sf_dir, "documents").select("doc_id", "text", "lang", langid.held_out().alias("held_out"))
     prototypes = langid.learn(docs.where("not held_out"))
@@ -46,6 +50,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op6_ann": op6_ann,
     "op7_pii": op7_pii,
+    "op8_lm": op8_lm,
     "op9_order_minhash": op9_order_minhash,
     "op10_langid": op10_langid,
 }
