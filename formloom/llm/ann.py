@@ -76,47 +76,76 @@ class Index:
         return far.argmin(1)[:, None] if n == 1 else np.argsort(far, axis=1, kind="stable")[:, :n]
 
 
-def scan(index: Index, q, q_ids, x, x_ids, k: int):
-    """Best candidates of each query in one list: (query row, candidate row, score). q, x: vectors as given."""
-    import numpy as np
+class Scan:
+    """The best candidates so far of a group of queries."""
+
+    def __init__(self, index: Index, q, q_ids, x, x_ids, k: int):
+        import numpy as np
+
+        self.q64, self.x64, self.q_ids, self.x_ids, self.k = q.astype(np.float64), x.astype(np.float64), q_ids, x_ids, k
+        self.qp, self.xp = index.place(q, query=True), index.place(x)
+        self.dims = self.qp.shape[1]
+        self.base = (self.q64 * self.q64).sum(1) + index.largest**2
+        self.top_s, self.top_i = np.full((len(q), k), -np.inf), np.full((len(q), k), -1, np.int64)
+        edges = [*range(0, self.dims, BLOCK), self.dims]
+        self.blocks = list(zip(edges, edges[1:]))
+        squares = lambda m: np.stack([(m[:, lo:hi] ** 2).sum(1) for lo, hi in self.blocks])
+        self.q2, self.x2 = squares(self.qp), squares(self.xp)
+
+    def visit(self, ask, have) -> None:
+        """Scans the candidates `have`, a list, for the queries `ask`."""
+        at, step = 0, 4 * self.k
+        while at < len(have):
+            self._strip(ask, have[at : at + step])
+            at, step = at + step, STRIP
+
+    def _strip(self, ask, have) -> None:
+        import numpy as np
 
-    qp, xp = index.place(q, query=True), index.place(x)
-    q64, x64 = q.astype(np.float64), x.astype(np.float64)
-    base = (q64 * q64).sum(1) + index.largest**2
-    dims = qp.shape[1]
-    top_s, top_i = np.full((len(q), k), -np.inf), np.full((len(q), k), -1, np.int64)
-    for at in range(0, len(x), STRIP):
-        own = slice(at, min(len(x), at + STRIP))
-        limit = np.maximum(base - 2 * top_s[:, -1], 0)  # squared distance of the k-th best; infinite before there are k
-        dot = qp[:, :BLOCK] @ xp[own, :BLOCK].T
-        part = (qp[:, :BLOCK] ** 2).sum(1)[:, None] + (xp[own, :BLOCK] ** 2).sum(1)[None] - 2 * dot
-        keep = part * (dims / BLOCK) <= (limit * (1 + EPSILON / BLOCK**0.5) ** 2)[:, None]
-        keep &= q_ids[:, None] != x_ids[own][None]
-        qi, xi = np.nonzero(keep)
-        part, xi = part[qi, xi], xi + at
-        for lo in range(BLOCK, dims, BLOCK):
-            hi = min(dims, lo + BLOCK)
-            diff = qp[qi, lo:hi] - xp[xi, lo:hi]
-            part = part + np.einsum("ij,ij->i", diff, diff)
-            test = limit[qi] * (1 + (EPSILON / hi**0.5 if hi < dims else 1e-3)) ** 2
-            stay = part * (dims / hi) <= test
-            qi, xi, part = qi[stay], xi[stay], part[stay]
-        score = np.empty(len(qi))
+        limit = np.maximum(self.base[ask] - 2 * self.top_s[ask, -1], 0)  # squared distance of the k-th best; infinite before there are k
+        part = np.zeros((len(ask), len(have)), np.float32)
+        pairs, keep = None, self.q_ids[ask][:, None] != self.x_ids[have][None]
+        for b, (lo, hi) in enumerate(self.blocks):
+            slack = 1 + (EPSILON / hi**0.5 if hi < self.dims else 1e-3)
+            test = (limit * slack**2 * (hi / self.dims)).astype(np.float32)
+            if pairs is None:  # while many candidates are left, whole blocks
+                part += self.q2[b][ask][:, None] + self.x2[b][have][None]
+                part -= 2 * (self.qp[ask, lo:hi] @ self.xp[have, lo:hi].T)
+                keep &= part <= test[:, None]
+                if np.count_nonzero(keep) * 16 < keep.size:
+                    pairs = np.nonzero(keep)
+                    part = part[pairs]
+            else:
+                diff = self.qp[ask[pairs[0]], lo:hi] - self.xp[have[pairs[1]], lo:hi]
+                part = part + np.einsum("ij,ij->i", diff, diff)
+                stay = part <= test[pairs[0]]
+                pairs, part = (pairs[0][stay], pairs[1][stay]), part[stay]
+        qi, xi = np.nonzero(keep) if pairs is None else pairs
+        if not len(qi):
+            return
+        qi, xi, score = ask[qi], have[xi], np.empty(len(qi))
         for lo in range(0, len(qi), 1 << 16):  # the same sum for equal vectors
             s = slice(lo, lo + (1 << 16))
-            score[s] = (q64[qi[s]] * x64[xi[s]]).sum(1)
-        if not len(qi):
-            continue
+            score[s] = (self.q64[qi[s]] * self.x64[xi[s]]).sum(1)
+        better = score >= self.top_s[qi, -1]
+        qi, xi, score = qi[better], xi[better], score[better]
         # merge with the best so far: larger scores first, ties to smaller ids
-        old_q, old_c = np.nonzero(top_i >= 0)
-        all_q, all_i, all_s = np.r_[old_q, qi], np.r_[top_i[old_q, old_c], xi], np.r_[top_s[old_q, old_c], score]
-        order = np.lexsort((x_ids[all_i], -all_s, all_q))
+        own = np.unique(qi)
+        old_q, old_c = np.nonzero(self.top_i[own] >= 0)
+        old_q = own[old_q]
+        all_q, all_i, all_s = np.r_[old_q, qi], np.r_[self.top_i[old_q, old_c], xi], np.r_[self.top_s[old_q, old_c], score]
+        order = np.lexsort((self.x_ids[all_i], -all_s, all_q))
         all_q, all_i, all_s = all_q[order], all_i[order], all_s[order]
         rank = np.arange(len(all_q)) - np.searchsorted(all_q, all_q)
-        first = rank < k
-        top_s[all_q[first], rank[first]], top_i[all_q[first], rank[first]] = all_s[first], all_i[first]
-    rows, cols = np.nonzero(top_i >= 0)
-    return rows, top_i[rows, cols], top_s[rows, cols]
+        first = rank < self.k
+        self.top_s[all_q[first], rank[first]], self.top_i[all_q[first], rank[first]] = all_s[first], all_i[first]
+
+    def best(self):
+        """(query row, candidate row, score)."""
+        import numpy as np
+
+        rows, cols = np.nonzero(self.top_i >= 0)
+        return rows, self.top_i[rows, cols], self.top_s[rows, cols]
 
 
 def _vectors(column):
@@ -191,24 +220,17 @@ def search(df: DataFrame, id_col: str, vector_col: str, is_query, k: int = 20) -
         import pyarrow as pa
 
         types = [("query_id", pa.int64()), ("key", pa.int64()), ("id", pa.int64()), ("score", pa.float64())]
-        held = [[], [], []]
-        if left.num_rows and right.num_rows:
-            x, x_ids, own = _vectors(left["v"]), left["id"].to_numpy(), left["list"].to_numpy()
-            q, q_ids, lists = _vectors(right["v"]), right["id"].to_numpy(), right["lists"].to_pylist()
-            for each in np.unique(own):
-                ask = np.flatnonzero([int(each) in set(a) for a in lists])
-                have = np.flatnonzero(own == each)
-                if len(ask):
-                    a, b, s = scan(sent.value, q[ask], q_ids[ask], x[have], x_ids[have], k)
-                    for h, y in zip(held, (ask[a], have[b], s)):
-                        h.append(y)
-        if not held[0]:
+        if not (left.num_rows and right.num_rows):
             return pa.table({n: pa.array([], t) for n, t in types})
-        a, b, s = map(np.concatenate, held)
-        order = np.lexsort((x_ids[b], -s, a))
-        a, b, s = a[order], b[order], s[order]
-        best = np.arange(len(a)) - np.searchsorted(a, a) < k
-        a, b, s = a[best], b[best], s[best]
+        x_ids, own, q_ids = left["id"].to_numpy(), left["list"].to_numpy(), right["id"].to_numpy()
+        lists = right["lists"].combine_chunks()
+        visits = np.zeros((right.num_rows, LISTS[1]), bool)
+        visits[np.repeat(np.arange(right.num_rows), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()] = True
+        scan = Scan(sent.value, _vectors(right["v"]), q_ids, _vectors(left["v"]), x_ids, k)
+        for each in np.unique(own):
+            if len(ask := np.flatnonzero(visits[:, each])):
+                scan.visit(ask, np.flatnonzero(own == each))
+        a, b, s = scan.best()
         key = right["key"].to_numpy()[a]
         return pa.table({n: pa.array(y, t) for (n, t), y in zip(types, (q_ids[a], key, x_ids[b], s))})
 
