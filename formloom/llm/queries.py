@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, lm, mixture, order_minhash, packing, pii, simhash
-from ._shared import tables
+from . import ann, langid, lm, mixture, order_minhash, packing, pii, simhash, token_rollup
+from ._shared import Scratch, tables
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,42 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.compared(tables(spark, sf_dir, "documents"))
 
 
+def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after four batches over all documents: words counted, four-character groups counted, all but the first
+    of equal texts deleted, and words revised where lines repeat, to those of the distinct lines."""
+    docs = tables(spark, sf_dir, "documents")
+    store = token_rollup.Rollup(spark, Scratch(spark, "rollup").root)
+    words = token_rollup.counted(docs, "words", "insert")
+    store.commit("words", words)
+    store.commit("words", words)  # the second time does nothing
+    store.commit("quads", token_rollup.counted(docs, "quads", "insert"))
+    texts = docs.select("doc_id", "source", "lang", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("sum"))
+    firsts = texts.groupBy("sum").agg(F.min("doc_id").alias("first"))
+    again = texts.join(firsts, "sum").where("doc_id > first")
+    none = F.lit(None)
+    store.commit("copies", again.select(F.lit("delete").alias("op"), "doc_id", "source", "lang", none.cast("string").alias("version"), none.alias("tokens"), none.alias("chars")))
+    lines = docs.withColumn("lines", F.split("text", "\n", -1)).withColumn("own", F.array_distinct("lines")).where(F.size("own") < F.size("lines"))
+    store.commit("lines", token_rollup.counted(lines.withColumn("text", F.array_join("own", "\n")), "words", "revise"))
+    return store.totals()
+
+
+TOKEN_ROLLUP_SQL = r"""
+WITH firsts AS (
+  SELECT *, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+  QUALIFY row_number() OVER (PARTITION BY md5(coalesce(text, '')) ORDER BY doc_id) = 1
+), texts AS (
+  SELECT source, lang, 'words' AS version,
+         CASE WHEN len(list_distinct(lines)) < len(lines) THEN array_to_string(list_distinct(lines), chr(10)) ELSE text END AS text FROM firsts
+  UNION ALL SELECT source, lang, 'quads', text FROM firsts
+)
+SELECT source, lang, version, count(*)::BIGINT AS docs,
+       sum(CASE WHEN version = 'words' THEN coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0)
+                ELSE ceil(coalesce(length(text), 0) / 4) END)::BIGINT AS tokens,
+       sum(coalesce(length(text), 0))::BIGINT AS chars
+FROM texts GROUP BY source, lang, version
+"""
+
+
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(tables(spark, sf_dir, "embeddings"), "vec_id", "embedding", lambda i: i % 20 == 0)
 
@@ -48,10 +84,11 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_mixture": op2_mixture,
     "op3_packing": op3_packing,
+    "op5_token_rollup": op5_token_rollup,
     "op6_ann": op6_ann,
     "op7_pii": op7_pii,
     "op8_lm": op8_lm,
     "op9_order_minhash": op9_order_minhash,
     "op10_langid": op10_langid,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_token_rollup": TOKEN_ROLLUP_SQL}
