@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, lm, mixture, order_minhash, packing, pii, simhash, token_rollup
+from . import ann, langid, lm, mixture, order_minhash, packing, pii, quality, simhash, token_rollup
 from ._shared import Scratch, tables
 
 
@@ -26,6 +26,10 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.compared(tables(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels"))
+
+
 def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after four batches over all documents: words counted, four-character groups counted, all but the first
     of equal texts deleted, and words revised where lines repeat, to those of the distinct lines."""
@@ -37,7 +41,7 @@ def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.commit("quads", token_rollup.counted(docs, "quads", "insert"))
     texts = docs.select("doc_id", "source", "lang", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("sum"))
     firsts = texts.groupBy("sum").agg(F.min("doc_id").alias("first"))
-    again = texts.join(firsts, "sum").where("doc_id > first")
+    again = texts.join(firsts.withColumnRenamed("first", "doc_id"), ["sum", "doc_id"], "left_anti")
     none = F.lit(None)
     store.commit("copies", again.select(F.lit("delete").alias("op"), "doc_id", "source", "lang", none.cast("string").alias("version"), none.alias("tokens"), none.alias("chars")))
     lines = docs.withColumn("lines", F.split("text", "\n", -1)).withColumn("own", F.array_distinct("lines")).where(F.size("own") < F.size("lines"))
@@ -55,7 +59,8 @@ WITH firsts AS (
   UNION ALL SELECT source, lang, 'quads', text FROM firsts
 )
 SELECT source, lang, version, count(*)::BIGINT AS docs,
-       sum(CASE WHEN version = 'words' THEN coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0)
+       sum(CASE WHEN version = 'words' THEN coalesce(len(regexp_extract_all(text, '[^ 	-
+]+')), 0)
                 ELSE ceil(coalesce(length(text), 0) / 4) END)::BIGINT AS tokens,
        sum(coalesce(length(text), 0))::BIGINT AS chars
 FROM texts GROUP BY source, lang, version
@@ -84,6 +89,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_mixture": op2_mixture,
     "op3_packing": op3_packing,
+    "op4_quality": op4_quality,
     "op5_token_rollup": op5_token_rollup,
     "op6_ann": op6_ann,
     "op7_pii": op7_pii,
