@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ._shared import Scratch
 
-LABELLED, TRAINED = 8192, 16384
+LABELLED, TRAINED = 8192, 8192
 BITS, EPOCHS, L2 = 22, 80, 1e-5
 #: Lexicon entries: documents of the sample they are in at least, and the share of those that is toxic.
 SUPPORT, PRECISION = 5, 0.9
@@ -124,23 +124,34 @@ def marks(vocab: set[bytes], lexicon: dict[bytes, int]) -> int:
 
 
 def lexicon_of(documents) -> dict[bytes, int]:
-    """Words and beginnings that mark toxic documents, with what one counts for. documents: (toxic, words, sketch); near copies count once."""
-    toxic, total, met = {}, {}, {}
-    for n, (bad, words, sketched) in enumerate(documents):
+    """Words and beginnings that mark toxic documents, with what one counts for; near copies count once. documents() gives
+    (toxic, words, sketch) and is gone through thrice, so that only what toxic documents have often is counted elsewhere."""
+    met: dict = {}
+    again = set()
+    for n, (_, _, sketched) in enumerate(documents()):
         shared: dict[int, int] = {}
         for key in enumerate(sketched):
             for other in met.get(key, ()):
                 shared[other] = shared.get(other, 0) + 1
         if max(shared.values(), default=0) >= ALIKE[0]:
-            continue
-        for key in enumerate(sketched):
-            met.setdefault(key, []).append(n)
-        for f in {f for w in words for f in forms(w)}:
-            total[f] = total.get(f, 0) + 1
-            if bad:
+            again.add(n)
+        else:
+            for key in enumerate(sketched):
+                met.setdefault(key, []).append(n)
+    del met
+    toxic: dict[bytes, int] = {}
+    for n, (bad, words, _) in enumerate(documents()):
+        if bad and n not in again:
+            for f in {f for w in words for f in forms(w)}:
                 toxic[f] = toxic.get(f, 0) + 1
+    toxic = {f: n for f, n in toxic.items() if n >= SUPPORT}
+    total = dict.fromkeys(toxic, 0)
+    for n, (_, words, _) in enumerate(documents()):
+        if n not in again:
+            for f in {f for w in words for f in forms(w) if f in total}:
+                total[f] += 1
     enough = lambda f, n: n >= ENOUGH_SUPPORT and n >= ENOUGH_PRECISION * total[f]
-    return {f: 2 if enough(f, n) else 1 for f, n in toxic.items() if n >= SUPPORT and n >= PRECISION * total[f]}
+    return {f: 2 if enough(f, n) else 1 for f, n in toxic.items() if n >= PRECISION * total[f]}
 
 
 class Hashing(dict):
@@ -165,19 +176,19 @@ def share_places(text: bytes, vocab: set[bytes], lexicon: dict[bytes, int]) -> l
     return [xxh64_intdigest(f"s:{k}:{v}".encode(), 7) >> (64 - BITS) for k, v in own.items()]
 
 
-def train(starts, places, values, target):
-    """Weights and bias of a logistic scorer, by full-batch steps scaled per feature. starts: where documents begin in places."""
+def train(docs, places, values, target):
+    """Weights and bias of a logistic scorer, by full-batch steps scaled per feature. docs, places, values: one entry a feature."""
     import numpy as np
 
     used, idx = np.unique(places, return_inverse=True)
+    idx = idx.astype(np.int32)
     w, b = np.zeros(len(used)), 0.0
     sq, sqb = np.full(len(used), 1e-8), 1e-8
-    doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     weight = 1.0 / max(1, len(target))
     for _ in range(EPOCHS):
-        z = np.bincount(doc, w[idx] * values, minlength=len(target)) + b
+        z = np.bincount(docs, w[idx] * values, minlength=len(target)) + b
         err = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - target) * weight
-        g = np.bincount(idx, err[doc] * values, minlength=len(used)) + L2 * w
+        g = np.bincount(idx, err[docs] * values, minlength=len(used)) + L2 * w
         sq, sqb = sq + g * g, sqb + err.sum() ** 2
         w, b = w - 0.2 * g / np.sqrt(sq), b - 0.2 * err.sum() / sqb**0.5
     full = np.zeros(1 << BITS, np.float32)
@@ -190,8 +201,9 @@ def _sampled(df: DataFrame, ids: DataFrame, keep: list[str]) -> DataFrame:
     return df.join(F.broadcast(ids), "id").select("text", *keep)
 
 
-def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """(id, score, keep) of every row: the scorer's probability that it is fit, and the decision."""
+def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, carry: list[str] | None = None) -> DataFrame:
+    """(id, score, keep) of every row: the scorer's probability that it is fit, and the decision. carry: columns of `df` to
+    return instead of the id alone; any named score or keep are replaced."""
     import numpy as np
 
     spark = df.sparkSession
@@ -213,7 +225,9 @@ def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_
 
     ids = labels.orderBy(F.xxhash64("id"), "id").limit(LABELLED)
     found = _sampled(rows, ids.select("id", "toxic"), ["toxic"]).mapInArrow(words, "toxic int, words array<binary>, sketch array<long>")
-    lexicon = sent(lexicon_of(x for b in found.toArrow().to_batches() for x in zip(*(c.to_pylist() for c in b.columns))))
+    found = found.toArrow()
+    lexicon = sent(lexicon_of(lambda: (x for b in found.to_batches(max_chunksize=256) for x in zip(*(c.to_pylist() for c in b.columns)))))
+    del found
 
     def voted(batches):
         import pyarrow as pa
@@ -247,14 +261,19 @@ def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(own, pa.list_(pa.int32())), pa.array(shape, pa.list_(pa.int32()))], ["reject", "words", "shape"])
 
     sample = _sampled(rows, picked, ["reject"]).mapInArrow(featured, "reject double, words array<int>, shape array<int>").toArrow().combine_chunks()
-    flat = lambda c: (sample[c].combine_chunks().flatten().to_numpy(), sample[c].combine_chunks().value_lengths().to_numpy()) if sample.num_rows else (np.empty(0, np.int32), np.empty(0, np.int64))
-    (wp, wn), (sp, sn) = flat("words"), flat("shape")
-    doc = np.r_[np.repeat(np.arange(len(wn)), wn), np.repeat(np.arange(len(sn)), sn)]
-    places, values = np.r_[wp, sp], np.r_[WORDS_NORM / np.sqrt(np.maximum(1, np.repeat(wn, wn))), np.full(len(sp), SHARE_VALUE)]
-    often = np.bincount(places, minlength=1 << BITS)[places] >= 3  # what is rarer says little
-    order = np.argsort(doc[often], kind="stable")
-    starts = np.r_[0, np.bincount(doc[often], minlength=len(wn)).cumsum()]
-    model = sent(train(starts, places[often][order], values[often][order], sample["reject"].to_numpy() if sample.num_rows else np.empty(0)))
+    target, places, docs, values = np.empty(0), np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.float32)
+    if sample.num_rows:
+        target, words_of, shapes = sample["reject"].to_numpy(), sample["words"].chunk(0), sample["shape"].chunk(0)
+        n = words_of.value_lengths().to_numpy()
+        own = words_of.flatten().to_numpy()
+        often = np.bincount(own, minlength=1 << BITS)[own] >= 3  # what is rarer says little
+        shape_n = shapes.value_lengths().to_numpy()
+        places = np.r_[own[often], shapes.flatten().to_numpy()]
+        docs = np.r_[np.repeat(np.arange(len(n), dtype=np.int32), n)[often], np.repeat(np.arange(len(n), dtype=np.int32), shape_n)]
+        scale = (WORDS_NORM / np.sqrt(np.maximum(1, n))).astype(np.float32)
+        values = np.r_[scale[docs[: len(docs) - int(shape_n.sum())]], np.full(int(shape_n.sum()), SHARE_VALUE, np.float32)]
+    del sample
+    model = sent(train(docs, places, values, target))
 
     def scored(batches):
         import pyarrow as pa
@@ -274,13 +293,16 @@ def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_
         known = Weights()
         for b in batches:
             score = []
-            for x in b.column(1).cast(pa.binary()).to_pylist():
+            for x in b.column(b.num_columns - 1).cast(pa.binary()).to_pylist():
                 own = vocabulary(x)
                 weights, places = zip(*map(known.__getitem__, sorted(own))) if own else ((), ())
                 words = sum(weights) * WORDS_NORM / max(1, sum(places)) ** 0.5
                 z = words + SHARE_VALUE * float(sum(w[p] for p in share_places(x, own, lexicon.value))) + bias
                 score.append(float(1 / (1 + np.exp(np.clip(z, -40, 40)))))
             own = np.array(score, np.float64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own), pa.array(own >= threshold)], [id_col, "score", "keep"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(own), pa.array(own >= threshold)], [*b.schema.names[:-1], "score", "keep"])
 
-    return rows.mapInArrow(scored, f"{id_col} long, score double, keep boolean")
+    carried = [c for c in carry or [id_col] if c not in ("score", "keep")]
+    given = df.select(*carried, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    schema = given.drop("_text").withColumn("score", F.lit(0.0)).withColumn("keep", F.lit(True)).schema
+    return given.mapInArrow(scored, schema)

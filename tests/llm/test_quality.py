@@ -53,5 +53,5 @@ def test_scorer_learns():
     rng = np.random.RandomState(1)
     places = rng.randint(1, 50, (400, 6))
     target = (places == 7).any(1).astype(float)
-    w, b = q.train(np.arange(0, 2401, 6), places.ravel(), np.ones(2400), target)
+    w, b = q.train(np.repeat(np.arange(400), 6), places.ravel(), np.ones(2400), target)
     assert np.mean(((w[places].sum(1) + b) > 0) == target) > 0.98
