@@ -3,16 +3,46 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
-ORACLE_SQL: str | None = None
+from formloom.llm import mixture, packing, pii, quality, simhash
+from formloom.llm._shared import Scratch, tables
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from formloom.llm._shared import Scratch
+def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    return quality.classify(docs, tables(spark, sf_dir, "labels"), carry=docs.columns).where("keep").select(docs.columns)
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.distinct(docs).select(docs.columns)
+
+
+def anonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with surrogates for personal data; n_chars follows the new text."""
+    replaced = pii.replace(docs).select(docs.columns)
+    return replaced.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixture.mix(docs).select(*docs.columns, F.explode(F.expr("array_repeat(1, cast(copies as int))"))).select(docs.columns)
 
-    scratch = Scratch(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Placed pieces of at most 4096 tokens."""
+    return packing.packed(docs)
+
+
+STAGES = [("quality", accepted), ("near_dedup", deduplicated), ("pii", anonymous), ("mixture", mixed), ("packing", packed)]
+
+#: The stages train a classifier and tokenise; SQL can't express them.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch, docs = Scratch(spark, "pipeline"), tables(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = scratch.save(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

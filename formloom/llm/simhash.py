@@ -15,6 +15,11 @@ shingles. Near copies differ in few bits. Candidate search:
 Of the links that a task finds it returns a spanning forest: that keeps every connection without listing
 all pairs of a group. Components of those links are found by star contraction over written tables.
 
+`distinct` is for near copies of a stated similarity: shards are the smallest shingle hashes under ANCHORS permutations, the radius is
+wide, and pairs that the trees find are linked if their shingle sets are similar enough. Sets of up to BOTTOM shingles are compared
+whole, larger ones by the BOTTOM smallest hashes of their union. Texts of one similarity s share a shard with probability
+1 - (1 - s)^ANCHORS, 0.9997 at 0.8.
+
 Nulls and words: a null text, an empty text and one of white space have no words; their fingerprint is zero,
 linked like any other. Rows that repeat are kept as rows. A null id is kept and is never a component's id unless
 all ids of the component are null. Columns other than id and text are not looked at.
@@ -33,6 +38,8 @@ from ._shared import Scratch, components
 BITS = 64
 #: Entries of a BK-tree. A task holds two chunks of this many at most.
 TREE = 2048
+#: Permutations, hashes kept of a set, radius, and how much an estimate may fall short, of `distinct`.
+ANCHORS, BOTTOM, WIDE, SHORT = 5, 96, 18, 0.02
 #: Shards get so many bits that this many random entries are expected in one.
 PER_SHARD = 4
 #: Words that are hashed at once, so that memory does not grow with a text.
@@ -239,3 +246,71 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return found.select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def _alike(x: bytes, y: bytes, similarity: float) -> bool:
+    """Whether two sets, given by their smallest hashes, have at least this Jaccard similarity."""
+    import numpy as np
+
+    a, b = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+    if not len(a) or not len(b):
+        return len(a) == len(b)
+    both = np.concatenate([a, b])
+    both.sort()
+    twice = both[1:] == both[:-1]
+    if max(len(a), len(b)) < BOTTOM:
+        return bool(twice.sum() >= similarity * (len(both) - twice.sum()))
+    first = np.r_[True, ~twice]
+    rank = first.cumsum()[1:]  # of distinct hashes
+    k = min(BOTTOM, int(first.sum()))
+    return bool((twice & (rank <= k)).sum() >= (similarity - SHORT) * k)
+
+
+def distinct(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of `df` without near copies: of each group of texts that links of `similarity` or more connect, the row with the
+    smallest id stays (null ids last; of repeated rows one). Texts without words are alike."""
+    spark, scratch = df.sparkSession, Scratch(df.sparkSession, "distinct")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    key = F.xxhash64(text)
+
+    def describe(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        turns = np.arange(1, ANCHORS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+        for b in batches:
+            fps, anchors, sets = [], [], []
+            for x in b.column(2).cast(pa.binary()).to_pylist():
+                ones, total, own = np.zeros(BITS, np.int64), 0, [np.empty(0, np.uint64)]
+                for h in shingle_hashes(x, width):
+                    ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+                    total += len(h)
+                    own.append(h)
+                h = np.concatenate(own)
+                fps.append(int(np.packbits(2 * ones > total, bitorder="little").view(np.int64)[0]))
+                anchors.append([int((h * t).min().view(np.int64)) for t in turns] if len(h) else [0] * ANCHORS)
+                sets.append(np.unique((h >> np.uint64(32)).astype(np.uint32))[:BOTTOM].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(fps, pa.int64()), pa.array(anchors, pa.list_(pa.int64())), pa.array(sets, pa.binary())],
+                ["id", "node", "fp", "anchors", "bottom"],
+            )
+
+    rows = df.select(F.col(id_col).cast("long").alias("id"), key.alias("node"), text.alias("text"))
+    rows = scratch.save(rows.mapInArrow(describe, "id long, node long, fp long, anchors array<long>, bottom binary"), "rows")
+    texts = rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("anchors").alias("anchors"), F.first("bottom").alias("bottom"))
+    sharded = texts.select("node", "fp", "bottom", F.posexplode("anchors").alias("i", "anchor"))
+    sharded = sharded.select(F.xxhash64("i", "anchor").alias("shard"), "node", "fp", "bottom")
+    edges = links(sharded, WIDE, scratch, lambda x, y: _alike(x, y, similarity), "bottom")
+    roots = components(scratch.save(edges, "edges"), scratch)
+    every = rows.groupBy("id", "node").agg(F.count("*").alias("n"))
+    every = every.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "node", "n")).alias("m")
+    kept = scratch.save(every.groupBy("root").agg(least).select("m.id", "m.node", "m.n"), "kept")
+    marked = df.withColumn("_node", key)
+    own = lambda k: (marked["_node"] == k["node"]) & marked[id_col].cast("long").eqNullSafe(k["id"])
+    once = kept.where("n = 1")
+    single = marked.join(once, own(once), "left_semi")
+    more = kept.where("n > 1")
+    if more.limit(1).count():  # repeated rows: any of them
+        single = single.unionByName(marked.join(more, own(more), "left_semi").dropDuplicates(["_node", id_col]))
+    return single.drop("_node")
