@@ -39,6 +39,12 @@ REJECT, KEEP, NOTHING = 1, 0, 2
 LEVELS = (0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.8)
 #: Values of features: of a document's words together, of length one times this; of each share.
 WORDS_NORM, SHARE_VALUE = 2.0, 3.0
+#: Words that a worker remembers.
+REMEMBERED = 300_000
+
+
+#: Bytes of letters, white space, and whatever is not ASCII.
+LETTERS = bytes(b for b in range(256) if b >= 128 or chr(b).isalpha() or chr(b).isspace())
 
 
 def shares(text: bytes) -> dict[str, float]:
@@ -50,12 +56,12 @@ def shares(text: bytes) -> dict[str, float]:
     if not words:
         return {}
     n, lines = len(words), [x for x in text.split(b"\n") if x.strip()]
-    plain = text.translate(None, bytes(b for b in range(256) if b >= 128 or chr(b).isalpha() or chr(b).isspace()))
+    plain = text.translate(None, LETTERS)
     own = {
         "symbols": len(re.findall(rb"[#$%&*^~=<>{}\\/_+@]{2,}", text)) / n,
         "bars": words.count(b"|") / n,
         "capitals": sum(map(bytes.isupper, words)) / n,
-        "shouts": len(re.findall(rb"!!", text)) / n,
+        "shouts": text.count(b"!!") / n,
         "repeats": sum(map(operator.eq, words, words[1:])) / n,
         "lines": 1 - len(set(lines)) / len(lines),
         "others": len(plain) / len(text),
@@ -70,17 +76,20 @@ def vocabulary(text: bytes) -> set[bytes]:
 
 def forms(word: bytes) -> list[bytes]:
     """A word and its beginnings of four and five letters."""
+    if word.isascii():
+        n = len(word)
+        return [b"w:" + word, b"4:" + word[:4], b"5:" + word[:5]] if n > 4 else [b"w:" + word, b"4:" + word] if n == 4 else [b"w:" + word]
     text = word.decode("utf-8", "replace")
     return [b"w:" + word] + [b"%d:" % n + text[:n].encode() for n in (4, 5) if len(text) >= n]
 
 
-def votes(text: bytes, lexicon: dict[bytes, int]) -> list[int]:
+def votes(text: bytes, marks: Marks) -> list[int]:
     """Votes of the share labellers, the lexicon, and the one that keeps."""
     own = shares(text)
     if not own:
         return [NOTHING] * (len(SHARES) + 2)
     out = [REJECT if own[k] > most else NOTHING for k, most in SHARES.items()]
-    out.append(REJECT if lexicon and marks(vocabulary(text), lexicon) >= 2 else NOTHING)
+    out.append(REJECT if marks.lexicon and marks.of(vocabulary(text)) >= 2 else NOTHING)
     return out + [NOTHING if REJECT in out else KEEP]
 
 
@@ -118,9 +127,22 @@ def sketch(vocab: set[bytes]) -> list[int]:
     return [int((h * t).min() >> np.uint64(1)) if len(h) else 0 for t in turns]
 
 
-def marks(vocab: set[bytes], lexicon: dict[bytes, int]) -> int:
-    """What a text's words count for in the lexicon; 2 is enough."""
-    return sum(max((lexicon.get(f, 0) for f in forms(w)), default=0) for w in vocab) if lexicon else 0
+class Marks(dict):
+    """What words count for in the lexicon; those met lately are remembered."""
+
+    def __init__(self, lexicon: dict[bytes, int]):
+        super().__init__()
+        self.lexicon = lexicon
+
+    def __missing__(self, word: bytes) -> int:
+        own = max(self.lexicon.get(f, 0) for f in forms(word))
+        if len(word) <= 48 and len(self) < REMEMBERED:
+            self[word] = own
+        return own
+
+    def of(self, vocab: set[bytes]) -> int:
+        """2 is enough."""
+        return sum(map(self.__getitem__, vocab)) if self.lexicon else 0
 
 
 def lexicon_of(documents) -> dict[bytes, int]:
@@ -161,18 +183,18 @@ class Hashing(dict):
         from xxhash import xxh64_intdigest
 
         own = [xxh64_intdigest(f, 7) >> (64 - BITS) for f in forms(word)]
-        if len(word) <= 48 and len(self) < 300_000:
+        if len(word) <= 48 and len(self) < REMEMBERED:
             self[word] = own
         return own
 
 
-def share_places(text: bytes, vocab: set[bytes], lexicon: dict[bytes, int]) -> list[int]:
-    """Places of the features of a text's shares, and of how many of its words the lexicon has."""
+def share_places(text: bytes, marked: int | None) -> list[int]:
+    """Places of the features of a text's shares, and of what its words count for in the lexicon (None without one)."""
     from xxhash import xxh64_intdigest
 
     own = {k: sum(v > x for x in LEVELS) for k, v in shares(text).items()}
-    if lexicon:
-        own["lexicon"] = min(4, marks(vocab, lexicon))
+    if marked is not None:
+        own["lexicon"] = min(4, marked)
     return [xxh64_intdigest(f"s:{k}:{v}".encode(), 7) >> (64 - BITS) for k, v in own.items()]
 
 
@@ -232,8 +254,9 @@ def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_
     def voted(batches):
         import pyarrow as pa
 
+        marks = Marks(lexicon.value)
         for b in batches:
-            own = [sum(v * 3**i for i, v in enumerate(votes(x, lexicon.value))) for x in b.column(1).cast(pa.binary()).to_pylist()]
+            own = [sum(v * 3**i for i, v in enumerate(votes(x, marks))) for x in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.int32())], ["id", "pattern"])
 
     last = 3 ** (len(SHARES) + 2)
@@ -253,11 +276,11 @@ def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_
     def featured(batches):
         import pyarrow as pa
 
-        known = Hashing()
+        known, marks = Hashing(), Marks(lexicon.value)
         for b in batches:
             texts = [(x, vocabulary(x)) for x in b.column(0).cast(pa.binary()).to_pylist()]
             own = [[p for w in sorted(v) for p in known[w]] for _, v in texts]
-            shape = [share_places(x, v, lexicon.value) for x, v in texts]
+            shape = [share_places(x, marks.of(v) if marks.lexicon else None) for x, v in texts]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(own, pa.list_(pa.int32())), pa.array(shape, pa.list_(pa.int32()))], ["reject", "words", "shape"])
 
     sample = _sampled(rows, picked, ["reject"]).mapInArrow(featured, "reject double, words array<int>, shape array<int>").toArrow().combine_chunks()
@@ -281,23 +304,28 @@ def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_
         w, bias = model.value
 
         class Weights(dict):
-            def __missing__(self, word):
-                from xxhash import xxh64_intdigest
+            """Of a word: the sum of its features' weights, their number, and what it counts for in the lexicon."""
 
+            def __missing__(self, word):
                 own = [float(w[xxh64_intdigest(f, 7) >> (64 - BITS)]) for f in forms(word)]
-                own = sum(own), len(own)
-                if len(word) <= 48 and len(self) < 300_000:
+                own = sum(own), len(own), marks[word]
+                if len(word) <= 48 and len(self) < REMEMBERED:
                     self[word] = own
                 return own
 
+        from math import fsum  # the same in any order
+
+        from xxhash import xxh64_intdigest
+
+        marks = Marks(lexicon.value)
         known = Weights()
         for b in batches:
             score = []
             for x in b.column(b.num_columns - 1).cast(pa.binary()).to_pylist():
-                own = vocabulary(x)
-                weights, places = zip(*map(known.__getitem__, sorted(own))) if own else ((), ())
-                words = sum(weights) * WORDS_NORM / max(1, sum(places)) ** 0.5
-                z = words + SHARE_VALUE * float(sum(w[p] for p in share_places(x, own, lexicon.value))) + bias
+                own = list(map(known.__getitem__, vocabulary(x)))
+                words = fsum(o[0] for o in own) * WORDS_NORM / max(1, sum(o[1] for o in own)) ** 0.5
+                places = share_places(x, sum(o[2] for o in own) if marks.lexicon else None)
+                z = words + SHARE_VALUE * float(sum(w[p] for p in places)) + bias
                 score.append(float(1 / (1 + np.exp(np.clip(z, -40, 40)))))
             own = np.array(score, np.float64)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(own), pa.array(own >= threshold)], [*b.schema.names[:-1], "score", "keep"])
