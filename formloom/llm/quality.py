@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ._shared import Scratch
 
-LABELLED, TRAINED = 8192, 8192
+LABELLED, TRAINED = 8192, 5000
 BITS, EPOCHS, L2 = 22, 80, 1e-5
 #: Lexicon entries: documents of the sample they are in at least, and the share of those that is toxic.
 SUPPORT, PRECISION = 5, 0.9
