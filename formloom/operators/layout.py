@@ -46,7 +46,8 @@ def row_index(cy: Column, layout: Layout = Layout(), mode: str = "tops", share:
     even; centered: by their middles."""
     t = (cy - layout.data_top) / layout.row_height
     at = F.least(F.greatest(F.rint(t if mode == "tops" else t - 0.5), F.lit(0.0)), F.lit(layout.rows - 1.0))
-    return F.when(F.abs(t - at - 0.5) <= share, at.cast("int"))
+    middle = (at + 0.5) * layout.row_height + layout.data_top
+    return F.when(F.abs(cy - middle) <= share * layout.row_height, at.cast("int"))
 
 
 def _matched(costs: list[list[float]]) -> list[tuple[int, int]]:

@@ -126,7 +126,7 @@ _GOLD = f"SELECT crop_path, arg_max(label, pos) AS label FROM ({_GOLD}) WHERE tr
 _T = f"(({q._CY}) - 510) / 120.0"
 _AT = f"least(greatest(round_even(({_T})::DOUBLE, 0), 0), 11)"
 _MID = f"least(greatest(round_even(({_T})::DOUBLE - 0.5, 0), 0), 11)"
-_ROW = f"CASE WHEN abs(({_T})::DOUBLE - {_AT} - 0.5) <= 0.55 THEN {_AT}::INT END"
+_ROW = f"CASE WHEN abs(({q._CY})::DOUBLE - 510 - 120 * ({_AT} + 0.5::DOUBLE)) <= 66 THEN {_AT}::INT END"
 
 _FORM = Layout()
 _COLS = ", ".join(f"({i}, '{n}', {w})" for i, (n, _, w) in enumerate(_FORM.columns))
@@ -200,7 +200,7 @@ SQL: dict[str, str] = {
     "labels_latest_stream": _LATEST,
     "labels_gold": f"SELECT crop_path, coalesce(t, label) AS text FROM ({strict(_GOLD, 'label', 't')})",
     "missing_images": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 25)",
-    "grid_row_bin": f"SELECT l_orderkey, l_linenumber, {_ROW} AS row_tops, CASE WHEN abs(({_T})::DOUBLE - {_MID} - 0.5) <= 0.55 THEN {_MID}::INT END AS row_centered FROM lineitem",
+    "grid_row_bin": f"SELECT l_orderkey, l_linenumber, {_ROW} AS row_tops, CASE WHEN abs(({q._CY})::DOUBLE - 510 - 120 * ({_MID} + 0.5::DOUBLE)) <= 66 THEN {_MID}::INT END AS row_centered FROM lineitem",
     "row_histogram": f"SELECT r::INT AS row_idx, count(cy)::BIGINT AS n, min(cy) AS y_min, max(cy) AS y_max FROM (SELECT unnest(range(12)) AS r) LEFT JOIN (SELECT {_ROW} AS slot, cast({q._CY} AS double) AS cy FROM lineitem) ON r = slot GROUP BY r",
     "grid_assign": f"""SELECT page_id, row_idx, c.col_idx, det_idx, c.name FROM ({_DET}) d JOIN ({_CENTERS}) c ON c.col_idx = d.det_idx - 1 WHERE cls <> 'date'""",
     "layout_offsets": f"SELECT r::INT AS row_idx, col_idx, name, x0::INT AS x0, floor(x0 + width / 2)::INT AS x_center, ({_FORM.data_top} + r * {_FORM.row_height})::INT AS y0 FROM ({_OFFSETS}), (SELECT unnest(range({_FORM.rows})) AS r)",
