@@ -159,7 +159,7 @@ class BKTree:
 def forest(values: list[int], homes: list[int], radius: int, alike=None) -> list[tuple[int, int]]:
     """Positions of linked pairs: a spanning forest of the links between a tree's entries and the others.
     homes: the chunk that an entry is of; the first one's entries make up the tree. alike: a further test of a pair,
-    nearest pairs first."""
+    nearest pairs first; its maybe(i, js) gives the places in js of those that can pass."""
     root = list(range(len(values)))
 
     def top(x: int) -> int:
@@ -171,7 +171,11 @@ def forest(values: list[int], homes: list[int], radius: int, alike=None) -> list
     first = min(homes)
     for i in sorted(range(len(values)), key=lambda i: homes[i]):
         found = tree.near(values[i], radius)
-        for _, at in sorted(found) if alike else found:
+        if alike and found:
+            own = top(i)
+            found = [(d, at) for d, at in sorted(found) if top(place[at]) != own]
+            found = [found[n] for n in alike.maybe(i, [place[at] for _, at in found])]
+        for _, at in found:
             j = place[at]
             a, b = top(i), top(j)
             if a != b and (alike is None or alike(i, j)):
@@ -184,7 +188,8 @@ def forest(values: list[int], homes: list[int], radius: int, alike=None) -> list
 
 
 def links(sharded: DataFrame, radius: int, scratch: Scratch, alike=None, payload: str | None = None) -> DataFrame:
-    """(a, b): links found in all shards. sharded: shard, fp, node (what a and b hold), and the payload of `alike`."""
+    """(a, b): links found in all shards. sharded: shard, fp, node (what a and b hold), and a payload; alike: makes a test of pairs
+    from the payloads of a group."""
     mask = (1 << BITS) - 1
 
     def run(batches):
@@ -196,7 +201,7 @@ def links(sharded: DataFrame, radius: int, scratch: Scratch, alike=None, payload
                 return []
             node, more = t.column("node").to_pylist(), t.column(payload).to_pylist() if payload else None
             values = [x & mask for x in t.column("fp").to_pylist()]
-            test = (lambda i, j: alike(more[i], more[j])) if payload else None
+            test = alike(more) if payload else None
             return [(node[i], node[j]) for i, j in forest(values, t.column("own").to_pylist(), radius, test)]
 
         def out(pairs):
@@ -248,22 +253,41 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
-def _alike(x: bytes, y: bytes, similarity: float) -> bool:
-    """Whether two sets, given by their smallest hashes, have at least this Jaccard similarity."""
-    import numpy as np
+class Sets:
+    """Sets, each given by its smallest hashes, and whether two have at least a Jaccard similarity."""
+
+    def __init__(self, payload: list[bytes], similarity: float):
+        import numpy as np
 
-    a, b = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-    if not len(a) or not len(b):
-        return len(a) == len(b)
-    both = np.concatenate([a, b])
-    both.sort()
-    twice = both[1:] == both[:-1]
-    if max(len(a), len(b)) < BOTTOM:
-        return bool(twice.sum() >= similarity * (len(both) - twice.sum()))
-    first = np.r_[True, ~twice]
-    rank = first.cumsum()[1:]  # of distinct hashes
-    k = min(BOTTOM, int(first.sum()))
-    return bool((twice & (rank <= k)).sum() >= (similarity - SHORT) * k)
+        self.np, self.similarity, self.sets = np, similarity, [np.frombuffer(x, np.uint32) for x in payload]
+        self.size = np.array([len(x) for x in self.sets])
+        self.all = np.full((len(payload), BOTTOM), 1 << 40, np.int64)  # no hash is that large
+        for row, own in zip(self.all, self.sets):
+            row[: len(own)] = own
+
+    def maybe(self, i: int, js: list[int]):
+        """Places of those with enough hashes in common; for whole sets that decides."""
+        np, own = self.np, self.sets[i].astype(self.np.int64)
+        js = np.array(js, np.int64)
+        if not len(own) or not len(js):
+            return np.flatnonzero(self.size[js] == len(own)).tolist()
+        rows = self.all[js]
+        common = (own[np.minimum(np.searchsorted(own, rows), len(own) - 1)] == rows).sum(1)
+        whole = np.maximum(self.size[js], len(own)) < BOTTOM
+        least = np.where(whole, self.similarity * (self.size[js] + len(own) - common), (self.similarity - SHORT) * BOTTOM)
+        return np.flatnonzero(common >= least).tolist()
+
+    def __call__(self, i: int, j: int) -> bool:
+        np, a, b = self.np, self.sets[i], self.sets[j]
+        if not len(a) or not len(b):
+            return len(a) == len(b)
+        both = np.concatenate([a, b])
+        both.sort()
+        twice = both[1:] == both[:-1]
+        if max(len(a), len(b)) < BOTTOM:
+            return bool(twice.sum() >= self.similarity * (len(both) - twice.sum()))
+        rank = np.r_[True, ~twice].cumsum()[1:]  # of distinct hashes
+        return bool((twice & (rank <= BOTTOM)).sum() >= (self.similarity - SHORT) * BOTTOM)
 
 
 def distinct(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -300,7 +324,7 @@ def distinct(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     texts = rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("anchors").alias("anchors"), F.first("bottom").alias("bottom"))
     sharded = texts.select("node", "fp", "bottom", F.posexplode("anchors").alias("i", "anchor"))
     sharded = sharded.select(F.xxhash64("i", "anchor").alias("shard"), "node", "fp", "bottom")
-    edges = links(sharded, WIDE, scratch, lambda x, y: _alike(x, y, similarity), "bottom")
+    edges = links(sharded, WIDE, scratch, lambda sets: Sets(sets, similarity), "bottom")
     roots = components(scratch.save(edges, "edges"), scratch)
     every = rows.groupBy("id", "node").agg(F.count("*").alias("n"))
     every = every.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
