@@ -27,8 +27,10 @@ def report(tags: DataFrame) -> DataFrame:
 
 
 def confusion(tags: DataFrame, n: int = 10) -> DataFrame:
-    """The most frequent mismatches, ties by truth and prediction."""
-    return tags.where("tag = 'MISMATCH'").groupBy("gt_time", "pred_time").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "gt_time", "pred_time").limit(n)
+    """The most frequent mismatches, ties by truth and prediction. Mismatches are counted, not filtered: a filter would be pushed
+    below the normalising steps and repeat them."""
+    counts = tags.groupBy("gt_time", "pred_time").agg(F.count_if(F.col("tag") == "MISMATCH").alias("n"))
+    return counts.where("n > 0").orderBy(F.desc("n"), "gt_time", "pred_time").limit(n)
 
 
 def by_column(truth: DataFrame, preds: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:

@@ -69,33 +69,58 @@ def _matched(costs: list[list[float]]) -> list[tuple[int, int]]:
     return pairs[::-1]
 
 
+def _pairs(xs: list[float], order: list, centers: list[int], method: str) -> list[tuple[int, int]]:
+    """(detection, column) pairs of one row of a form."""
+    near = [min(range(len(centers)), key=lambda j: abs(x - centers[j])) for x in xs]
+    if len(set(near)) == len(xs):  # all have their nearest column: nothing is cheaper
+        return list(enumerate(near))
+    by_x = sorted(range(len(xs)), key=lambda i: (xs[i], order[i]))
+    if method == "optimal":
+        return [(by_x[i], j) for i, j in _matched([[abs(xs[i] - c) for c in centers] for i in by_x])]
+    pairs, left = [], set(by_x)
+    for j, c in enumerate(centers):
+        if left:
+            i = min(left, key=lambda i: (abs(xs[i] - c), order[i]))
+            left.discard(i)
+            pairs.append((i, j))
+    return pairs
+
+
 def assigned(df: DataFrame, keys: list[str], layout: Layout = Layout(), method: str = "optimal") -> DataFrame:
     """Adds col_idx to detections (keys, row_idx, det_idx, cx); each column at most once a row, other detections are dropped. greedy:
-    each column in turn takes the nearest detection left. A task gets the detections of one row of one page."""
+    each column in turn takes the nearest detection left. Rows of forms are dealt by their keys and come sorted, batch by batch."""
     import itertools
 
     x0 = [layout.left, *itertools.accumulate((c[2] for c in layout.columns), initial=layout.left)][1:]
     centers = [int(x + c[2] / 2) for x, c in zip(x0, layout.columns)]
-
-    def place(pdf):
-        pdf = pdf.sort_values(["cx", "det_idx"]).reset_index(drop=True)
-        costs = [[abs(x - c) for c in centers] for x in pdf["cx"]]
-        if method == "optimal":
-            pairs = _matched(costs)
-        else:
-            pairs, left = [], set(range(len(pdf)))
-            for j in range(len(centers)):
-                if left:
-                    i = min(left, key=lambda i: (costs[i][j], pdf["det_idx"][i]))
-                    left.discard(i)
-                    pairs.append((i, j))
-        at = dict(pairs)
-        out = pdf[[i in at for i in range(len(pdf))]].copy()
-        out["col_idx"] = [at[i] for i in out.index]
-        return out
+    group, names = [*keys, "row_idx"], [*df.columns, "col_idx"]
+
+    def place(batches):
+        import pyarrow as pa
+
+        def solve(table, bounds):
+            xs, order, kept, cols = table.column("cx").to_pylist(), table.column("det_idx").to_pylist(), [], []
+            for lo, hi in bounds:
+                for i, j in sorted(_pairs(xs[lo:hi], order[lo:hi], centers, method)):
+                    kept.append(lo + i)
+                    cols.append(j)
+            out = table.take(pa.array(kept, pa.int64())).append_column("col_idx", pa.array(cols, pa.int32()))
+            return out.select(names).combine_chunks().to_batches()
+
+        held = None  # the last row of a form may go on in the next batch
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            own = list(zip(*(table.column(k).to_pylist() for k in group)))
+            starts = [i for i in range(len(own)) if i == 0 or own[i] != own[i - 1]]
+            if not starts:
+                continue
+            yield from solve(table, zip(starts[:-1], starts[1:]))
+            held = table.slice(starts[-1])
+        if held is not None:
+            yield from solve(held, [(0, held.num_rows)])
 
     schema = df.withColumn("col_idx", F.lit(0)).schema
-    return df.groupBy(*keys, "row_idx").applyInPandas(place, schema)
+    return df.repartition(*group).sortWithinPartitions(*group, "cx", "det_idx").mapInArrow(place, schema)
 
 
 def grid(df: DataFrame, page: str = "page_id", layout: Layout = Layout(), ignored: tuple = ("date",), mode: str = "tops", method: str = "optimal") -> DataFrame:

@@ -45,7 +45,8 @@ def failures(df: DataFrame, low_conf_too: bool = True) -> DataFrame:
     bad = ~F.coalesce(F.col("IsValid"), F.lit(False)) if "IsValid" in df.columns else F.lit(True)
     if low_conf_too:
         bad = bad | F.exists("_notes", lambda w: F.startswith(w, F.lit("low_conf<")))
-    df = df.where(bad).withColumn("Reason", F.coalesce(F.try_element_at("_notes", F.lit(1)), F.lit("")))
+    # Generated, so that the filter isn't pushed below the steps that made IsValid and doesn't repeat them.
+    df = df.select("*", F.inline(F.array(F.struct(bad.alias("_bad"))))).where("_bad").drop("_bad").withColumn("Reason", F.coalesce(F.try_element_at("_notes", F.lit(1)), F.lit("")))
     return text.time_cleaned(df, "RawText", "CleanText").drop("_notes")
 
 

@@ -171,7 +171,7 @@ _WORK = lines(a0="cast(l_orderkey % 12 AS string) || ':' || lpad(cast(l_partkey
 
 SQL: dict[str, str] = {
     "export_time_detail": f"SELECT l_orderkey, l_linenumber, RawText, NormalizedTime, array_to_string(Warnings, '; ') AS Warnings, IsValid::INT AS IsValid FROM ({_EXPORT})",
-    "export_time_summary": f"SELECT TimesheetID, count(*)::BIGINT AS Records, sum(IsValid::INT)::BIGINT AS ValidRecords, round(round_even(avg(IsValid::INT), 4), 3) AS PctValid, round(round_even(avg(Confidence), 4), 3) AS AvgConfidence FROM ({_EXPORT}) GROUP BY TimesheetID",
+    "export_time_summary": f"SELECT TimesheetID, count(*)::BIGINT AS Records, sum(IsValid::INT)::BIGINT AS ValidRecords, round_even(avg(IsValid::INT), 4) AS PctValid, round_even(avg(Confidence), 4) AS AvgConfidence FROM ({_EXPORT}) GROUP BY TimesheetID",
     "time_three_way": f"SELECT * EXCLUDE (w) FROM ({parsed(lenient(strict(lines(raw=samples.TIME), 'raw', 'strict'), 'raw', 'lenient'), 'raw', 'parsed', 'w')})",
     "amount_sanitize": amount(lines(raw=samples.AMOUNT), "raw", "amount"),
     "amount_canon": f"""SELECT * EXCLUDE (t, a, b) FROM (SELECT *, regexp_replace(replace(raw, ',', '.'), '[^0-9.]', '', 'g') AS t, split_part(t, '.', 1) AS a, replace(substr(t, length(a) + 1), '.', '') AS b,

@@ -30,7 +30,7 @@ def _export(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def export_time_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return validate.summarized(_export(spark, sf)).withColumns({c: F.round(c, 3) for c in ("PctValid", "AvgConfidence")})
+    return validate.summarized(_export(spark, sf))
 
 
 def export_time_detail(spark: SparkSession, sf: str) -> DataFrame:
