@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 CLASSES, START = 1 << 22, 0
 BACKOFF, SEEN, HOT = 0.4, 2, 1024
 #: Words of a part of the pair table, and the fewest parts; documents and words of a block.
-PART, PARTS = 1 << 22, 64
+PART, PARTS = 1 << 21, 64
 BLOCK_DOCS, BLOCK_WORDS = 4096, 1 << 20
 
 
@@ -189,33 +189,41 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
         import pyarrow as pa
 
         if t["part"][0].as_py() < 0:
-            return t.select(["block", "ids", "n", "base"])
+            return t.select(["block", "docs", "ids", "n", "base"])
         counts = model.value[0]
         sizes = [len(k) // 6 for k in t["keys"].to_pylist()]
         wide = np.zeros((sum(sizes), 8), np.uint8)
         wide[:, :6] = np.frombuffer(b"".join(t["keys"].to_pylist()), np.uint8).reshape(-1, 6)
         keys, at, n = np.unique(wide.view("<i8").ravel(), return_inverse=True, return_counts=True)
         own = pair_scores(counts, total, keys >> 22, keys & (CLASSES - 1), n)[at]
-        sums, lo = [], 0
+        sums, those, lo = [], [], 0
         for size, docs, many in zip(sizes, t["docs"].to_pylist(), t["base"].to_pylist()):
             many = int(np.frombuffer(many, np.int64)[0])
-            sums.append(np.bincount(np.frombuffer(docs, np.uint16), own[lo : lo + size], minlength=many).tobytes())
+            docs, score_ = np.frombuffer(docs, np.uint16), own[lo : lo + size]
+            there = np.unique(docs)
+            total_ = np.bincount(docs, score_, minlength=many)
+            # Sums of all documents of the block or, where that is shorter, of those that have pairs here: never more than the pairs.
+            few = 10 * len(there) < 8 * many
+            sums.append((total_[there] if few else total_).tobytes())
+            those.append(there.tobytes() if few else None)
             lo += size
         none = pa.nulls(len(sums), pa.binary())
-        return pa.table({"block": t["block"], "ids": none, "n": none, "base": pa.array(sums, pa.binary())})
+        return pa.table({"block": t["block"], "docs": pa.array(those, pa.binary()), "ids": none, "n": none, "base": pa.array(sums, pa.binary())})
 
     def summed(t):
         import pyarrow as pa
 
-        base = sum(np.frombuffer(x, np.float64) for x in t["base"].to_pylist())
-        head = next(i for i, x in enumerate(t["ids"].to_pylist()) if x is not None)
+        head = next(i for i, x in enumerate(t["ids"].is_valid().to_pylist()) if x)
         n = np.frombuffer(t["n"][head].as_py(), np.int64)
+        base = np.zeros(len(n))
+        for docs, own in zip(t["docs"].to_pylist(), t["base"].to_pylist()):
+            base[slice(None) if docs is None else np.frombuffer(docs, np.uint16)] += np.frombuffer(own, np.float64)
         raw = t["ids"][head].as_py()
         there = np.frombuffer(raw, np.uint8, offset=8 * len(n)).astype(bool)
         mean = np.divide(base, n, out=np.zeros(len(n)), where=n > 0)
         return pa.table({"id": pa.array(np.frombuffer(raw, np.int64, len(n)), mask=~there), "n_words": pa.array(n), "score": pa.array(base), "mean_score": pa.array(mean, mask=n == 0)})
 
-    dealt = texts.mapInArrow(blocks, schema).groupBy("part").applyInArrow(joined, "block long, ids binary, n binary, base binary")
+    dealt = texts.mapInArrow(blocks, schema).groupBy("part").applyInArrow(joined, "block long, docs binary, ids binary, n binary, base binary")
     return dealt.groupBy("block").applyInArrow(summed, "id long, n_words long, score double, mean_score double").withColumnRenamed("id", id_col)
 
 
