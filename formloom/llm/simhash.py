@@ -16,8 +16,9 @@ Of the links that a task finds it returns a spanning forest: that keeps every co
 all pairs of a group. Components of those links are found by star contraction over written tables.
 
 `distinct` is for near copies of a stated similarity: shards are the smallest shingle hashes under ANCHORS permutations, the radius is
-wide, and pairs that the trees find are linked if their shingle sets are similar enough. Sets of up to BOTTOM shingles are compared
-whole, larger ones by the BOTTOM smallest hashes of their union. Texts of one similarity s share a shard with probability
+wide, and pairs that the trees find are linked if their shingle sets are similar enough. Sets of fewer than BOTTOM shingles are compared
+whole, larger ones by the BOTTOM smallest hashes of their union: such an estimate links from SURE on, and rules out below UNLIKELY. Entries with a pair in between
+go to their shards once more, with their whole sets, which decide. Texts of one similarity s share a shard with probability
 1 - (1 - s)^ANCHORS, 0.9997 at 0.8.
 
 Nulls and words: a null text, an empty text and one of white space have no words; their fingerprint is zero,
@@ -36,10 +37,10 @@ from pyspark.sql import functions as F
 from ._shared import Scratch, components
 
 BITS = 64
-#: Entries of a BK-tree. A task holds two chunks of this many at most.
-TREE = 2048
-#: Permutations, hashes kept of a set, radius, and how much an estimate may fall short, of `distinct`.
-ANCHORS, BOTTOM, WIDE, SHORT = 5, 96, 18, 0.02
+#: Entries of two chunks of a shard, which a task holds at most; fewer where pairs are compared by their sets.
+TREE, TREE_OF_SETS = 2048, 512
+#: Permutations, hashes kept of a set, and radius, of `distinct`; margins above and below the similarity within which estimates don't decide.
+ANCHORS, BOTTOM, WIDE, SURE, UNLIKELY = 5, 96, 18, 0.12, 0.14
 #: Shards get so many bits that this many random entries are expected in one.
 PER_SHARD = 4
 #: Words that are hashed at once, so that memory does not grow with a text.
@@ -107,12 +108,12 @@ def block_shards(entries: DataFrame, radius: int, count: int) -> DataFrame:
     return entries.select(F.explode(F.array(*keys)).alias("shard"), *entries.columns)
 
 
-def chunked(sharded: DataFrame, scratch: Scratch) -> DataFrame:
-    """Adds (chunk, other, home): pairs of chunks that must meet. A shard of up to TREE entries is chunk 0
-    alone. Only shards above that are listed and joined; there are at most entries / TREE of them."""
+def chunked(sharded: DataFrame, scratch: Scratch, most: int) -> DataFrame:
+    """Adds (chunk, other, home): pairs of chunks that must meet. A shard of up to `most` entries is chunk 0
+    alone. Only shards above that are listed and joined; there are at most entries / `most` of them."""
     hot = (
-        sharded.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > TREE)
-        .select("shard", F.ceil(F.col("n") * 2 / TREE).cast("int").alias("chunks"))
+        sharded.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > most)
+        .select("shard", F.ceil(F.col("n") * 2 / most).cast("int").alias("chunks"))
     )
     hot = scratch.save(hot, "hot")  # its size is known from here on: it is broadcast only if it is small
     own = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("chunks")).cast("int")
@@ -156,10 +157,10 @@ class BKTree:
         return found
 
 
-def forest(values: list[int], homes: list[int], radius: int, alike=None) -> list[tuple[int, int]]:
-    """Positions of linked pairs: a spanning forest of the links between a tree's entries and the others.
-    homes: the chunk that an entry is of; the first one's entries make up the tree. alike: a further test of a pair,
-    nearest pairs first; its maybe(i, js) gives the places in js of those that can pass."""
+def forest(values: list[int], homes: list[int], radius: int, alike=None) -> tuple[list[tuple[int, int]], set[int]]:
+    """Positions of linked pairs, a spanning forest of the links between a tree's entries and the others, and positions with an
+    undecided pair. homes: the chunk that an entry is of; the first one's entries make up the tree. alike: a further test of a pair (None:
+    undecided), nearest pairs first; its maybe(i, js) gives the places in js of those that can pass."""
     root = list(range(len(values)))
 
     def top(x: int) -> int:
@@ -167,7 +168,7 @@ def forest(values: list[int], homes: list[int], radius: int, alike=None) -> list
             root[x] = x = root[root[x]]
         return x
 
-    tree, place, links = BKTree(), [], []
+    tree, place, links, open_ = BKTree(), [], [], set()
     first = min(homes)
     for i in sorted(range(len(values)), key=lambda i: homes[i]):
         found = tree.near(values[i], radius)
@@ -178,18 +179,23 @@ def forest(values: list[int], homes: list[int], radius: int, alike=None) -> list
         for _, at in found:
             j = place[at]
             a, b = top(i), top(j)
-            if a != b and (alike is None or alike(i, j)):
+            if a == b:
+                continue
+            verdict = alike is None or alike(i, j)
+            if verdict:
                 root[max(a, b)] = min(a, b)
                 links.append((i, j))
+            elif verdict is None:
+                open_ |= {i, j}
         if homes[i] == first:
             tree.add(values[i])
             place.append(i)
-    return links
+    return links, open_
 
 
 def links(sharded: DataFrame, radius: int, scratch: Scratch, alike=None, payload: str | None = None) -> DataFrame:
-    """(a, b): links found in all shards. sharded: shard, fp, node (what a and b hold), and a payload; alike: makes a test of pairs
-    from the payloads of a group."""
+    """(a, b, shard, fp): links found in all shards, and with null b the entries of a shard with undecided pairs. sharded: shard, fp, node
+    (what a and b hold), and a payload; alike: makes a test of pairs from the payloads of a group."""
     mask = (1 << BITS) - 1
 
     def run(batches):
@@ -202,11 +208,12 @@ def links(sharded: DataFrame, radius: int, scratch: Scratch, alike=None, payload
             node, more = t.column("node").to_pylist(), t.column(payload).to_pylist() if payload else None
             values = [x & mask for x in t.column("fp").to_pylist()]
             test = alike(more) if payload else None
-            return [(node[i], node[j]) for i, j in forest(values, t.column("own").to_pylist(), radius, test)]
+            pairs, open_ = forest(values, t.column("own").to_pylist(), radius, test)
+            shard, fp = t.column("shard")[0].as_py(), t.column("fp").to_pylist()
+            return [(node[i], node[j], shard, None) for i, j in pairs] + [(node[i], None, shard, fp[i]) for i in sorted(open_)]
 
         def out(pairs):
-            a, b = zip(*pairs)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs)], ["a", "b", "shard", "fp"])
 
         held = None  # rows of the last group, which may go on in the next batch
         for batch in batches:
@@ -225,9 +232,9 @@ def links(sharded: DataFrame, radius: int, scratch: Scratch, alike=None, payload
             yield out(pairs)
 
     wanted = ["shard", "chunk", "other", "own", "fp", "node"] + ([payload] if payload else [])
-    rows = chunked(sharded, scratch).select(*wanted)
+    rows = chunked(sharded, scratch, TREE_OF_SETS if payload else TREE).select(*wanted)
     dealt = rows.repartition("shard", "chunk", "other").sortWithinPartitions("shard", "chunk", "other", "own", "fp", "node")
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long, shard long, fp long")
 
 
 def linked(spark: SparkSession, rows: DataFrame, radius: int) -> DataFrame:
@@ -236,8 +243,7 @@ def linked(spark: SparkSession, rows: DataFrame, radius: int) -> DataFrame:
     rows = scratch.save(rows, "rows")
     entries = scratch.save(rows.groupBy("fp").agg(F.min("id").alias("first")), "entries")
     sharded = block_shards(entries.select("fp"), radius, entries.count()).withColumn("node", F.col("fp"))
-    edges = scratch.save(links(sharded, radius, scratch), "edges")
-    roots = components(edges, scratch)
+    roots = components(scratch.save(links(sharded, radius, scratch).select("a", "b"), "edges"), scratch)
     # Only entries that have a link are joined; the others are a component of their own.
     own = entries.join(roots, entries.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     own = scratch.save(own, "own")
@@ -274,10 +280,10 @@ class Sets:
         rows = self.all[js]
         common = (own[np.minimum(np.searchsorted(own, rows), len(own) - 1)] == rows).sum(1)
         whole = np.maximum(self.size[js], len(own)) < BOTTOM
-        least = np.where(whole, self.similarity * (self.size[js] + len(own) - common), (self.similarity - SHORT) * BOTTOM)
+        least = np.where(whole, self.similarity * (self.size[js] + len(own) - common), (self.similarity - UNLIKELY) * BOTTOM)
         return np.flatnonzero(common >= least).tolist()
 
-    def __call__(self, i: int, j: int) -> bool:
+    def __call__(self, i: int, j: int) -> bool | None:
         np, a, b = self.np, self.sets[i], self.sets[j]
         if not len(a) or not len(b):
             return len(a) == len(b)
@@ -287,7 +293,28 @@ class Sets:
         if max(len(a), len(b)) < BOTTOM:
             return bool(twice.sum() >= self.similarity * (len(both) - twice.sum()))
         rank = np.r_[True, ~twice].cumsum()[1:]  # of distinct hashes
-        return bool((twice & (rank <= BOTTOM)).sum() >= (self.similarity - SHORT) * BOTTOM)
+        share = (twice & (rank <= BOTTOM)).sum() / BOTTOM
+        return True if share >= self.similarity + SURE else False if share < self.similarity - UNLIKELY else None
+
+
+class WholeSets:
+    """The same for whole sets of any size."""
+
+    def __init__(self, payload: list[bytes], similarity: float):
+        import numpy as np
+
+        self.np, self.similarity, self.sets = np, similarity, [np.frombuffer(x, np.uint32) for x in payload]
+        self.size = np.array([len(x) for x in self.sets])
+
+    def maybe(self, i: int, js: list[int]):
+        """Places of those whose sizes allow it."""
+        np, own = self.np, len(self.sets[i])
+        size = self.size[np.array(js, np.int64)]
+        return np.flatnonzero(np.minimum(size, own) >= self.similarity * np.maximum(size, own)).tolist()
+
+    def __call__(self, i: int, j: int) -> bool:
+        common = len(self.np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
+        return bool(common >= self.similarity * (len(self.sets[i]) + len(self.sets[j]) - common))
 
 
 def distinct(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -324,7 +351,23 @@ def distinct(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     texts = rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("anchors").alias("anchors"), F.first("bottom").alias("bottom"))
     sharded = texts.select("node", "fp", "bottom", F.posexplode("anchors").alias("i", "anchor"))
     sharded = sharded.select(F.xxhash64("i", "anchor").alias("shard"), "node", "fp", "bottom")
-    edges = links(sharded, WIDE, scratch, lambda sets: Sets(sets, similarity), "bottom")
+    found = scratch.save(links(sharded, WIDE, scratch, lambda sets: Sets(sets, similarity), "bottom"), "found")
+    edges, undecided = found.where("b is not null").select("a", "b"), found.where("b is null").select("shard", "fp", F.col("a").alias("node")).distinct()
+    if undecided.limit(1).count():
+
+        def whole(batches):
+            import numpy as np
+            import pyarrow as pa
+
+            for b in batches:
+                texts = b.column(1).cast(pa.binary()).to_pylist()
+                sets = [np.unique(np.concatenate([(h >> np.uint64(32)).astype(np.uint32) for h in shingle_hashes(x, width)])).tobytes() for x in texts]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["node", "whole"])
+
+        those = df.select(key.alias("node"), text.alias("text")).join(undecided.select("node").distinct(), "node", "left_semi")
+        those = those.groupBy("node").agg(F.first("text").alias("text")).mapInArrow(whole, "node long, whole binary")
+        again = links(undecided.join(those, "node"), WIDE, scratch, lambda sets: WholeSets(sets, similarity), "whole")
+        edges = edges.unionByName(again.select("a", "b"))
     roots = components(scratch.save(edges, "edges"), scratch)
     every = rows.groupBy("id", "node").agg(F.count("*").alias("n"))
     every = every.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
