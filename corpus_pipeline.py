@@ -9,9 +9,15 @@ from formloom.llm import mixture, packing, pii, quality, simhash
 from formloom.llm._shared import Scratch, tables
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """Rows in one column each, so that results' names can't clash with theirs."""
+    return docs.select(F.struct(*docs.columns).alias("_row"))
+
+
 def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
-    return quality.classify(docs, tables(spark, sf_dir, "labels"), carry=docs.columns).where("keep").select(docs.columns)
+    judged = quality.classify(_whole(docs), tables(spark, sf_dir, "labels"), "_row.doc_id", "_row.text", carry=["_row"])
+    return judged.where("keep").select("_row.*")
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,13 +27,15 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def anonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates for personal data; n_chars follows the new text."""
-    replaced = pii.replace(docs).select(docs.columns)
+    replaced = pii.replace(docs.withColumnRenamed("n_entities", "_own_entities")).drop("n_entities")
+    replaced = replaced.withColumnRenamed("_own_entities", "n_entities")
     return replaced.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    return mixture.mix(docs).select(*docs.columns, F.explode(F.expr("array_repeat(1, cast(copies as int))"))).select(docs.columns)
+    taken = mixture.mix(_whole(docs), "_row.doc_id", "_row.text", "_row.source")
+    return taken.select("_row", F.explode(F.expr("array_repeat(1, cast(copies as int))")).alias("_copy")).select("_row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

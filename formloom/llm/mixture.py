@@ -131,10 +131,10 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
         counts.join(dealt, ["key", "size"]).withColumn("before", offsets)
         .join(goals.select("key", F.col("words").alias("source_size"), "target", "lam", "mean"), "key")
         .withColumn("rate", rate(F.col("lam"), F.col("size"), F.col("mean"), most))
-        .select(F.col("key").alias("_key"), F.col("size"), F.col("bucket").alias("_bucket"), "n", F.col("copies").alias("k"), "before", "source_size", "target", "rate")
+        .select(F.col("key").alias("_key"), F.col("size"), F.col("bucket").alias("_bucket"), F.col("n").alias("_n"), F.col("copies").alias("_k"), F.col("before").alias("_before"), "source_size", "target", "rate")
     )
     plan = scratch.save(plan, "plan")
     keys = ["_key", "size", "_bucket"]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("_hash", id_col)) - 1 + F.col("before")
-    out = rows.join(plan, keys).withColumn("copies", F.floor(F.col("k") / F.col("n")) + (rank < F.col("k") % F.col("n")).cast("long"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("_hash", id_col)) - 1 + F.col("_before")
+    out = rows.join(plan, keys).withColumn("copies", F.floor(F.col("_k") / F.col("_n")) + (rank < F.col("_k") % F.col("_n")).cast("long"))
     return out.select(*(c for c in df.columns if c not in results), *results)

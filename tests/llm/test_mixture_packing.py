@@ -55,7 +55,7 @@ def test_mix_odd_rows(spark):
     rng = random.Random(3)
     rows = [(i, "w " * rng.randint(1, 30), rng.choice(["a", "Z", "é", "b", None, ""])) for i in range(400)]
     rows += [(1000 + i, "same words here", "a") for i in range(300)] + [(2000, None, "a"), (2001, "", "only empty"), (2002, "x " * 9000, "long")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("size", F.lit("clash"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit("clash") for c in ("size", "n", "k", "before", "key", "bucket", "lam")})
     check_mix(rows, mixture.mix(docs).withColumn("taken", F.col("copies") * F.col("size")).collect())
     assert mixture.mix(docs.limit(0)).count() == 0
     twice = docs.unionByName(docs).withColumn("doc_id", F.when(F.col("doc_id") > 5, F.col("doc_id")))

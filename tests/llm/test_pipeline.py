@@ -65,8 +65,11 @@ def test_stages(spark, sf):
 def test_stages_take_odd_tables(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     odd = docs.limit(20).unionByName(docs.limit(5)).unionByName(spark.createDataFrame([(None,) * 5, (1 << 40, "", None, None, None), (None, "some text", "en", "s", 1)], docs.schema))
-    odd = odd.withColumn("keep", F.lit("clash")).withColumn("size", F.lit(1)).withColumn("_node2", F.lit(None).cast("string"))
+    odd = odd.withColumn("keep", F.lit("clash")).withColumn("size", F.lit(1)).withColumns({c: F.lit(2) for c in ("n", "k", "col", "copies", "n_entities", "node", "shard", "fp")})
     for table in (odd, odd.limit(0)):
         for name, stage in corpus_pipeline.STAGES:
+            columns = table.columns
             table = spark.createDataFrame((out := stage(spark, table, sf)).collect(), out.schema)
+            if name != "packing":
+                assert table.columns == columns and {(r.keep, r.size, r.n_entities, r.copies) for r in table.collect()} <= {("clash", 1, 2, 2)}
         assert "sequence_id" in table.columns
