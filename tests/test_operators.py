@@ -112,7 +112,9 @@ def test_splits(spark):
     a, b = labels.split_exact(df, "id"), labels.split_exact(df.repartition(7), "id")
     assert a.exceptAll(b).count() == 0 and labels.split_exact(df, "id", seed=14).exceptAll(a).count() > 0
     share = synth.crops(spark, 30, 0.3, by_page=True)
-    assert share.count() == 30 * 96 and share.select("page", "split").distinct().count() == 30
+    assert share.count() == 30 * 99 and share.select("page_image", "split").distinct().count() == 30
+    assert share.where("signature_present is null").count() == 90 and share.where("text is null").count() == 0
+    assert synth.crops(spark, 30, 0.3).select("page_image", "split").distinct().count() > 30
     assert share.exceptAll(synth.crops(spark, 30, 0.3, by_page=True)).count() == 0
 
 
