@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import Scratch
+from ._shared import Scratch, worker_store
 
 CAPACITY = 4096
 END = 1
@@ -25,7 +25,7 @@ BINS = 256
 #: Pieces of a partition: what stays open at its end is little against this many.
 PIECES = 1 << 15
 #: Distinct chunks that a worker remembers, and the longest of them in bytes.
-CHUNKS, LONGEST = 500_000, 48
+CHUNKS, LONGEST = 700_000, 48
 #: Lower-case letters below this are single precomposed letters: the tokenizer's normalisation leaves them as they are.
 PLAIN = "\u0250"
 
@@ -54,10 +54,12 @@ class ChunkTokenizer(dict):
         text = chunk.decode("utf-8", "replace")
         word = text[:-1] if len(chunk) > 1 and chunk[-1] in b".," else text
         low = word.lower()
-        if low.isalpha() and max(low) < PLAIN:  # one run of letters: it goes to the merges as it is
-            ids = array.array("I", [t.id for t in self.model.tokenize(low.encode().decode("latin-1").translate(self.alphabet))]).tobytes()
-            if word is not text:
-                ids += self[chunk[-1:]]
+        if low.isalpha() and max(low) < PLAIN:  # one run of letters, in lower case
+            plain = low.encode()
+            if plain != chunk:
+                ids = self[plain] + (self[chunk[-1:]] if word is not text else b"")
+            else:  # it goes to the merges as it is
+                ids = array.array("I", [t.id for t in self.model.tokenize(plain.decode("latin-1").translate(self.alphabet))]).tobytes()
         else:
             ids = array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if len(chunk) <= LONGEST:
@@ -82,7 +84,11 @@ def pieces(df: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id",
 
         import public_tokenizers
 
-        tok = ChunkTokenizer(tokenizer or public_tokenizers.path("word_bpe_49k.json"))
+        path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
+        store, own = worker_store(), f"tokenizer {path}"
+        if own not in store:
+            store[own] = ChunkTokenizer(path)
+        tok = store[own]
         end = struct.pack("<I", END)
         for b in batches:
             rows: list[tuple] = []
