@@ -317,6 +317,17 @@ class WholeSets:
         return bool(common >= self.similarity * (len(self.sets[i]) + len(self.sets[j]) - common))
 
 
+def _bitmap(nodes: DataFrame) -> bytes:
+    """Bits of all nodes, by their remainder. 2^27 bits (16 MB) at most: for more nodes it lets through more, never fewer."""
+    bits = 1 << min(27, max(16, (16 * nodes.count()).bit_length()))
+    words = nodes.select(F.pmod("node", F.lit(bits)).alias("at")).groupBy(F.shiftright("at", 5).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 32 as int))")).alias("v")).toArrow()
+    import numpy as np
+
+    out = np.zeros(bits // 32, np.uint32)
+    out[words["w"].to_numpy()] = words["v"].to_numpy().astype(np.uint32)
+    return out.tobytes()
+
+
 def distinct(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of `df` without near copies: of each group of texts that links of `similarity` or more connect, the row with the
     smallest id stays (null ids last; of repeated rows one). Texts without words are alike."""
@@ -355,17 +366,25 @@ def distinct(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     edges, undecided = found.where("b is not null").select("a", "b"), found.where("b is null").select("shard", "fp", F.col("a").alias("node")).distinct()
     if undecided.limit(1).count():
 
+        marked = _bitmap(undecided.select("node"))
+        sent = spark.sparkContext.broadcast(marked)
+
         def whole(batches):
             import numpy as np
             import pyarrow as pa
 
             for b in batches:
-                texts = b.column(1).cast(pa.binary()).to_pylist()
-                sets = [np.unique(np.concatenate([(h >> np.uint64(32)).astype(np.uint32) for h in shingle_hashes(x, width)])).tobytes() for x in texts]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["node", "whole"])
-
-        those = df.select(key.alias("node"), text.alias("text")).join(undecided.select("node").distinct(), "node", "left_semi")
-        those = those.groupBy("node").agg(F.first("text").alias("text")).mapInArrow(whole, "node long, whole binary")
+                node = b.column(0).to_numpy()
+                at = node.view(np.uint64) % np.uint64(8 * len(sent.value))
+                bits = np.frombuffer(sent.value, np.uint8)[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1
+                own = np.flatnonzero(bits)
+                texts = b.column(1).take(pa.array(own)).cast(pa.binary()).to_pylist()
+                sets = [np.unique(np.concatenate([np.empty(0, np.uint32), *((h >> np.uint64(32)).astype(np.uint32) for h in shingle_hashes(x, width))])).tobytes() for x in texts]
+                yield pa.RecordBatch.from_arrays([pa.array(node[own]), pa.array(sets, pa.binary())], ["node", "whole"])
+
+        # Most texts are left out by the bitmap where they are read; what it lets through by chance goes in the join.
+        those = df.select(key.alias("node"), text.alias("text")).mapInArrow(whole, "node long, whole binary")
+        those = those.groupBy("node").agg(F.first("whole").alias("whole"))
         again = links(undecided.join(those, "node"), WIDE, scratch, lambda sets: WholeSets(sets, similarity), "whole")
         edges = edges.unionByName(again.select("a", "b"))
     roots = components(scratch.save(edges, "edges"), scratch)
