@@ -34,14 +34,6 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def worker_store() -> dict:
-    """A dictionary of this Python worker; it lasts over tasks where Spark keeps workers."""
-    import sys
-    import types
-
-    return sys.modules.setdefault("formloom_worker_store", types.ModuleType("formloom_worker_store")).__dict__
-
-
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Connected components of `edges` (a, b: long). Returns (node, root): every node that has an edge
     with the smallest node of its component. Alternates large-star and small-star steps; each step is two
