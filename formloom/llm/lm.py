@@ -1,16 +1,19 @@
-"""Language-model scores by stupid backoff over word pairs, computed with tables of counts.
+"""Language-model scores by stupid backoff over n-grams of words, computed with tables of counts that are dealt to parts.
 
-A word's score after the word before it is log10(c(pair) / c(word before)) if the pair occurs at least SEEN times in the
-corpus, and log10(BACKOFF * c(word) / N) else; the first word of a document follows a start mark. A document's score is the
-sum over its words. Words are lower-cased (A-Z) and split at white space; they are hashed into 2^22 classes,
-and everything counts classes.
+A word's score after its context, the up to `order` - 1 words before it, is log10(c(context and word) / c(context)) if these words in a row
+occur at least SEEN times in the corpus; else the context loses its first word, at a cost of log10(BACKOFF); without context the score is
+log10(c(word) / N). A document begins with a start mark, and contexts do not reach beyond it. A document's score is the sum over its words.
+Words are lower-cased (A-Z) and split at white space. Words are told apart by 64-bit hashes and n-grams by 64-bit hashes of these:
+among 2 billion different n-grams one pair is expected to collide once in nine corpora.
 
-1. Class counts are summed over all documents. Their table has at most 2^22 rows and is sent to all tasks.
-2. Pairs of the HOT most frequent classes are counted; these are at most HOT^2 counts and sent likewise. No other pair can have over
-   1 / HOT of all words, so no part of the pair table is dominated by one key.
-3. All other pairs are exploded, packed by blocks of documents, and dealt to parts of the pair table by hash. A part
-   counts its pairs over all blocks and joins the counts back to the blocks' pairs; sums by document and part go back to the blocks,
-   whose documents get their totals. The number of parts follows from the number of words.
+SEEN is 2 as the documents that are scored are those that are counted: each n-gram has been seen at least once, in its own place, and with
+that self-count as evidence no word would ever back off.
+
+1. Each task reads its documents in blocks and lists each block's distinct n-grams of all orders with their counts in the block. A frequent
+   n-gram is thus one entry a block, so no part of the table is dominated by one key, and no table is sent to the driver or to all tasks.
+2. The entries are dealt to parts of the count table by hash. A part sums the counts over all blocks and returns them to the blocks. The number
+   of words and of documents are counted in the same way, as two further keys. The number of parts follows from the size of the texts.
+3. Each block works out its n-grams again from its numbered words, puts the counts in place, and scores its documents.
 
 A null or empty text has no words: score 0 and a null mean. Rows with null or repeated ids are scored each. Columns other than id and
 text are not looked at.
@@ -21,15 +24,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CLASSES, START = 1 << 22, 0
-BACKOFF, SEEN, HOT = 0.4, 2, 1024
-#: Words of a part of the pair table, and the fewest parts; documents and words of a block.
-PART, PARTS = 1 << 21, 64
+#: Words are numbered 1 to CLASSES - 1 by their hash; START is the mark before the first.
+CLASSES, START = 1 << 64, 0
+BACKOFF, SEEN = 0.4, 2
+#: No longer used, as frequent words are no burden to a part; tests set it.
+HOT = 1024
+#: Bytes of text for each part of the count table, and the fewest parts; documents and words of a block.
+PART, PARTS = 1 << 24, 64
 BLOCK_DOCS, BLOCK_WORDS = 4096, 1 << 20
 
 
 class Classes(dict):
-    """Classes of words; those met lately are remembered."""
+    """Hashes of words; those met lately are remembered."""
 
     LIMIT = 400_000
 
@@ -44,7 +50,7 @@ class Classes(dict):
     def of(self, text: bytes | None):
         import numpy as np
 
-        return np.fromiter(map(self.__getitem__, (text or b"").lower().split()), np.int64)
+        return np.fromiter(map(self.__getitem__, (text or b"").lower().split()), np.uint64)
 
 
 def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -57,117 +63,130 @@ def _binary(column):
     return column.cast(pa.binary()).to_pylist()
 
 
-def class_counts(texts: DataFrame):
-    """Counts of all classes as an array; START counts the documents that have words."""
+def _mixed(a, b):
+    """Hashes of pairs of hashes."""
     import numpy as np
 
-    def run(batches):
-        import pyarrow as pa
+    x = (a ^ (a >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + b + np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
 
-        classes, counts = Classes(), np.zeros(CLASSES, np.int64)
-        for b in batches:
-            for text in _binary(b.column(1)):
-                own = classes.of(text)
-                if len(own):
-                    counts[START] += 1
-                    if len(own) > CLASSES // 8:
-                        counts += np.bincount(own, minlength=CLASSES)
-                    else:
-                        np.add.at(counts, own, 1)
-        there = np.flatnonzero(counts)
-        for at in range(0, len(there), 1 << 16):
-            own = there[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(counts[own])], ["class", "n"])
-
-    summed = texts.mapInArrow(run, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(CLASSES, np.int64)
-    counts[summed["class"].to_numpy()] = summed["n"].to_numpy()
-    return counts
-
-
-def hot_pairs(texts: DataFrame, hot):
-    """Counts of pairs among the classes `hot`, by their places there."""
+def _total_key():
+    """The key under which all words are counted: no start mark follows another."""
     import numpy as np
 
-    sent = texts.sparkSession.sparkContext.broadcast(hot)
+    return _mixed(np.array([START], np.uint64), np.array([START], np.uint64))
 
-    def run(batches):
-        import pyarrow as pa
 
-        place = np.full(CLASSES, -1, np.int32)
-        place[sent.value] = np.arange(len(sent.value))
-        classes, counts = Classes(), np.zeros(len(sent.value) ** 2, np.int64)
-        for b in batches:
-            pairs = []
-            for text in _binary(b.column(1)):
-                own = place[np.r_[START, classes.of(text)]].astype(np.int64)
-                both = (own[:-1] >= 0) & (own[1:] >= 0)
-                pairs.append((own[:-1] * len(sent.value) + own[1:])[both])
-            if pairs:
-                counts += np.bincount(np.concatenate(pairs), minlength=len(counts))
-        there = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(counts[there])], ["pair", "n"])
-
-    summed = texts.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(len(hot) ** 2, np.int64)
-    counts[summed["pair"].to_numpy()] = summed["n"].to_numpy()
-    return counts.reshape(len(hot), len(hot))
-
-
-def pair_scores(counts, total: int, before, word, pairs):
-    """Scores of words: before, word are classes and pairs counts of the pairs."""
+def _grams(keys, numbers, n, order: int):
+    """A block's n-grams. keys: of its words; numbers: its words' places there, with a start mark (place 0) before each document that has
+    words; n: words of these documents. Per order: places of the grams' last words, the grams' numbers, and the distinct grams' keys and counts."""
+    import numpy as np
+
+    at = np.arange(len(numbers)) - np.repeat(np.cumsum(n + 1) - (n + 1), n + 1)
+    where, own, key = np.arange(len(numbers)), numbers.astype(np.int64), keys
+    out = [(where, own, key, np.bincount(own, minlength=len(keys)))]
+    for length in range(2, order + 1):
+        place = np.full(len(numbers), -1, np.int64)
+        place[where] = own
+        where = np.flatnonzero(at >= length - 1)
+        both, own, count = np.unique(place[where - 1] * len(keys) + numbers[where], return_inverse=True, return_counts=True)
+        key = _mixed(key[both // len(keys)], keys[both % len(keys)])
+        out.append((where, own, key, count))
+    return out
+
+
+def _dealt(grams, parts: int):
+    """Keys of all orders and of the total, their order when dealt (parts are ranges of keys), and their parts then."""
     import numpy as np
 
-    lower = np.log10(BACKOFF * counts[word] / total)
-    return np.where(pairs >= SEEN, np.log10(np.maximum(pairs, 1) / counts[before]), lower)
+    keys = np.concatenate([_total_key(), *(g[2] for g in grams)])
+    order = np.argsort(keys, kind="stable")
+    part = ((keys[order] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    return keys, order, part.astype(np.int64)
 
 
-def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_words, score, mean_score) of every row."""
+def word_scores(grams, counts, total: int):
+    """Scores of a block's words, start marks left out. counts: per order, of its distinct grams in the corpus."""
+    import numpy as np
+
+    size = len(grams[0][0])
+    by_place = []
+    for (where, own, _, _), c in zip(grams, counts):
+        by_place.append(np.zeros(size, np.int64))
+        by_place[-1][where] = c[own]
+    there = np.zeros(size, bool)
+    there[grams[1][0] if len(grams) > 1 else np.flatnonzero(grams[0][1])] = True
+    out, open_, cost = np.zeros(size), there.copy(), np.zeros(size)
+    for length in range(len(grams), 1, -1):
+        where = grams[length - 1][0]
+        c, context = by_place[length - 1][where], by_place[length - 2][where - 1]
+        seen = (c >= SEEN) & open_[where]
+        out[where[seen]] = np.log10(c[seen] / context[seen]) + cost[where[seen]]
+        open_[where[seen]] = False
+        cost[where] += np.log10(BACKOFF)
+    out[open_] = np.log10(by_place[0][open_] / total) + cost[open_]
+    return out[there]
+
+
+def _packed(numbers) -> bytes:
+    """Most numbers are small: bytes of one weight are stored together, and compressed."""
+    import numpy as np
+    import pyarrow as pa
+
+    width = 4 if not len(numbers) or int(numbers.max()) < 1 << 32 else 8
+    planes = np.ascontiguousarray(numbers.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T)
+    return np.array([width, len(numbers)], np.int64).tobytes() + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes):
+    import numpy as np
+    import pyarrow as pa
+
+    width, size = np.frombuffer(raw, np.int64, 2).tolist()
+    planes = np.frombuffer(pa.decompress(raw[16:], width * size, codec="zstd", asbytes=True), np.uint8).reshape(width, size)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.uint64)
+
+
+def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
+    """(id, n_words, score, mean_score) of every row; order: words of the longest n-grams that are counted."""
     import numpy as np
 
     texts = _texts(df, id_col, text_col)
-    counts = class_counts(texts)
-    total = int(counts[1:].sum())
-    hot = np.sort(np.argsort(-counts, kind="stable")[:HOT])
-    hot = hot[counts[hot] > 0]
-    parts = max(PARTS, -(-total // PART))
-    context = df.sparkSession.sparkContext
-    model = context.broadcast((counts, hot, hot_pairs(texts, hot)))
+    parts = max(PARTS, -(-(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART))
 
     def blocks(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        counts, hot, hot_counts = model.value
-        place = np.full(CLASSES, -1, np.int32)
-        place[hot] = np.arange(len(hot))
         classes, block = Classes(), TaskContext.get().partitionId() << 32
-        names = ["part", "block", "keys", "docs", "ids", "n", "base"]
+        names = ["part", "block", "keys", "counts", "ids", "n", "words"]
         types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
 
         def out(ids, words):
             n = np.array([len(w) for w in words], np.int64)
-            doc = np.repeat(np.arange(len(words)), n)
-            word = np.concatenate(words)
-            before = np.r_[START, word[:-1]] if len(word) else word
-            before[(n.cumsum() - n)[n > 0]] = START
-            a, b = place[before], place[word]
-            known = (a >= 0) & (b >= 0)
-            own = pair_scores(counts, total, before[known], word[known], hot_counts[a[known], b[known]])
-            base = np.bincount(doc[known], own, minlength=len(words))
-            key, doc = (before[~known] << 22) | word[~known], doc[~known]
-            part = _part(key, parts)
-            order = np.argsort(part, kind="stable")
-            part, key, doc = part[order], key[order], doc[order].astype(np.uint16)
-            starts = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)] if len(part) else [0]
+            some, mark = n[n > 0], np.array([START], np.uint64)
+            stream = np.concatenate([x for w in words if len(w) for x in (mark, w)] or [mark[:0]])
+            keys, numbers, count = np.unique(stream, return_inverse=True, return_counts=True)
+            ranked = np.argsort(-count, kind="stable")
+            ranked = np.r_[ranked[keys[ranked] == START], ranked[keys[ranked] != START]]
+            place = np.empty(len(keys), np.int64)
+            place[ranked] = np.arange(len(keys))
+            keys, numbers = keys[ranked], place[numbers]
             ids = pa.array(ids, pa.int64())
             there = np.array([i is not None for i in ids.to_pylist()], np.uint8)
             head = np.asarray(ids.fill_null(0)).tobytes() + there.tobytes()
-            rows = [(-1 - block, block, None, None, head, n.tobytes(), base.tobytes())]
-            for lo, hi in zip(starts[:-1], starts[1:]):
-                six = np.ascontiguousarray(key[lo:hi].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
-                rows.append((int(part[lo]), block, six.tobytes(), doc[lo:hi].tobytes(), None, None, np.int64(len(words)).tobytes()))
+            rows = [(-1 - block, block, keys.tobytes(), None, head, n.tobytes(), _packed(numbers))]
+            if len(stream):
+                grams = _grams(keys, numbers, some, order)
+                all_, dealt, part = _dealt(grams, parts)
+                all_, many = all_[dealt], np.concatenate([[n.sum()], *(g[3] for g in grams)])[dealt]
+                starts = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)]
+                for lo, hi in zip(starts[:-1], starts[1:]):
+                    gaps = np.diff(all_[lo:hi], prepend=np.uint64(0))  # of sorted keys: smaller than keys
+                    rows.append((int(part[lo]), block, _packed(gaps), _packed(many[lo:hi]), None, None, None))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
         ids, words, size = [], [], 0
@@ -182,54 +201,41 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
         if ids:
             yield out(ids, words)
 
-    schema = "part long, block long, keys binary, docs binary, ids binary, n binary, base binary"
-
     def joined(t):
-        """One part: counts its pairs and gives each block its documents' sums. Heads of blocks pass."""
+        """One part: sums its keys' counts and gives each block those of its keys. Heads of blocks pass."""
         import pyarrow as pa
 
         if t["part"][0].as_py() < 0:
-            return t.select(["block", "docs", "ids", "n", "base"])
-        counts = model.value[0]
-        sizes = [len(k) // 6 for k in t["keys"].to_pylist()]
-        wide = np.zeros((sum(sizes), 8), np.uint8)
-        wide[:, :6] = np.frombuffer(b"".join(t["keys"].to_pylist()), np.uint8).reshape(-1, 6)
-        keys, at, n = np.unique(wide.view("<i8").ravel(), return_inverse=True, return_counts=True)
-        own = pair_scores(counts, total, keys >> 22, keys & (CLASSES - 1), n)[at]
-        sums, those, lo = [], [], 0
-        for size, docs, many in zip(sizes, t["docs"].to_pylist(), t["base"].to_pylist()):
-            many = int(np.frombuffer(many, np.int64)[0])
-            docs, score_ = np.frombuffer(docs, np.uint16), own[lo : lo + size]
-            there = np.unique(docs)
-            total_ = np.bincount(docs, score_, minlength=many)
-            # Sums of all documents of the block or, where that is shorter, of those that have pairs here: never more than the pairs.
-            few = 10 * len(there) < 8 * many
-            sums.append((total_[there] if few else total_).tobytes())
-            those.append(there.tobytes() if few else None)
-            lo += size
-        none = pa.nulls(len(sums), pa.binary())
-        return pa.table({"block": t["block"], "docs": pa.array(those, pa.binary()), "ids": none, "n": none, "base": pa.array(sums, pa.binary())})
+            return t
+        raw = [np.cumsum(_unpacked(x), dtype=np.uint64) for x in t["keys"].to_pylist()]
+        keys, at = np.unique(np.concatenate(raw), return_inverse=True)
+        sums = np.zeros(len(keys), np.int64)
+        np.add.at(sums, at, np.concatenate([_unpacked(x) for x in t["counts"].to_pylist()]).astype(np.int64))
+        ends = np.cumsum([len(x) for x in raw])
+        back = [_packed(x) for x in np.split(sums[at], ends[:-1])]
+        none = pa.nulls(len(raw), pa.binary())
+        return pa.table({"part": t["part"], "block": t["block"], "keys": none, "counts": pa.array(back, pa.binary()), "ids": none, "n": none, "words": none})
 
     def summed(t):
         import pyarrow as pa
 
         head = next(i for i, x in enumerate(t["ids"].is_valid().to_pylist()) if x)
-        n = np.frombuffer(t["n"][head].as_py(), np.int64)
-        base = np.zeros(len(n))
-        for docs, own in zip(t["docs"].to_pylist(), t["base"].to_pylist()):
-            base[slice(None) if docs is None else np.frombuffer(docs, np.uint16)] += np.frombuffer(own, np.float64)
-        raw = t["ids"][head].as_py()
+        n, raw = np.frombuffer(t["n"][head].as_py(), np.int64), t["ids"][head].as_py()
+        some, base = n[n > 0], np.zeros(len(n))
+        if len(some):
+            keys = np.frombuffer(t["keys"][head].as_py(), np.uint64)
+            grams = _grams(keys, _unpacked(t["words"][head].as_py()).astype(np.int64), some, order)
+            all_, dealt, _ = _dealt(grams, parts)
+            found = [int(i) for i in np.argsort(t["part"].to_numpy(), kind="stable") if i != head]
+            counts = np.empty(len(all_), np.int64)
+            counts[dealt] = np.concatenate([_unpacked(t["counts"][i].as_py()) for i in found]).astype(np.int64)
+            cuts = np.cumsum([1, *(len(g[2]) for g in grams)])
+            own = word_scores(grams, [counts[lo:hi] for lo, hi in zip(cuts[:-1], cuts[1:])], int(counts[0]))
+            base = np.bincount(np.repeat(np.arange(len(n)), n), own, minlength=len(n))
         there = np.frombuffer(raw, np.uint8, offset=8 * len(n)).astype(bool)
         mean = np.divide(base, n, out=np.zeros(len(n)), where=n > 0)
         return pa.table({"id": pa.array(np.frombuffer(raw, np.int64, len(n)), mask=~there), "n_words": pa.array(n), "score": pa.array(base), "mean_score": pa.array(mean, mask=n == 0)})
 
-    dealt = texts.mapInArrow(blocks, schema).groupBy("part").applyInArrow(joined, "block long, docs binary, ids binary, n binary, base binary")
+    schema = "part long, block long, keys binary, counts binary, ids binary, n binary, words binary"
+    dealt = texts.mapInArrow(blocks, schema).groupBy("part").applyInArrow(joined, schema)
     return dealt.groupBy("block").applyInArrow(summed, "id long, n_words long, score double, mean_score double").withColumnRenamed("id", id_col)
-
-
-def _part(key, parts: int):
-    """Parts of the pair table by hash of the pair."""
-    import numpy as np
-
-    x = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((x >> np.uint64(24)) % np.uint64(parts)).astype(np.int64)

@@ -1,0 +1,54 @@
+import math
+import random
+from collections import Counter
+
+import pytest
+import xxhash
+
+from formloom.llm import lm
+
+
+def brute(rows, order):
+    """Scores from counts of the words themselves."""
+    docs = [(d, [None, *w] if (w := (t or "").encode().lower().split()) else []) for d, t in rows]
+    counts = Counter(tuple(w[i : i + m]) for _, w in docs for m in range(1, order + 1) for i in range(len(w) - m + 1))
+    total, out = sum(max(len(w) - 1, 0) for _, w in docs), {}
+    for d, w in docs:
+        s = 0.0
+        for i in range(1, len(w)):
+            lost = 0
+            for m in range(min(order, i + 1), 0, -1):
+                gram = tuple(w[i - m + 1 : i + 1])
+                if m == 1 or counts[gram] >= lm.SEEN:
+                    s += math.log10(counts[gram] / (counts[gram[:-1]] if m > 1 else total)) + lost * math.log10(lm.BACKOFF)
+                    break
+                lost += 1
+        out[d] = s
+    return out
+
+
+def sharing_a_class(n):
+    """Pairs of words that a hash into 2^22 classes does not tell apart."""
+    seen, found, i = {}, [], 0
+    while len(found) < n:
+        word = f"word{i}"
+        own = xxhash.xxh64_intdigest(word.encode(), 42) % ((1 << 22) - 1)
+        if own in seen:
+            found.append((seen[own], word))
+        seen[own], i = word, i + 1
+    return found
+
+
+def test_words_that_share_a_class_keep_their_counts(spark):
+    rows = [(i, f"{a} " * 40 + f"x{i} {b} y{i}") for i, (a, b) in enumerate(sharing_a_class(4))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.score for r in lm.score(df).collect()} == pytest.approx(brute(rows, 2), rel=1e-9)
+
+
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_orders(spark, monkeypatch, order):
+    monkeypatch.setattr(lm, "BLOCK_DOCS", 3)
+    rng = random.Random(order)
+    rows = [(i, " ".join(rng.choices("a b c d e f".split(), k=rng.choice([0, 1, 2, 3, 40])))) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.score for r in lm.score(df, order=order).collect()} == pytest.approx(brute(rows, order), rel=1e-9, abs=1e-9)
