@@ -1,15 +1,14 @@
 """Order MinHash: fingerprints whose likeness follows edit distance, from DataFrame functions alone.
 
 A text's k-mers are its runs of K code points (a shorter text is one k-mer; an empty or null text has none), each
-with its occurrence number. A k-mer's hash gives its sketch, one of SKETCHES, and its order value. A second
-occurrence gets a value drawn above the first one's, a third would rank after that, and so on; each sketch keeps the
-TUPLE smallest, so later occurrences can never be kept. The kept k-mers of a sketch are put into text order and hashed
-as a tuple. Likeness is the share of equal tuples among the sketches that either text fills, and 1 for two texts
-without k-mers. A sketch without k-mers is written as zeros.
+with its occurrence number. Each (k-mer, occurrence) is hashed by itself, however often the k-mer occurs: the hash gives
+its sketch, one of SKETCHES, and its order value. Each sketch keeps the TUPLE smallest of all. The kept ones of a sketch are
+put into text order and hashed as a tuple. Likeness is the share of equal tuples among the sketches that either text fills,
+and 1 for two texts without k-mers. A sketch without k-mers is written as zeros.
 
-Work: most k-mers are dropped by their order value before anything is sorted. The limit is set such that a sketch
-expects KEPT k-mers. If a sketch is left with fewer than TUPLE, the text is done again without a limit, so the
-result is always that of all k-mers.
+Work: only texts in which a k-mer repeats have all their k-mers sorted, to number the occurrences. After that, most are dropped by
+their order value. The limit is set such that a sketch expects KEPT of them. If a sketch is left with fewer than TUPLE, the
+text is done without a limit, so the result is always that of all k-mers and occurrences.
 
 Positions have 29 bits: a text may have up to 536 million code points.
 """
@@ -20,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A key has 6 bits for its sketch; tuples are pairs.
-K, SKETCHES, TUPLE, KEPT, WIDER = 12, 64, 2, 10, 6
+K, SKETCHES, TUPLE, KEPT = 12, 64, 2, 10
 ORDER = 1 << 27
 #: Documents of a range of ids, and the most ranges.
 RANGE, RANGES = 500, 1 << 16
@@ -31,25 +30,30 @@ def _let(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
+def _place(h: str) -> str:
+    """SQL: 6 bits of sketch and 28 of order value (the first is 0) of a hash."""
+    return f"(shiftleft(shiftrightunsigned({h}, 58), 28) | (shiftrightunsigned({h}, 20) & {ORDER - 1}))"
+
+
 def _kept(points: str, n: str, cut: str) -> str:
     """SQL: keys of the k-mers that the sketches keep, sorted by sketch. A key has 6 bits of sketch, 28 of order
     value, and 29 of position. points: the text in UTF-32."""
-    h = f"xxhash64(substring(c, 4 * i + 1, {4 * K}))"
-    order = f"(shiftrightunsigned({h}, 20) & {ORDER - 1})"
-    key = _let("h", h, f"(shiftleft(shiftrightunsigned(h, 58), 57) | shiftleft(shiftrightunsigned(h, 20) & {ORDER - 1}, 29) | i)")
-    starts = f"filter(sequence(0, greatest({n} - {K}, 0)), i -> {order} <= {cut})"
-    sorted_ = f"sort_array(transform({starts}, i -> {key}))"
-    value = f"(shiftright(x, 29) & {(1 << 28) - 1})"
-    second = _let("v", f"{value} + 1 + pmod(xxhash64(shiftright(x, 29)), {ORDER} - {value})",
-                  f"if(v <= {cut} or {cut} >= {ORDER}, shiftleft(shiftright(x, 57), 57) | shiftleft(v, 29) | (x & {(1 << 29) - 1}), -1)")
-    numbered = f"""transform(s, (x, j) -> case
-        when j >= 1 and shiftright(s[j - 1], 29) = shiftright(x, 29)
-        then if(j >= 2 and shiftright(s[j - 2], 29) = shiftright(x, 29), -1, {second})
-        else x end)"""
-    again = _let("s", sorted_, f"sort_array(filter({numbered}, x -> x >= 0))")
-    first = f"filter(t, (x, j) -> j < {TUPLE} or shiftright(t[j - {TUPLE}], 57) <> shiftright(x, 57))"
+    place = _let("h", f"xxhash64(substring(c, 4 * i + 1, {4 * K}))", _place("h"))
+    places = f"transform(sequence(0, greatest({n} - {K}, 0)), i -> {place})"
+    same = lambda at: f"shiftright(s[{at}], 29) = shiftright(x, 29)"
+    # How many equal k-mers are before a sorted one: steps of halving length as far back as they still meet an equal one.
+    before = f"j - aggregate(steps, j, (at, step) -> if(at < step, at, if({same('at - step')}, at - step, at)))"
+    number = f"if(j < 2, 2, if({same('j - 2')}, {before} + 1, 2))"
+    again = _let("h", f"xxhash64(shiftright(x, 29), {number})", f"(shiftleft({_place('h')}, 29) | (x & {(1 << 29) - 1}))")
+    renamed = f"transform(s, (x, j) -> if(j < 1, x, if({same('j - 1')}, {again}, x)))"
+    steps = f"filter(transform(sequence(29, 0), b -> cast(shiftleft(1, b) as int)), b -> b <= {n})"
+    numbered = _let("steps", steps, _let("s", "sort_array(u)", renamed))
+    keys = _let("u", "transform(p, (x, i) -> shiftleft(x, 29) | i)", f"if(size(array_distinct(p)) = size(p), u, {numbered})")
+    first = lambda t: _let("t", f"sort_array({t})", f"filter(t, (x, j) -> j < {TUPLE} or shiftright(t[j - {TUPLE}], 57) <> shiftright(x, 57))")
+    small = first(f"filter(k, x -> (shiftright(x, 29) & {(1 << 28) - 1}) <= {cut})")
+    chosen = _let("few", small, f"if(size(few) = {SKETCHES * TUPLE} or {cut} >= {ORDER}, few, {first('k')})")
     # A column's bytes are copied each time that a lambda reads them; a lambda's own variable is not.
-    return f"if({n} = 0, cast(array() as array<bigint>), {_let('c', points, _let('t', again, first))})"
+    return f"if({n} = 0, cast(array() as array<bigint>), {_let('c', points, _let('p', places, _let('k', keys, chosen)))})"
 
 
 def _pair(x: str, y: str) -> str:
@@ -63,17 +67,13 @@ def signature(df: DataFrame, text_col: str, out: str) -> DataFrame:
     df = df.withColumn("_points", F.encode(F.col(text_col), "UTF-32"))
     df = df.withColumn("_n", F.length("_points") / 4).withColumn("_n", F.col("_n").cast("int"))
     cut = f"cast(if(_n <= {SKETCHES * KEPT}, {ORDER}, {ORDER}D * {SKETCHES * KEPT} / _n) as bigint)"
-    df = df.withColumn("_cut", F.expr(cut)).withColumn("_few", F.expr(_kept("_points", "_n", "_cut")))
+    df = df.withColumn("_cut", F.expr(cut)).withColumn("_all", F.expr(_kept("_points", "_n", "_cut")))
     full = SKETCHES * TUPLE
-    # Texts that repeat themselves have few distinct k-mers: first a higher limit, then none.
-    for was, now, limit in (("_few", "_more", f"least(_cut * {WIDER}, {ORDER}L)"), ("_more", "_all", f"{ORDER}L")):
-        redo = _let("d", limit, _kept("_points", "_n", "d"))
-        df = df.withColumn(now, F.expr(f"if(size({was}) = {full} or _cut >= {ORDER}, {was}, {redo})"))
     own = _let("q", "filter(a, x -> shiftright(x, 57) = b)",
                f"case size(q) when 0 then 0L when 1 then shiftrightunsigned(xxhash64(shiftright(q[0], 29)), 32) | 1 else {_pair('q[0]', 'q[1]')} end")
     sketches = f"sequence(0, {SKETCHES - 1})"
     made = f"if(size(a) = {full}, transform({sketches}, b -> {_pair('a[2 * b]', 'a[2 * b + 1]')}), transform({sketches}, b -> {own}))"
-    return df.withColumn(out, F.expr(_let("a", "_all", made))).drop("_points", "_n", "_cut", "_few", "_more", "_all")
+    return df.withColumn(out, F.expr(_let("a", "_all", made))).drop("_points", "_n", "_cut", "_all")
 
 
 def text_form(signature_col: str) -> Column:

@@ -1,0 +1,43 @@
+import random
+from collections import Counter
+
+import xxhash
+
+from formloom.llm import order_minhash as om
+
+
+def h_long(x, seed):
+    return xxhash.xxh64_intdigest((x & (1 << 64) - 1).to_bytes(8, "little"), seed)
+
+
+def order_minhash(text):
+    """Order MinHash with a hash for each k-mer and occurrence, all kept."""
+    seen, sketches = Counter(), {}
+    for i in range(max(len(text) - om.K, 0) + 1 if text else 0):
+        place = lambda h: (h >> 58) << 28 | h >> 20 & om.ORDER - 1
+        own = place(xxhash.xxh64_intdigest(text[i : i + om.K].encode("utf-32-be"), 42))
+        seen[own] += 1
+        if seen[own] > 1:
+            own = place(xxhash.xxh64_intdigest(seen[own].to_bytes(4, "little"), h_long(own, 42)))
+        sketches.setdefault(own >> 28, []).append((own, i))
+    out = []
+    for b in range(om.SKETCHES):
+        h = 42
+        kept = sorted(sorted(sketches.get(b, []))[: om.TUPLE], key=lambda x: x[1])
+        for own, _ in kept:
+            h = h_long(own, h)
+        out.append(h >> 32 | 1 if kept else 0)
+    return out
+
+
+def test_every_occurrence_counts(spark):
+    rng = random.Random(3)
+    text = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    rest, passage = text(300), text(80)
+    texts = [rest + passage * n for n in (1, 2, 10, 30)] + ["a" * 3000, "ab" * 70, "line one\n" * 700, "short", "", text(4000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    got = [r.fingerprint for r in om.fingerprints(df).orderBy("id").collect()]
+    assert got == ["".join(f"{x:08x}" for x in order_minhash(t)) for t in texts]
+    two, ten, thirty = got[1:4]
+    alike = lambda a, b: sum(a[i : i + 8] == b[i : i + 8] for i in range(0, len(a), 8)) / om.SKETCHES
+    assert alike(two, ten) < 0.5 and alike(two, thirty) < 0.3
