@@ -126,7 +126,7 @@ def chunked(sharded: DataFrame, scratch: Scratch, most: int) -> DataFrame:
         .select("shard", F.ceil(F.col("n") * 2 / most).cast("int").alias("chunks"))
     )
     hot = scratch.save(hot, "hot")  # its size is known from here on: it is broadcast only if it is small
-    own = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("chunks")).cast("int")
+    own = F.pmod(F.xxhash64("fp", "node", F.lit(7)), F.col("chunks")).cast("int")
     meets = F.explode(
         F.transform(
             F.sequence(F.lit(0), F.col("chunks") - 1),
