@@ -2,15 +2,17 @@
 
 A text's k-mers are its runs of K code points (a shorter text is one k-mer; an empty or null text has none), each
 with its occurrence number. Each (k-mer, occurrence) is hashed by itself, however often the k-mer occurs: the hash gives
-its sketch, one of SKETCHES, and its order value. Each sketch keeps the TUPLE smallest of all. The kept ones of a sketch are
-put into text order and hashed as a tuple. Likeness is the share of equal tuples among the sketches that either text fills,
-and 1 for two texts without k-mers. A sketch without k-mers is written as zeros.
+its sketch, one of SKETCHES, and its order value. Each sketch keeps the TUPLE smallest of all. A sketch with fewer than TUPLE (short
+texts have such) takes the smallest of the whole text under a hash of its own instead, so that no sketch is empty. The kept ones of a
+sketch are put into text order and hashed as a tuple. Likeness is the share of equal tuples, and 1 for two texts without k-mers, whose
+sketches are zeros.
 
-Work: only texts in which a k-mer repeats have all their k-mers sorted, to number the occurrences. After that, most are dropped by
-their order value. The limit is set such that a sketch expects KEPT of them. If a sketch is left with fewer than TUPLE, the
+Work: one pass hashes all k-mers, and a sort brings equal ones together. A second pass drops first occurrences beyond a limit, set such
+that a sketch expects KEPT of them; repeated ones stay, as their hash is yet to come. If a sketch is then left with fewer than TUPLE, the
 text is done without a limit, so the result is always that of all k-mers and occurrences.
 
-Positions have 29 bits: a text may have up to 536 million code points.
+A key has 6 bits of sketch, 29 of order value and 29 of position: a text may have up to 536 million code points. K-mers of equal sketch and
+order value (35 bits) count as equal.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from pyspark.sql import functions as F
 
 #: A key has 6 bits for its sketch; tuples are pairs.
 K, SKETCHES, TUPLE, KEPT = 12, 64, 2, 10
-ORDER = 1 << 27
+PLACE = (1 << 29) - 1
+ORDER = PLACE << 29
 #: Documents of a range of ids, and the most ranges.
 RANGE, RANGES = 500, 1 << 16
 
@@ -30,50 +33,58 @@ def _let(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _place(h: str) -> str:
-    """SQL: 6 bits of sketch and 28 of order value (the first is 0) of a hash."""
-    return f"(shiftleft(shiftrightunsigned({h}, 58), 28) | (shiftrightunsigned({h}, 20) & {ORDER - 1}))"
-
-
-def _kept(points: str, n: str, cut: str) -> str:
-    """SQL: keys of the k-mers that the sketches keep, sorted by sketch. A key has 6 bits of sketch, 28 of order
-    value, and 29 of position. points: the text in UTF-32."""
-    place = _let("h", f"xxhash64(substring(c, 4 * i + 1, {4 * K}))", _place("h"))
-    places = f"transform(sequence(0, greatest({n} - {K}, 0)), i -> {place})"
-    same = lambda at: f"shiftright(s[{at}], 29) = shiftright(x, 29)"
-    # How many equal k-mers are before a sorted one: steps of halving length as far back as they still meet an equal one.
-    before = f"j - aggregate(steps, j, (at, step) -> if(at < step, at, if({same('at - step')}, at - step, at)))"
-    number = f"if(j < 2, 2, if({same('j - 2')}, {before} + 1, 2))"
-    again = _let("h", f"xxhash64(shiftright(x, 29), {number})", f"(shiftleft({_place('h')}, 29) | (x & {(1 << 29) - 1}))")
-    renamed = f"transform(s, (x, j) -> if(j < 1, x, if({same('j - 1')}, {again}, x)))"
-    steps = f"filter(transform(sequence(29, 0), b -> cast(shiftleft(1, b) as int)), b -> b <= {n})"
-    numbered = _let("steps", steps, _let("s", "sort_array(u)", renamed))
-    keys = _let("u", "transform(p, (x, i) -> shiftleft(x, 29) | i)", f"if(size(array_distinct(p)) = size(p), u, {numbered})")
-    first = lambda t: _let("t", f"sort_array({t})", f"filter(t, (x, j) -> j < {TUPLE} or shiftright(t[j - {TUPLE}], 57) <> shiftright(x, 57))")
-    small = first(f"filter(k, x -> (shiftright(x, 29) & {(1 << 28) - 1}) <= {cut})")
-    chosen = _let("few", small, f"if(size(few) = {SKETCHES * TUPLE} or {cut} >= {ORDER}, few, {first('k')})")
-    # A column's bytes are copied each time that a lambda reads them; a lambda's own variable is not.
-    return f"if({n} = 0, cast(array() as array<bigint>), {_let('c', points, _let('p', places, _let('k', keys, chosen)))})"
+def _key(h: str, place: str) -> str:
+    return f"({h} & {~PLACE}L) | ({place})"
+
+
+def _alike(other: str) -> str:
+    """SQL: whether a key is of the same k-mer as x; null if there is none."""
+    return f"shiftright({other} ^ x, 29) = 0"
+
+
+def _numbered(some: str, limit: str) -> str:
+    """SQL: sorted keys, each of a later occurrence with the hash of that occurrence. Of k-mers beyond the limit the first is not there."""
+    same = lambda at: f"{_alike(f'get(s, {at})')}"
+    # How many equal k-mers are before a sorted one: none, one, or steps of halving length as far back as they still meet an equal one.
+    before = f"j - aggregate(steps, j, (at, step) -> if({same('at - step')}, at - step, at))"
+    before = f"if({same('j - 1')}, if({same('j - 2')}, {before}, 1), 0)"
+    number = f"{before} + if(x & {ORDER}L <= {limit}, 1, 2)"
+    again = _key("xxhash64(shiftright(x, 29), n)", f"x & {PLACE}L")
+    named = f"transform(s, (x, j) -> {_let('n', number, f'if(n = 1, x, {again})')})"
+    steps = "filter(transform(sequence(29, 0), b -> cast(shiftleft(1, b) as int)), b -> b <= size(s))"
+    return _let("s", some, _let("steps", steps, named))
 
 
 def _pair(x: str, y: str) -> str:
-    place = f"& {(1 << 29) - 1}"
+    place = f"& {PLACE}L"
     a, b = f"shiftright({x}, 29)", f"shiftright({y}, 29)"
     return f"(shiftrightunsigned(if(({x} {place}) < ({y} {place}), xxhash64({a}, {b}), xxhash64({b}, {a})), 32) | 1)"
 
 
 def signature(df: DataFrame, text_col: str, out: str) -> DataFrame:
-    """Adds `out`, the tuple hashes of a non-null text, as array<bigint>; 0 for a sketch without k-mers."""
-    df = df.withColumn("_points", F.encode(F.col(text_col), "UTF-32"))
-    df = df.withColumn("_n", F.length("_points") / 4).withColumn("_n", F.col("_n").cast("int"))
-    cut = f"cast(if(_n <= {SKETCHES * KEPT}, {ORDER}, {ORDER}D * {SKETCHES * KEPT} / _n) as bigint)"
-    df = df.withColumn("_cut", F.expr(cut)).withColumn("_all", F.expr(_kept("_points", "_n", "_cut")))
+    """Adds `out`, the tuple hashes of a non-null text, as array<bigint>; 0 for a sketch of a text without k-mers.
+    Sorts are columns of their own: there they are compiled and sort plain numbers."""
+    df = df.withColumn("_n", F.length(text_col)).withColumn("_points", F.encode(F.col(text_col), "UTF-32"))
+    df = df.withColumn("_cut", F.expr(f"cast(if(_n <= {SKETCHES * KEPT}, {ORDER}L, shiftleft(cast({1 << 29}D * {SKETCHES * KEPT} / _n as bigint), 29)) as bigint)"))
+    # A column's bytes are copied each time that a lambda reads them; a lambda's own variable is not.
+    hashed = _key(f"xxhash64(substring(c, at, {4 * K}))", "shiftright(at, 2)")
+    hashed = _let("c", "_points", f"transform(sequence(1, 4 * greatest(_n - {K}, 0) + 1, 4), at -> {hashed})")
+    df = df.withColumn("_keys", F.expr(f"sort_array(if(_n = 0, cast(array() as array<bigint>), {hashed}))"))
+    some = _let("s", "_keys", _let("most", "_cut", f"filter(s, (x, j) -> x & {ORDER}L <= most or {_alike('get(s, j - 1)')})"))
+    few = _let("most", "_cut", f"filter({_numbered(some, 'most')}, x -> x & {ORDER}L <= most)")
+    df = df.withColumn("_few", F.expr(f"sort_array({few})"))
+    first = lambda t: _let("t", t, f"filter(t, (x, j) -> j < {TUPLE} or shiftright(t[j - {TUPLE}], 58) <> shiftright(x, 58))")
+    df = df.withColumn("_first", F.expr(f"if(size(_few) > 0, {first('_few')}, _few)"))
     full = SKETCHES * TUPLE
-    own = _let("q", "filter(a, x -> shiftright(x, 57) = b)",
-               f"case size(q) when 0 then 0L when 1 then shiftrightunsigned(xxhash64(shiftright(q[0], 29)), 32) | 1 else {_pair('q[0]', 'q[1]')} end")
+    enough = f"size(_first) = {full} or _cut >= {ORDER}L"
+    df = df.withColumn("_all", F.expr(f"if({enough}, _few, sort_array({_numbered('_keys', f'{ORDER}L')}))")).withColumn("_first", F.expr(f"if({enough}, _first, {first('_all')})"))
+    own = f"filter(a, x -> shiftright(x, 58) = b - {SKETCHES // 2})"
+    other = f"slice(sort_array(transform(k, x -> {_key('xxhash64(shiftright(x, 29), b)', f'x & {PLACE}L')})), 1, {TUPLE})"
+    single = "shiftrightunsigned(xxhash64(shiftright(q[0], 29)), 32) | 1"
+    tuple_ = _let("o", own, _let("q", f"if(size(o) = {TUPLE}, o, {other})", f"if(size(q) = 1, {single}, {_pair('q[0]', 'q[1]')})"))
     sketches = f"sequence(0, {SKETCHES - 1})"
-    made = f"if(size(a) = {full}, transform({sketches}, b -> {_pair('a[2 * b]', 'a[2 * b + 1]')}), transform({sketches}, b -> {own}))"
-    return df.withColumn(out, F.expr(_let("a", "_all", made))).drop("_points", "_n", "_cut", "_all")
+    made = f"case size(a) when 0 then transform({sketches}, b -> 0L) when {full} then transform({sketches}, b -> {_pair('a[2 * b]', 'a[2 * b + 1]')}) else {_let('k', '_all', f'transform({sketches}, b -> {tuple_})')} end"
+    return df.withColumn(out, F.expr(_let("a", "_first", made))).drop("_points", "_n", "_cut", "_keys", "_few", "_first", "_all")
 
 
 def text_form(signature_col: str) -> Column:
@@ -81,9 +92,7 @@ def text_form(signature_col: str) -> Column:
 
 
 def likeness(a: str, b: str) -> Column:
-    filled = f"aggregate(zip_with({a}, {b}, (x, y) -> if(x <> 0 or y <> 0, 1, 0)), 0, (s, v) -> s + v)"
-    equal = f"aggregate(zip_with({a}, {b}, (x, y) -> if(x = y and x <> 0, 1, 0)), 0, (s, v) -> s + v)"
-    return F.expr(f"if({filled} = 0, 1D, {equal} / cast({filled} as double))")
+    return F.expr(f"size(filter(zip_with({a}, {b}, (x, y) -> x = y), x -> x)) / cast({SKETCHES} as double)")
 
 
 def fingerprints(df: DataFrame, text_col: str = "text", out: str = "fingerprint") -> DataFrame:
