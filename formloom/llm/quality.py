@@ -1,30 +1,34 @@
 """Quality classifier from weak labels.
 
-Heuristic labellers vote to reject a document or don't vote; one more votes to keep those on which no heuristic votes.
-Expectation maximisation over the counts of all documents' vote patterns estimates how often each labeller votes so on
-documents of either class, and gives each pattern a posterior. What a labeller doesn't say counts for nothing: a heuristic
-knows one fault and is silent on others. A hashed linear scorer is then trained on posterior labels, and decides on every document.
+Heuristic labellers vote to reject a document or abstain; labels of people, where there are any, are one more labeller. Documents are of
+two unseen classes. A heuristic votes with one probability on documents to reject (its propensity) and with another on the rest (its
+rate of false alarms), and both what it says and that it abstains count. Labels are missing at random: only what they say counts, with
+an accuracy for either class. Expectation maximisation over the counts of all documents' vote patterns estimates these probabilities and the
+share to reject, and gives each pattern a posterior. A hashed linear scorer is then trained on posterior labels, and decides on every document.
 
-Labellers: shares of symbol runs, table bars, upper-case words, shouted words, words that repeat the one before, repeated lines and
-characters other than letters; a lexicon of words and word beginnings, learned from labelled documents, that
-mark toxic ones; and the labels themselves where there are any (reject: low quality or toxic). The scorer sees no labels, only the text.
+Heuristics: shares of symbol runs, table bars, upper-case words, shouted words, words that repeat the one before, repeated lines and
+characters other than letters; and a lexicon of words and word beginnings, learned from labelled documents, that
+mark toxic ones. The labels themselves reject where they say low quality or toxic. The scorer sees no labels, only the text.
 
-Bounds: the lexicon is learned on LABELLED labelled documents, the scorer on TRAINED documents, each those of
-smallest hash; votes, posteriors and scores cover all documents. There are at most 3^10 vote patterns.
+Bounds, all arguments: the lexicon is learned on `labelled` labelled documents, the scorer on `trained` documents, each those of smallest
+hash, as far as `sample_bytes` of text go (documents above a 64th of that are not taken into samples); votes, posteriors and scores cover all
+documents. There are at most 2^8 * 3 vote patterns. The lexicon is counted by aggregates; the driver holds the samples' sketches of words,
+and the scorer's features, a number each.
 
 A null text counts as an empty one; texts without words get no votes but a label's, and are decided like any other. Rows with null
-ids have no labels; of several labels of an id the worst counts. Without labels there is no lexicon. Columns other than
-id and text are not looked at.
+ids have no labels; of several labels of an id the worst counts. Of rows with one id and different texts, each is scored, and the posterior of the
+worst is what any of them is trained on. Without labels there is no lexicon. Equal hashes are taken in order of ids. Columns other than
+id and text are not looked at. A table without rows gives none.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._shared import Scratch
 
-LABELLED, TRAINED = 8192, 5000
+LABELLED, TRAINED, SAMPLE_BYTES = 8192, 8192, 1 << 26
 BITS, EPOCHS, L2 = 22, 80, 1e-5
 #: Lexicon entries: documents of the sample they are in at least, and the share of those that is toxic.
 SUPPORT, PRECISION = 5, 0.9
@@ -34,7 +38,10 @@ ENOUGH_SUPPORT, ENOUGH_PRECISION = 20, 0.98
 ALIKE = (5, 8)
 #: Share above which a labeller rejects.
 SHARES = {"symbols": 0.2, "bars": 0.15, "capitals": 0.4, "shouts": 0.3, "repeats": 0.25, "lines": 0.6, "others": 0.6}
-REJECT, KEEP, NOTHING = 1, 0, 2
+#: Votes. Labels that are wrong more often than LABEL_ERROR are not believed to be.
+REJECT, KEEP, NOTHING, LABEL_ERROR = 1, 0, 2, 0.2
+#: With so many labelled documents, one without a label weighs half of one that has one.
+HALVED = 100
 #: Features of a share are its level among these.
 LEVELS = (0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.8)
 #: Values of features: of a document's words together, of length one times this; of each share.
@@ -84,37 +91,39 @@ def forms(word: bytes) -> list[bytes]:
 
 
 def votes(text: bytes, marks: Marks) -> list[int]:
-    """Votes of the share labellers, the lexicon, and the one that keeps."""
+    """Votes of the share labellers and of the lexicon."""
     own = shares(text)
     if not own:
-        return [NOTHING] * (len(SHARES) + 2)
+        return [NOTHING] * (len(SHARES) + 1)
     out = [REJECT if own[k] > most else NOTHING for k, most in SHARES.items()]
-    out.append(REJECT if marks.lexicon and marks.of(vocabulary(text)) >= 2 else NOTHING)
-    return out + [NOTHING if REJECT in out else KEEP]
+    return out + [REJECT if marks.lexicon and marks.of(vocabulary(text)) >= 2 else NOTHING]
 
 
-def em(patterns, counts, rounds: int = 200):
-    """Posterior of reject for each vote pattern (columns are labellers, the last one the labels), and how often either class
-    gets each vote. The labels are silent at random: theirs are rates among their votes."""
+def em(patterns, counts, rounds: int = 2000):
+    """(posterior of reject by vote pattern, share to reject, rates, label rates). Columns of patterns are labellers, the last one the labels.
+    rates[c, j]: how often heuristic j rejects documents of class c (1: to reject); label rates[c]: how often labels that are there do.
+    Documents without a label weigh 1 / (1 + labelled documents / HALVED) in the estimates: all count as long as there are few labels, and with many
+    the rates are not bent by labellers that are not independent. Rates have half a document of either vote added, so that none is 0 or 1."""
     import numpy as np
 
-    said = np.stack([patterns == KEEP, patterns == REJECT], 2).astype(np.float64)  # pattern, labeller, vote
-    rejects, keeps = (patterns == REJECT).any(1), (patterns == KEEP).any(1)
-    post = np.where(rejects, 0.9, np.where(keeps, 0.05, 0.2))
-    rate = np.zeros((2, patterns.shape[1], 2))
+    fires, label = (patterns[:, :-1] == REJECT).astype(np.float64), patterns[:, -1]
+    says = np.stack([label == KEEP, label == REJECT], 1).astype(np.float64)
+    weights = np.where(label == NOTHING, 1 / (1 + counts[label != NOTHING].sum() / HALVED), 1.0) * counts
+    post = np.where(label == REJECT, 0.95, np.where(label == KEEP, 0.05, np.where(fires.any(1), 0.8, 0.05)))
+    rates, label_rates, prior = np.zeros((2, fires.shape[1])), np.zeros(2), 0.5
     for _ in range(rounds):
-        each = np.stack([1 - post, post]) * counts
-        rate = np.einsum("cp,plv->clv", each, said)
-        whole = np.broadcast_to(each.sum(1)[:, None], rate.shape[:2]).copy()
-        whole[:, -1] = rate[:, -1].sum(1)
-        rate = np.clip((rate + 0.01) / (whole[:, :, None] + 1), 1e-5, 1)
-        prior = np.clip(each.sum(1) / max(each.sum(), 1e-12), 1e-6, 1)
-        log = np.log(prior)[:, None] + np.einsum("clv,plv->cp", np.log(rate), said)
-        new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -700, 700)))
-        if np.abs(new - post).max(initial=0) < 1e-9:
+        each = np.stack([1 - post, post]) * weights
+        rates = (each @ fires + 0.5) / (each.sum(1)[:, None] + 1)
+        said = each @ says
+        label_rates = (said[:, 1] + 0.5) / (said.sum(1) + 1)
+        label_rates = np.array([min(label_rates[0], LABEL_ERROR), max(label_rates[1], 1 - LABEL_ERROR)])
+        prior = (each[1].sum() + 0.5) / (weights.sum() + 1)
+        log = np.log(rates) @ fires.T + np.log1p(-rates) @ (1 - fires).T + np.log(label_rates)[:, None] * says[:, 1] + np.log1p(-label_rates)[:, None] * says[:, 0]
+        new = 1 / (1 + np.exp(np.clip(log[0] - log[1] + np.log1p(-prior) - np.log(prior), -700, 700)))
+        moved, post = np.abs(new - post).max(initial=0), new
+        if moved < 1e-10:
             break
-        post = new
-    return post, rate
+    return post, prior, rates, label_rates
 
 
 def sketch(vocab: set[bytes]) -> list[int]:
@@ -145,35 +154,32 @@ class Marks(dict):
         return sum(map(self.__getitem__, vocab)) if self.lexicon else 0
 
 
-def lexicon_of(documents) -> dict[bytes, int]:
-    """Words and beginnings that mark toxic documents, with what one counts for; near copies count once. documents() gives
-    (toxic, words, sketch) and is gone through thrice, so that only what toxic documents have often is counted elsewhere."""
+def copies(sketches) -> set[int]:
+    """Of (id, sketch) in order: ids whose sketch shares ALIKE[0] values with that of an earlier one that is no copy."""
     met: dict = {}
-    again = set()
-    for n, (_, _, sketched) in enumerate(documents()):
+    out = set()
+    for own, sketched in sketches:
         shared: dict[int, int] = {}
         for key in enumerate(sketched):
             for other in met.get(key, ()):
                 shared[other] = shared.get(other, 0) + 1
         if max(shared.values(), default=0) >= ALIKE[0]:
-            again.add(n)
+            out.add(own)
         else:
             for key in enumerate(sketched):
-                met.setdefault(key, []).append(n)
-    del met
-    toxic: dict[bytes, int] = {}
-    for n, (bad, words, _) in enumerate(documents()):
-        if bad and n not in again:
-            for f in {f for w in words for f in forms(w)}:
-                toxic[f] = toxic.get(f, 0) + 1
-    toxic = {f: n for f, n in toxic.items() if n >= SUPPORT}
-    total = dict.fromkeys(toxic, 0)
-    for n, (_, words, _) in enumerate(documents()):
-        if n not in again:
-            for f in {f for w in words for f in forms(w) if f in total}:
-                total[f] += 1
-    enough = lambda f, n: n >= ENOUGH_SUPPORT and n >= ENOUGH_PRECISION * total[f]
-    return {f: 2 if enough(f, n) else 1 for f, n in toxic.items() if n >= PRECISION * total[f]}
+                met.setdefault(key, []).append(own)
+    return out
+
+
+def lexicon_of(found: DataFrame) -> dict[bytes, int]:
+    """Words and beginnings that mark toxic documents, with what one counts for; near copies count once. found: id, toxic, forms, sketch."""
+    again = copies((r.id, r.sketch) for r in found.select("id", "sketch").orderBy("id").toLocalIterator())
+    own = found.select("id", "toxic", F.explode("forms").alias("form"))
+    if again:
+        own = own.join(F.broadcast(found.sparkSession.createDataFrame([(i,) for i in sorted(again)], "id long")), "id", "left_anti")
+    counts = own.groupBy("form").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).where((F.col("toxic") >= SUPPORT) & (F.col("toxic") >= PRECISION * F.col("n")))
+    enough = (F.col("toxic") >= ENOUGH_SUPPORT) & (F.col("toxic") >= ENOUGH_PRECISION * F.col("n"))
+    return {bytes(r.form): 2 if r.enough else 1 for r in counts.select("form", enough.alias("enough")).collect()}
 
 
 class Hashing(dict):
@@ -198,32 +204,77 @@ def share_places(text: bytes, marked: int | None) -> list[int]:
     return [xxh64_intdigest(f"s:{k}:{v}".encode(), 7) >> (64 - BITS) for k, v in own.items()]
 
 
-def train(docs, places, values, target):
-    """Weights and bias of a logistic scorer, by full-batch steps scaled per feature. docs, places, values: one entry a feature."""
+def train(groups, target, chunk: int = 1 << 13):
+    """Weights and bias of a logistic scorer, by full-batch steps scaled per feature. groups: (places, starts, values), the places of all features
+    document by document, where documents start there (and the end), and the value that all of a document's features have. Documents
+    are gone through in chunks, so that little more than the places is held."""
     import numpy as np
 
-    used, idx = np.unique(places, return_inverse=True)
-    idx = idx.astype(np.int32)
+    docs, known = len(target), np.zeros(1 << BITS, bool)
+    for places, _, _ in groups:
+        known[places] = True
+    used = np.flatnonzero(known)
+    number = np.zeros(1 << BITS, np.int32)
+    number[used] = np.arange(len(used), dtype=np.int32)
+    groups = [(number[places], starts, values) for places, starts, values in groups]
     w, b = np.zeros(len(used)), 0.0
     sq, sqb = np.full(len(used), 1e-8), 1e-8
-    weight = 1.0 / max(1, len(target))
     for _ in range(EPOCHS):
-        z = np.bincount(docs, w[idx] * values, minlength=len(target)) + b
-        err = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - target) * weight
-        g = np.bincount(idx, err[docs] * values, minlength=len(used)) + L2 * w
-        sq, sqb = sq + g * g, sqb + err.sum() ** 2
-        w, b = w - 0.2 * g / np.sqrt(sq), b - 0.2 * err.sum() / sqb**0.5
+        g, gb = L2 * w, 0.0
+        for lo in range(0, docs, chunk):
+            hi = min(docs, lo + chunk)
+            z = np.full(hi - lo, b)
+            for idx, starts, values in groups:
+                sums = np.concatenate([[0.0], np.cumsum(w[idx[starts[lo] : starts[hi]]])])
+                z += (sums[starts[lo + 1 : hi + 1] - starts[lo]] - sums[starts[lo:hi] - starts[lo]]) * values[lo:hi]
+            err = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - target[lo:hi]) / docs
+            for idx, starts, values in groups:
+                g += np.bincount(idx[starts[lo] : starts[hi]], np.repeat(err * values[lo:hi], np.diff(starts[lo : hi + 1])), minlength=len(used))
+            gb += err.sum()
+        sq, sqb = sq + g * g, sqb + gb**2
+        w, b = w - 0.2 * g / np.sqrt(sq), b - 0.2 * gb / sqb**0.5
     full = np.zeros(1 << BITS, np.float32)
     full[used] = w
     return full, b
 
 
-def _sampled(df: DataFrame, ids: DataFrame, keep: list[str]) -> DataFrame:
-    """(text, keep) of the documents with these ids; there are as few ids as a sample has."""
-    return df.join(F.broadcast(ids), "id").select("text", *keep)
+def _starts(lengths):
+    import numpy as np
+
+    return np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths, dtype=np.int64)])
+
 
+def features(sample):
+    """Groups of features for `train` and targets, of a table (reject, words, shape). Features of fewer than 3 documents are left out."""
+    import numpy as np
 
-def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, carry: list[str] | None = None) -> DataFrame:
+    if not sample.num_rows:
+        return [], np.empty(0)
+    words, shapes = sample["words"].chunk(0), sample["shape"].chunk(0)
+    n, places = words.value_lengths().to_numpy(), words.flatten().to_numpy()
+    often = np.bincount(places, minlength=1 << BITS)[places] >= 3
+    kept = np.concatenate([np.zeros(1, np.int64), np.cumsum(often)])
+    starts = kept[_starts(n)]
+    return [
+        (places[often], starts, WORDS_NORM / np.sqrt(np.maximum(1, n))),
+        (shapes.flatten().to_numpy(), _starts(shapes.value_lengths().to_numpy()), np.full(len(n), SHARE_VALUE)),
+    ], sample["reject"].to_numpy()
+
+
+def _sampled(rows: DataFrame, ids: DataFrame, sample_bytes: int, run, schema: str, scratch: Scratch, name: str) -> DataFrame:
+    """What `run` makes (id, size and more) of the rows with these ids, of which there are as few as a sample has: those of smallest hash, as far as
+    sample_bytes go."""
+    own = rows.where(F.octet_length("text") <= sample_bytes // 64).join(F.broadcast(ids), "id")
+    made = scratch.save(own.mapInArrow(run, schema), name)
+    running = F.sum("size").over(Window.orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0))
+    within = made.groupBy("id").agg(F.sum("size").alias("size")).withColumn("_running", running).where(F.col("_running") <= sample_bytes)
+    return made.join(F.broadcast(within.select("id")), "id")
+
+
+def classify(
+    df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, carry: list[str] | None = None,
+    labelled: int = LABELLED, trained: int = TRAINED, sample_bytes: int = SAMPLE_BYTES,
+) -> DataFrame:
     """(id, score, keep) of every row: the scorer's probability that it is fit, and the decision. carry: columns of `df` to
     return instead of the id alone; any named score or keep are replaced."""
     import numpy as np
@@ -234,22 +285,20 @@ def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_
     if labels is None:
         labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     low = F.max((F.coalesce("quality", F.lit(1)) == 0).cast("int"))
-    labels = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(low.alias("low"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"))
+    labels = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(low.alias("low"), F.max(F.coalesce("toxic", F.lit(0))).cast("int").alias("toxic"))
     labels = scratch.save(labels, "labels")
 
     def words(batches):
         import pyarrow as pa
 
         for b in batches:
-            own = [vocabulary(x) for x in b.column(0).cast(pa.binary()).to_pylist()]
-            cols = [pa.array(map(sorted, own), pa.list_(pa.binary())), pa.array(map(sketch, own), pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column(1), *cols], ["toxic", "words", "sketch"])
+            texts = b.column(1).cast(pa.binary()).to_pylist()
+            own = [vocabulary(x) for x in texts]
+            formed = pa.array((sorted({f for w in v for f in forms(w)}) for v in own), pa.list_(pa.binary()))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, texts), pa.int64()), b.column(2), formed, pa.array(map(sketch, own), pa.list_(pa.int64()))], ["id", "size", "toxic", "forms", "sketch"])
 
-    ids = labels.orderBy(F.xxhash64("id"), "id").limit(LABELLED)
-    found = _sampled(rows, ids.select("id", "toxic"), ["toxic"]).mapInArrow(words, "toxic int, words array<binary>, sketch array<long>")
-    found = found.toArrow()
-    lexicon = sent(lexicon_of(lambda: (x for b in found.to_batches(max_chunksize=256) for x in zip(*(c.to_pylist() for c in b.columns)))))
-    del found
+    ids = labels.orderBy(F.xxhash64("id"), "id").limit(labelled).select("id", "toxic")
+    lexicon = sent(lexicon_of(_sampled(rows, ids, sample_bytes, words, "id long, size long, toxic int, forms array<binary>, sketch array<long>", scratch, "words")))
 
     def voted(batches):
         import pyarrow as pa
@@ -259,44 +308,31 @@ def classify(df: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_
             own = [sum(v * 3**i for i, v in enumerate(votes(x, marks))) for x in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.int32())], ["id", "pattern"])
 
-    last = 3 ** (len(SHARES) + 2)
+    labellers = len(SHARES) + 2
     verdict = F.when(F.col("low").isNull(), NOTHING).otherwise(F.greatest("low", "toxic"))
     cast = rows.mapInArrow(voted, "id long, pattern int").join(labels, "id", "left")
-    cast = scratch.save(cast.select("id", (F.col("pattern") + verdict * last).cast("int").alias("pattern")), "votes")
+    cast = scratch.save(cast.select("id", (F.col("pattern") + verdict * 3 ** (labellers - 1)).cast("int").alias("pattern")), "votes")
     counts = sorted(map(tuple, cast.groupBy("pattern").count().collect()))
     codes = np.array([p for p, _ in counts], np.int64)
-    labellers = len(SHARES) + 3
-    table = (codes[:, None] // 3 ** np.arange(labellers)) % 3 if len(codes) else np.zeros((0, labellers), np.int64)
-    post, _ = em(table, np.array([n for _, n in counts], np.float64))
+    post, *_ = em((codes[:, None] // 3 ** np.arange(labellers)) % 3, np.array([n for _, n in counts], np.float64))
     posts = spark.createDataFrame([(int(p), float(x)) for p, x in zip(codes, post)], "pattern int, reject double")
     judged = cast.join(F.broadcast(posts), "pattern").select("id", "reject")
     least = judged.where("id is not null").groupBy("id").agg(F.max("reject").alias("reject"))
-    picked = scratch.save(least.orderBy(F.xxhash64("id"), "id").limit(TRAINED), "picked")
+    picked = scratch.save(least.orderBy(F.xxhash64("id"), "id").limit(trained), "picked")
 
     def featured(batches):
         import pyarrow as pa
 
         known, marks = Hashing(), Marks(lexicon.value)
         for b in batches:
-            texts = [(x, vocabulary(x)) for x in b.column(0).cast(pa.binary()).to_pylist()]
-            own = [[p for w in sorted(v) for p in known[w]] for _, v in texts]
-            shape = [share_places(x, marks.of(v) if marks.lexicon else None) for x, v in texts]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(own, pa.list_(pa.int32())), pa.array(shape, pa.list_(pa.int32()))], ["reject", "words", "shape"])
-
-    sample = _sampled(rows, picked, ["reject"]).mapInArrow(featured, "reject double, words array<int>, shape array<int>").toArrow().combine_chunks()
-    target, places, docs, values = np.empty(0), np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.float32)
-    if sample.num_rows:
-        target, words_of, shapes = sample["reject"].to_numpy(), sample["words"].chunk(0), sample["shape"].chunk(0)
-        n = words_of.value_lengths().to_numpy()
-        own = words_of.flatten().to_numpy()
-        often = np.bincount(own, minlength=1 << BITS)[own] >= 3  # what is rarer says little
-        shape_n = shapes.value_lengths().to_numpy()
-        places = np.r_[own[often], shapes.flatten().to_numpy()]
-        docs = np.r_[np.repeat(np.arange(len(n), dtype=np.int32), n)[often], np.repeat(np.arange(len(n), dtype=np.int32), shape_n)]
-        scale = (WORDS_NORM / np.sqrt(np.maximum(1, n))).astype(np.float32)
-        values = np.r_[scale[docs[: len(docs) - int(shape_n.sum())]], np.full(int(shape_n.sum()), SHARE_VALUE, np.float32)]
-    del sample
-    model = sent(train(docs, places, values, target))
+            texts = b.column(1).cast(pa.binary()).to_pylist()
+            own = [(x, vocabulary(x)) for x in texts]
+            placed = pa.array(([p for w in sorted(v) for p in known[w]] for _, v in own), pa.list_(pa.int32()))
+            shape = pa.array((share_places(x, marks.of(v) if marks.lexicon else None) for x, v in own), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, texts), pa.int64()), b.column(2), placed, shape], ["id", "size", "reject", "words", "shape"])
+
+    sample = _sampled(rows, picked, sample_bytes, featured, "id long, size long, reject double, words array<int>, shape array<int>", scratch, "features")
+    model = sent(train(*features(sample.select("reject", "words", "shape").toArrow().combine_chunks())))
 
     def scored(batches):
         import pyarrow as pa
