@@ -72,7 +72,7 @@ def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.replace(tables(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+    return pii.replace(tables(spark, sf_dir, "documents"), pii.key_of(spark)).select("doc_id", "text", "n_entities")
 
 
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
