@@ -27,7 +27,7 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def anonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates for personal data; n_chars follows the new text."""
-    replaced = pii.replace(docs.withColumnRenamed("n_entities", "_own_entities")).drop("n_entities")
+    replaced = pii.replace(docs.withColumnRenamed("n_entities", "_own_entities"), pii.key_of(spark)).drop("n_entities")
     replaced = replaced.withColumnRenamed("_own_entities", "n_entities")
     return replaced.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
