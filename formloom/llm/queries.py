@@ -59,8 +59,7 @@ WITH firsts AS (
   UNION ALL SELECT source, lang, 'quads', text FROM firsts
 )
 SELECT source, lang, version, count(*)::BIGINT AS docs,
-       sum(CASE WHEN version = 'words' THEN coalesce(len(regexp_extract_all(text, '[^ 	-
-]+')), 0)
+       sum(CASE WHEN version = 'words' THEN coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)
                 ELSE ceil(coalesce(length(text), 0) / 4) END)::BIGINT AS tokens,
        sum(coalesce(length(text), 0))::BIGINT AS chars
 FROM texts GROUP BY source, lang, version
@@ -76,7 +75,27 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score(tables(spark, sf_dir, "documents"))
+    scores = lm.score(tables(spark, sf_dir, "documents"))
+    return scores.select("doc_id", "n_words", F.round("score", 5).alias("score"), F.round("mean_score", 6).alias("mean_score"))
+
+
+#: Counts of words and pairs without the document's own; '' is the start mark.
+LM_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), tokens AS (SELECT r, unnest(w) AS b, unnest(list_prepend('', w[:-2])) AS a FROM docs WHERE len(w) > 0
+), words AS (SELECT b AS w, r, count(*) AS n FROM tokens GROUP BY ALL UNION ALL SELECT '', r, 1 FROM docs WHERE len(w) > 0
+), pairs AS (SELECT a, b, r, count(*) AS n FROM tokens GROUP BY ALL
+), own AS (SELECT r, w, n, sum(n) OVER (PARTITION BY w) - n AS c FROM words
+), total AS (SELECT sum(len(w)) AS n FROM docs
+), each AS (
+  SELECT p.r, p.n, p.c AS pair, x.c AS context, y.c AS word, greatest((SELECT n FROM total) - len(d.w), 1) AS others
+  FROM (SELECT *, sum(n) OVER (PARTITION BY a, b) - n AS c FROM pairs) p JOIN own x ON x.r = p.r AND x.w = p.a JOIN own y ON y.r = p.r AND y.w = p.b JOIN docs d ON d.r = p.r
+), sums AS (
+  SELECT r, sum(n * CASE WHEN pair > 0 THEN log10(pair::DOUBLE / context) ELSE log10(0.4::DOUBLE) + log10(CASE WHEN word > 0 THEN word::DOUBLE ELSE 0.4::DOUBLE END / others) END) AS s FROM each GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, round(coalesce(s, 0), 5) AS score, round(s / len(w), 6) AS mean_score FROM docs LEFT JOIN sums USING (r)
+"""
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,4 +116,4 @@ QUERIES = {
     "op9_order_minhash": op9_order_minhash,
     "op10_langid": op10_langid,
 }
-ORACLE_SQL: dict[str, str] = {"op5_token_rollup": TOKEN_ROLLUP_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_token_rollup": TOKEN_ROLLUP_SQL, "op8_lm": LM_SQL}
