@@ -7,12 +7,12 @@ texts have such) takes the smallest of the whole text under a hash of its own in
 sketch are put into text order and hashed as a tuple. Likeness is the share of equal tuples, and 1 for two texts without k-mers, whose
 sketches are zeros.
 
-Work: one pass hashes all k-mers, and a sort brings equal ones together. A second pass drops first occurrences beyond a limit, set such
-that a sketch expects KEPT of them; repeated ones stay, as their hash is yet to come. If a sketch is then left with fewer than TUPLE, the
-text is done without a limit, so the result is always that of all k-mers and occurrences.
+Work: one pass hashes all k-mers, and a sort brings equal ones together and those of small order value to the front. Of these the first
+occurrences are taken up to a limit, set such that a sketch expects KEPT. A second pass finds repeated ones, whose hash is yet to
+come. If a sketch is then left with fewer than TUPLE, the text is done without a limit, so the result is always that of all k-mers and occurrences.
 
-A key has 6 bits of sketch, 29 of order value and 29 of position: a text may have up to 536 million code points. K-mers of equal sketch and
-order value (35 bits) count as equal.
+A key has 28 bits of order value, 6 of sketch and 29 of position (in bytes of UTF-32): results are exact for texts of up to 67 million code
+points. K-mers of equal sketch and order value (34 bits) count as equal.
 """
 
 from __future__ import annotations
@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 
 #: A key has 6 bits for its sketch; tuples are pairs.
 K, SKETCHES, TUPLE, KEPT = 12, 64, 2, 10
-PLACE = (1 << 29) - 1
-ORDER = PLACE << 29
+PLACE, MOST = (1 << 29) - 1, (1 << 63) - 1
 #: Documents of a range of ids, and the most ranges.
 RANGE, RANGES = 500, 1 << 16
 
@@ -34,25 +33,28 @@ def _let(name: str, value: str, body: str) -> str:
 
 
 def _key(h: str, place: str) -> str:
-    return f"({h} & {~PLACE}L) | ({place})"
+    """SQL: a hash's bits above the position, without the sign, and a position."""
+    return f"({h} & {MOST - PLACE}L) | ({place})"
 
 
 def _alike(other: str) -> str:
-    """SQL: whether a key is of the same k-mer as x; null if there is none."""
-    return f"shiftright({other} ^ x, 29) = 0"
+    """SQL: whether a key before x, in order, is of the same k-mer; null if there is none. Keys of one k-mer differ by positions only."""
+    return f"x - {other} <= span"
 
 
-def _numbered(some: str, limit: str) -> str:
-    """SQL: sorted keys, each of a later occurrence with the hash of that occurrence. Of k-mers beyond the limit the first is not there."""
-    same = lambda at: f"{_alike(f'get(s, {at})')}"
-    # How many equal k-mers are before a sorted one: none, one, or steps of halving length as far back as they still meet an equal one.
-    before = f"j - aggregate(steps, j, (at, step) -> if({same('at - step')}, at - step, at))"
-    before = f"if({same('j - 1')}, if({same('j - 2')}, {before}, 1), 0)"
-    number = f"{before} + if(x & {ORDER}L <= {limit}, 1, 2)"
-    again = _key("xxhash64(shiftright(x, 29), n)", f"x & {PLACE}L")
-    named = f"transform(s, (x, j) -> {_let('n', number, f'if(n = 1, x, {again})')})"
+def _chosen(limit: str) -> str:
+    """SQL: keys of all (k-mer, occurrence) up to the limit, of the sorted keys s of first hashes; with the sketch in front, then the order value."""
     steps = "filter(transform(sequence(29, 0), b -> cast(shiftleft(1, b) as int)), b -> b <= size(s))"
-    return _let("s", some, _let("steps", steps, named))
+    below = f"aggregate(steps, 0, (at, step) -> if(get(s, at + step - 1) <= {limit}, at + step, at))"
+    first = _let("t", f"slice(s, 1, {below})", f"filter(t, (x, j) -> j = 0 or not ({_alike('t[j - 1]')}))")
+    # How many equal k-mers are before a repeated one in their list: none, one, or steps of halving length as far back as they still meet an equal one.
+    same = lambda at: _alike(f"get(r, {at})")
+    before = f"j - aggregate(steps, j, (at, step) -> if({same('at - step')}, at - step, at))"
+    number = f"2 + if({same('j - 1')}, if({same('j - 2')}, {before}, 1), 0)"
+    again = f"transform(r, (x, j) -> {_key(f'xxhash64(shiftright(x, 29), {number})', f'x & {PLACE}L')})"
+    again = _let("r", f"filter(s, (x, j) -> {_alike('get(s, j - 1)')})", f"filter({again}, x -> x <= {limit})")
+    turned = f"shiftleft(shiftright(x, 29) & 63L, 57) | shiftleft(shiftright(x, 35), 29) | (x & {PLACE}L)"
+    return _let("steps", steps, f"transform(concat({first}, {again}), x -> {turned})")
 
 
 def _pair(x: str, y: str) -> str:
@@ -65,20 +67,19 @@ def signature(df: DataFrame, text_col: str, out: str) -> DataFrame:
     """Adds `out`, the tuple hashes of a non-null text, as array<bigint>; 0 for a sketch of a text without k-mers.
     Sorts are columns of their own: there they are compiled and sort plain numbers."""
     df = df.withColumn("_n", F.length(text_col)).withColumn("_points", F.encode(F.col(text_col), "UTF-32"))
-    df = df.withColumn("_cut", F.expr(f"cast(if(_n <= {SKETCHES * KEPT}, {ORDER}L, shiftleft(cast({1 << 29}D * {SKETCHES * KEPT} / _n as bigint), 29)) as bigint)"))
+    df = df.withColumn("_cut", F.expr(f"if(_n <= {SKETCHES * KEPT}, {MOST}L, shiftleft(cast({1 << 28}D * {SKETCHES * KEPT} / _n as bigint), 35))"))
     # A column's bytes are copied each time that a lambda reads them; a lambda's own variable is not.
-    hashed = _key(f"xxhash64(substring(c, at, {4 * K}))", "shiftright(at, 2)")
+    hashed = _key(f"xxhash64(substring(c, at, {4 * K}))", "at")
     hashed = _let("c", "_points", f"transform(sequence(1, 4 * greatest(_n - {K}, 0) + 1, 4), at -> {hashed})")
     df = df.withColumn("_keys", F.expr(f"sort_array(if(_n = 0, cast(array() as array<bigint>), {hashed}))"))
-    some = _let("s", "_keys", _let("most", "_cut", f"filter(s, (x, j) -> x & {ORDER}L <= most or {_alike('get(s, j - 1)')})"))
-    few = _let("most", "_cut", f"filter({_numbered(some, 'most')}, x -> x & {ORDER}L <= most)")
-    df = df.withColumn("_few", F.expr(f"sort_array({few})"))
-    first = lambda t: _let("t", t, f"filter(t, (x, j) -> j < {TUPLE} or shiftright(t[j - {TUPLE}], 58) <> shiftright(x, 58))")
+    of = lambda limit: _let("span", "4L * _n", _let("s", "_keys", limit))
+    df = df.withColumn("_few", F.expr(f"sort_array({of(_let('most', '_cut', _chosen('most')))})"))
+    first = lambda t: _let("t", t, f"filter(t, (x, j) -> j < {TUPLE} or shiftright(t[j - {TUPLE}], 57) <> shiftright(x, 57))")
     df = df.withColumn("_first", F.expr(f"if(size(_few) > 0, {first('_few')}, _few)"))
     full = SKETCHES * TUPLE
-    enough = f"size(_first) = {full} or _cut >= {ORDER}L"
-    df = df.withColumn("_all", F.expr(f"if({enough}, _few, sort_array({_numbered('_keys', f'{ORDER}L')}))")).withColumn("_first", F.expr(f"if({enough}, _first, {first('_all')})"))
-    own = f"filter(a, x -> shiftright(x, 58) = b - {SKETCHES // 2})"
+    enough = f"size(_first) = {full} or _cut = {MOST}L"
+    df = df.withColumn("_all", F.expr(f"if({enough}, _few, sort_array({of(_chosen(f'{MOST}L'))}))")).withColumn("_first", F.expr(f"if({enough}, _first, {first('_all')})"))
+    own = "filter(a, x -> shiftright(x, 57) = b)"
     other = f"slice(sort_array(transform(k, x -> {_key('xxhash64(shiftright(x, 29), b)', f'x & {PLACE}L')})), 1, {TUPLE})"
     single = "shiftrightunsigned(xxhash64(shiftright(q[0], 29)), 32) | 1"
     tuple_ = _let("o", own, _let("q", f"if(size(o) = {TUPLE}, o, {other})", f"if(size(q) = 1, {single}, {_pair('q[0]', 'q[1]')})"))

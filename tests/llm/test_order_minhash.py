@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from formloom.llm import order_minhash as om
 
 
-def signed(x):
-    return x - (1 << 64) if x >> 63 else x
-
-
 def h_long(*xs):
     seed = 42
     for x in xs:
@@ -25,19 +21,19 @@ def h_int(seed, x):
 
 def brute(text):
     """Sketches from all k-mers and occurrences, by the definition; hashes are those of the module."""
-    seen, items = Counter(), []
+    seen, items, bits = Counter(), [], lambda h: h >> 29 & (1 << 34) - 1
     for i in range(max(len(text) - om.K, 0) + 1 if text else 0):
         kmer = text[i : i + om.K]
         seen[kmer] += 1
-        place = signed(xxhash.xxh64_intdigest(kmer.encode("utf-32-be"), 42)) >> 29
+        place = bits(xxhash.xxh64_intdigest(kmer.encode("utf-32-be"), 42))
         if seen[kmer] > 1:
-            place = signed(h_int(h_long(place), seen[kmer])) >> 29
-        items.append((place, i))
+            place = bits(h_int(h_long(place), seen[kmer]))
+        items.append(((place & 63) << 28 | place >> 6, i))
     out = []
     for b in range(om.SKETCHES) if items else ():
-        own = sorted(x for x in items if x[0] >> 29 == b - om.SKETCHES // 2)
+        own = sorted(x for x in items if x[0] >> 28 == b)
         if len(own) < om.TUPLE:
-            own = sorted((signed(h_int(h_long(p), b)) >> 29, i) for p, i in items)
+            own = sorted((bits(h_int(h_long(p), b)), i) for p, i in items)
         out.append(h_long(*(p for p, _ in sorted(own[: om.TUPLE], key=lambda x: x[1]))) >> 32 | 1)
     return out or [0] * om.SKETCHES
 
