@@ -245,12 +245,17 @@ def bucket(name: Column) -> Column:
     )
 
 
+def is_time_field(name: Column) -> Column:
+    """Whether a field's name says that it holds a time."""
+    return F.contains(name, F.lit("clock_in")) | F.contains(name, F.lit("clock_out"))
+
+
 def path_key(path: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(path, r"(?i)(row\d+_clock_(?:in|out)_(?:am|pm))", 1)), F.lit(""))
 
 
 def split_warnings(c: Column) -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ";"), F.trim), lambda w: w != "")
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ";"), lambda w: strip(w)), lambda w: w != "")
 
 
 def merged(*arrays: Column) -> Column:

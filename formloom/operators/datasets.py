@@ -24,12 +24,12 @@ def typed(records: DataFrame, dim: DataFrame) -> DataFrame:
 
 def coco_annotations(records: DataFrame, pos: str = "pos") -> DataFrame:
     """One row an annotation: id counts pages as first met, then records. records: page_image, field_name, x, y, w, h, pos. Ids are
-    given by page: a page's first id is the sum of the counts of the pages before it, which are one row each."""
+    given by page: a page's first id is the sum of the counts of the pages before it."""
     own = typed(records, classes(records.sparkSession, 1, with_date=False))
     pages = own.groupBy("page_image").agg(F.min(pos).alias("_first"), F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_first", "page_image").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pages = sums_before(pages, "_first", ["page_image"], "_n", "_before")
     within = F.row_number().over(Window.partitionBy("page_image").orderBy(pos))
-    out = own.join(pages.select("page_image", before.alias("_before")), "page_image").withColumn("id", (F.col("_before") + within).cast("long"))
+    out = own.join(pages.select("page_image", "_before"), "page_image").withColumn("id", (F.col("_before") + within).cast("long"))
     return out.select("id", text.image_number(F.col("page_image")).alias("image_id"), F.col("class_id").alias("category_id"), F.array("x", "y", "w", "h").alias("bbox"), (F.col("w") * F.col("h")).alias("area"), F.lit(0).alias("iscrowd"))
 
 
@@ -40,11 +40,34 @@ def coco_images(records: DataFrame) -> DataFrame:
 
 
 def coco_document(records: DataFrame) -> DataFrame:
-    """The whole set as one JSON text. Meant for sets that one reader loads; larger ones are better written as the two tables."""
-    images = coco_images(records).agg(F.sort_array(F.collect_list(F.struct("id", "file_name", "width", "height"))).alias("images"))
-    notes = coco_annotations(records).agg(F.sort_array(F.collect_list(F.struct("id", "image_id", "category_id", "bbox", "area", "iscrowd"))).alias("annotations"))
-    names = F.array(*(F.struct(F.lit(i).alias("id"), F.lit(c).alias("name")) for i, c in enumerate(CLASSES[:-1], 1)))
-    return images.crossJoin(notes).select(F.to_json(F.struct("images", "annotations", names.alias("categories"))).alias("value"))
+    """The whole set as the lines of one JSON document (see sinks.document): images by file name, then annotations by id."""
+    from ..sources import sinks
+
+    images = coco_images(records).withColumn("_at", F.col("id"))
+    images = images.select("_at", F.to_json(F.struct("id", "file_name", "width", "height")).alias("value"))
+    notes = coco_annotations(records).select(F.col("id").alias("_at"), F.to_json(F.struct("id", "image_id", "category_id", "bbox", "area", "iscrowd")).alias("value"))
+    kinds = ",".join(f'{{"id":{i},"name":"{c}"}}' for i, c in enumerate(CLASSES[:-1], 1))
+    first = sinks.document('{"images":[', images, '],"annotations":[', "_at", ",")
+    second = sinks.document("", notes, f'],"categories":[{kinds}]}}', "_at", ",").where("part > 0").withColumn("part", F.col("part") + 2)
+    return first.unionByName(second)
+
+
+def sums_before(df: DataFrame, key: str, ties: list[str], value: str, out: str, share: int = 100_000) -> DataFrame:
+    """Adds out: the sum of `value` over all rows before, by key (a number) and ties. Rows are dealt to ranges of about `share` rows; the sums of
+    whole ranges are one row each, and no task holds more than a range (or the rows of one key)."""
+    ranges = max(1, min(1 << 12, df.count() // share))
+    cuts = df.agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)] or [0.0], 10_000)).first()[0] or []
+    cuts = sorted(set(cuts)) if ranges > 1 else []
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+    at = F.lit(0)
+    if cuts:
+        known = F.from_json(F.lit(str(cuts)), "array<double>")
+        at = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda lo, s: F.when((lo + s <= len(cuts)) & (F.get(known, lo + s - 1) <= F.col(key)), lo + s).otherwise(lo))
+    df = df.withColumn("_range", at)
+    upto = lambda w: F.coalesce(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = df.groupBy("_range").agg(F.sum(value).alias(value)).select("_range", upto(Window.orderBy("_range")).alias("_earlier"))
+    own = upto(Window.partitionBy("_range").orderBy(key, *ties))
+    return df.withColumn("_own", own).join(F.broadcast(sums), "_range").withColumn(out, F.col("_own") + F.col("_earlier")).drop("_range", "_own", "_earlier")
 
 
 def yolo_lines(records: DataFrame, with_date: bool = True, pos: str = "pos") -> DataFrame:

@@ -37,12 +37,20 @@ def by_column(truth: DataFrame, preds: DataFrame, key: str, columns: dict[str, s
     """Exact matches of wide rows by column (name to kind), and over all (col null). A row without prediction has empty values."""
     for name, kind in columns.items():
         truth, preds = (text.typed_or_trimmed(d, name, kind, name) for d in (truth, preds))
-    long = lambda d, v: d.select(key, F.explode(F.create_map(*(x for c in columns for x in (F.lit(c), F.col(c))))).alias("col", v))
-    both = long(truth, "want").join(long(preds, "got"), [key, "col"], "left").withColumn("ok", (F.coalesce("got", F.lit("")) == F.col("want")).cast("long"))
+    # Wide rows are joined and then taken apart, so that a row is shuffled once and not once a column.
+    wide = truth.select(key, F.struct(*columns).alias("_want")).join(preds.select(key, F.struct(*columns).alias("_got")), key, "left")
+    each = (F.struct(F.lit(c).alias("col"), (F.coalesce(F.col(f"_got.{c}"), F.lit("")) == F.col(f"_want.{c}")).cast("long").alias("ok")) for c in columns)
+    both = wide.select(F.inline(F.array(*each)))
     sums = both.rollup("col").agg(F.count("*").alias("total"), F.sum("ok").alias("exact"))
     return sums.withColumn("rate", F.col("exact") / F.col("total"))
 
 
+def columns_of(records: DataFrame, record: str = "record") -> list[str]:
+    """Names of the keys that JSON records have, sorted: the columns to evaluate."""
+    keys = records.select(F.explode(F.json_object_keys(record)).alias("k")).distinct()
+    return [r.k for r in keys.orderBy("k").collect()]
+
+
 def match_and_cer(df: DataFrame, pred: str, ref: str, keys: list[str]) -> DataFrame:
     """Exact match and character error rate (all edits over all reference characters)."""
     return df.groupBy(*keys).agg(

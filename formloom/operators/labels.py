@@ -60,4 +60,5 @@ def split_exact(df: DataFrame, key: str, val_ratio: float = 0.1, seed: int = 13)
 
 def split_share(df: DataFrame, key: str, val_ratio: float = 0.1, seed: int = 13) -> DataFrame:
     """Adds split by a hash of the key alone: rows of one key (a page, say) stay together."""
-    return df.withColumn("split", F.when(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1_000_000)) < int(val_ratio * 1_000_000), "val").otherwise("train"))
+    draw = text.image_number(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string"))) % 1_000_000
+    return df.withColumn("split", F.when(draw < int(val_ratio * 1_000_000), "val").otherwise("train"))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Layout:
-    """A form of `rows` bands under `headers` header bands. columns: (name, type, width). The values are fixed ones of the form."""
+    """A form of `rows` bands under `headers` header bands, which begin `gap` below the margin. columns: (name, type, width). The values are
+    fixed ones of the form as it is read; forms that are drawn have DRAWN."""
 
     columns: tuple = (
         ("employee_name", "text", 260), ("in_am", "time", 170), ("out_am", "time", 170), ("lunch", "time", 140),
@@ -18,13 +19,19 @@ class Layout:
     )
     left: int = 80
     top: int = 180
+    gap: int = 90
     row_height: int = 120
     rows: int = 12
     headers: int = 2
+    inset: int = 0
 
     @property
     def data_top(self) -> int:
-        return self.top + self.headers * self.row_height
+        return self.top + self.gap + self.headers * self.row_height
+
+
+#: Fixed values of drawn forms: a larger margin, one header band, and cells set in by so many pixels.
+DRAWN = Layout(top=240, headers=1, inset=8)
 
 
 def offsets(spark: SparkSession, layout: Layout = Layout()) -> DataFrame:
@@ -35,10 +42,12 @@ def offsets(spark: SparkSession, layout: Layout = Layout()) -> DataFrame:
 
 
 def cells(spark: SparkSession, layout: Layout = Layout()) -> DataFrame:
-    """Every (row_idx, col_idx) of the form with its box."""
+    """Every (row_idx, col_idx) of the form with its slot (x0, y0, width, row height) and the box inside it (bx, by, bw, bh)."""
     rows = spark.range(layout.rows).select(F.col("id").cast("int").alias("row_idx"))
-    y0 = F.col("row_idx") * layout.row_height + layout.data_top
-    return rows.crossJoin(F.broadcast(offsets(spark, layout))).withColumn("y0", y0.cast("int"))
+    y0 = (F.col("row_idx") * layout.row_height + layout.data_top).cast("int")
+    slots = rows.crossJoin(F.broadcast(offsets(spark, layout))).withColumn("y0", y0)
+    inside = {"bx": F.col("x0") + layout.inset, "by": y0 + layout.inset, "bw": F.col("width") - 2 * layout.inset, "bh": F.lit(layout.row_height - 2 * layout.inset)}
+    return slots.withColumns(inside)
 
 
 def row_index(cy: Column, layout: Layout = Layout(), mode: str = "tops", share: float = 0.55) -> Column:
@@ -72,7 +81,7 @@ def _matched(costs: list[list[float]]) -> list[tuple[int, int]]:
 def _pairs(xs: list[float], order: list, centers: list[int], method: str) -> list[tuple[int, int]]:
     """(detection, column) pairs of one row of a form."""
     near = [min(range(len(centers)), key=lambda j: abs(x - centers[j])) for x in xs]
-    if len(set(near)) == len(xs):  # all have their nearest column: nothing is cheaper
+    if method == "optimal" and len(set(near)) == len(xs):  # all have their nearest column: nothing is cheaper
         return list(enumerate(near))
     by_x = sorted(range(len(xs)), key=lambda i: (xs[i], order[i]))
     if method == "optimal":
@@ -140,10 +149,27 @@ def row_histogram(df: DataFrame, cy: str, layout: Layout = Layout()) -> DataFram
     return rows.join(hist, "row_idx", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
 
 
-def page_json(cells_: DataFrame, page: str = "page_id") -> DataFrame:
-    """(page, grid): a page's cells as JSON keyed 'row,col', null where a slot is empty."""
-    entries = F.sort_array(F.collect_list(F.struct(F.concat_ws(",", "row_idx", "col_idx").alias("k"), "det")))
-    return cells_.groupBy(page).agg(F.to_json(F.map_from_entries(entries), {"ignoreNullFields": "false"}).alias("grid"))
+_DETECTION = "array<struct<cls:string,bbox:array<double>,score:double>>"
+
+
+def _detection(d: Column) -> Column:
+    return F.struct(d["cls"].alias("cls"), F.array(d["x"], d["y"], d["w"], d["h"]).alias("bbox"), d["score"].alias("score"))
+
+
+def page_json(cells_: DataFrame, detections: DataFrame, page: str = "page_id", layout: Layout = Layout(), crop_version: str = "v1") -> DataFrame:
+    """(page, result): a page's result as JSON: image, meta, the form's measures, all detections in order, and the grid keyed 'row,col' by row and
+    column, null where a slot is empty. A page has as many slots as the form."""
+    slot = F.struct("row_idx", "col_idx", F.when(F.col("det").isNotNull(), _detection(F.col("det"))).alias("det"))
+    grids = cells_.groupBy(page).agg(F.sort_array(F.collect_list(slot)).alias("_slots"))
+    rows = F.struct("det_idx", _detection(F.struct("cls", "x", "y", "w", "h", "score")).alias("det"))
+    found = detections.groupBy(page).agg(F.transform(F.sort_array(F.collect_list(rows)), lambda x: x["det"]).alias("detections"))
+    grid_ = F.map_from_entries(F.transform("_slots", lambda s: F.struct(F.concat_ws(",", s["row_idx"], s["col_idx"]), s["det"])))
+    body = F.struct(
+        F.col(page).cast("string").alias("image"), F.struct(F.lit(crop_version).alias("crop_version"), F.lit(layout.headers).alias("header_rows")).alias("meta"),
+        F.lit(layout.data_top).alias("table_top_data"), F.lit(layout.row_height).alias("row_h"), F.lit(layout.rows).alias("rows_data"),
+        F.array(*(F.lit(c[2]) for c in layout.columns)).alias("col_widths"), F.coalesce("detections", F.array().cast(_DETECTION)).alias("detections"), grid_.alias("grid"),
+    )
+    return grids.join(found, page, "left").select(page, F.to_json(body, {"ignoreNullFields": "false"}).alias("result"))
 
 
 def assembled(values: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
@@ -162,6 +188,7 @@ def any_box(json: Column) -> Column:
     """array<int> x1, y1, x2, y2 from JSON: objects (x y w h; x1 y1 x2 y2; left top right bottom; points), four numbers (corners if the
     last two exceed the first two, else corner and size), or eight and more (corners of a polygon). Null if none of these."""
     at = lambda k: F.get_json_object(json, f"$.{k}").try_cast("double")
+    whole = lambda keys: F.array_size(F.array_compact(F.array(*map(at, keys.split())))) == 4
     ints = lambda *cs: F.array(*(c.cast("int") for c in cs))
     points = F.coalesce(F.get_json_object(json, "$.points"), F.get_json_object(json, "$.polygon"))
     xy = F.filter(F.from_json(points, "array<array<double>>"), lambda p: F.size(p) == 2)
@@ -174,9 +201,9 @@ def any_box(json: Column) -> Column:
     return (
         F.when(is_list & (F.size(flat) == 4), F.when(corners, ints(*four)).otherwise(ints(four[0], four[1], four[0] + four[2], four[1] + four[3])))
         .when(is_list & (F.size(flat) >= 8), span(odd(0), odd(1)))
-        .when(at("w").isNotNull(), ints(at("x"), at("y"), at("x") + at("w"), at("y") + at("h")))
-        .when(at("x1").isNotNull(), ints(at("x1"), at("y1"), at("x2"), at("y2")))
-        .when(at("left").isNotNull(), ints(at("left"), at("top"), at("right"), at("bottom")))
+        .when(whole("x y w h"), ints(at("x"), at("y"), at("x") + at("w"), at("y") + at("h")))
+        .when(whole("x1 y1 x2 y2"), ints(at("x1"), at("y1"), at("x2"), at("y2")))
+        .when(whole("left top right bottom"), ints(at("left"), at("top"), at("right"), at("bottom")))
         .when(F.size(xy) >= 4, span(F.transform(xy, lambda p: p[0]), F.transform(xy, lambda p: p[1])))
     )
 

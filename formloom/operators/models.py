@@ -7,6 +7,9 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text
+from . import layout, nbest
+
 DETECTION = "page_id string, det_idx int, cls string, x double, y double, w double, h double, score double"
 READING = "crop_id string, ftype string, candidates array<string>, logprobs array<double>"
 
@@ -52,3 +55,30 @@ def stub_detections(fields: DataFrame) -> DataFrame:
         F.col("image_id").alias("page_id"), F.col("pos").cast("int").alias("det_idx"), F.lit("field").alias("cls"), at(0).alias("x"), at(1).alias("y"),
         (at(2) - at(0)).alias("w"), (at(3) - at(1)).alias("h"), F.lit(0.999).alias("score"),
     )
+
+
+#: What a form's classes hold.
+CLASS_MAP = {
+    "employee_name": "text", "date": "date", "in_am": "time", "out_am": "time", "lunch": "time", "in_pm": "time", "out_pm": "time",
+    "total_hours": "amount", "signature": "signature",
+}
+
+
+def typed(cells: DataFrame, class_map: dict[str, str] | None = None, cls: str = "cls") -> DataFrame:
+    """Adds ftype: what a detection's class holds, text for unknown ones."""
+    own = F.create_map(*(F.lit(x) for kv in (class_map or CLASS_MAP).items() for x in kv))
+    return cells.withColumn("ftype", F.coalesce(F.try_element_at(own, F.col(cls)), F.lit("text")))
+
+
+def routed(crops: DataFrame, heads: dict, keys: list[str], names: list[str]) -> DataFrame:
+    """Wide rows of crops (keys, crop_id, cls, col_idx, ftype, signature_present and what the heads read): a signature is present or absent, a type with a
+    head has the best of its candidates in sanitized form or else stripped, others are empty. Of several crops of a class the last column's holds."""
+    got = None
+    for kind in sorted(heads):
+        ranked = nbest.ranked(nbest.exploded(read(crops.where(F.col("ftype") == kind), {kind: heads[kind]}, (kind,)), "candidates", "logprobs"), ["crop_id"], kind)
+        own = text.typed_or_trimmed(ranked.where("rank = 1").select("crop_id", "cand"), "cand", kind, "_value").select("crop_id", "_value")
+        got = own if got is None else got.unionByName(own)
+    present = F.when(F.col("ftype") == "signature", F.when(F.col("signature_present"), "present").otherwise("absent"))
+    both = crops.select(*keys, "crop_id", "cls", "col_idx", present.alias("_sign"))
+    both = both.join(got, "crop_id", "left") if got is not None else both.withColumn("_value", F.lit(None).cast("string"))
+    return layout.assembled(both.select(*keys, F.col("cls").alias("name"), "col_idx", F.coalesce("_sign", "_value", F.lit("")).alias("value")), keys, names)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -22,13 +22,18 @@ def validated(df: DataFrame, low_conf: float = 0.35) -> DataFrame:
     return df.withColumn("Warnings", text.merged(F.col("Warnings"), more)).withColumn("IsValid", F.col("NormalizedTime").isNotNull())
 
 
+def _mean(values: Column) -> Column:
+    """The mean of decimals, 4 digits, ties to even: exact, so it does not depend on the order of rows."""
+    return F.bround(F.sum(values.try_cast("decimal(20,8)")) / F.count(values.try_cast("decimal(20,8)")), 4).cast("double")
+
+
 def summarized(df: DataFrame, key: str = "TimesheetID") -> DataFrame:
-    """Records, valid ones, their share and mean confidence by sheet; a null sheet is one."""
+    """Records, valid ones, their share and mean confidence by sheet; a null sheet is one. Confidences count to 8 digits."""
     return df.groupBy(key).agg(
         F.count("*").alias("Records"),
         F.sum(F.col("IsValid").cast("long")).alias("ValidRecords"),
-        F.bround(F.avg(F.col("IsValid").cast("double")), 4).alias("PctValid"),
-        F.bround(F.avg(F.col("Confidence").try_cast("double")), 4).alias("AvgConfidence"),
+        _mean(F.col("IsValid").cast("int")).alias("PctValid"),
+        _mean(F.col("Confidence").try_cast("double")).alias("AvgConfidence"),
     )
 
 
@@ -55,6 +60,15 @@ def top_values(df: DataFrame, col: str, n: int) -> DataFrame:
     return df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), col).limit(n)
 
 
+#: Columns of the failure review, in order.
+REVIEWED = "TimesheetID Page Row Col FieldKey RawText PrecleanedCandidate NormalizedTime Confidence Reason CropPath _source_file Warnings".split()
+
+
+def review(failed: DataFrame) -> DataFrame:
+    """Failures in the review's columns, those that are there."""
+    return present(failed.withColumnRenamed("CleanText", "PrecleanedCandidate"), REVIEWED)
+
+
 def present(df: DataFrame, columns: list[str]) -> DataFrame:
     """Those of the columns that are there, in this order."""
     return df.select([c for c in columns if c in df.columns])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from ..operators.datasets import CLASSES
-from ..operators.layout import Layout
 from . import queries as q
 from . import samples
 
@@ -11,6 +9,13 @@ def two(x: str) -> str:
     return f"CASE WHEN {x} < 10 THEN '0' ELSE '' END || cast({x} as string)"
 
 
+def mean(x: str) -> str:
+    """Of numbers of up to 8 digits after the point: in whole numbers, 4 digits, ties to even."""
+    total, n = f"sum(cast(cast({x} AS decimal(18, 8)) * 100000000 AS bigint))", f"(count({x}) * 10000)"
+    q, r = f"({total} // {n})", f"({total} % {n})"
+    return f"CASE WHEN count({x}) > 0 THEN ({q} + CASE WHEN 2 * {r} > {n} OR 2 * {r} = {n} AND {q} % 2 = 1 THEN 1 ELSE 0 END)::DOUBLE / 10000 END"
+
+
 def strict(src: str, raw: str, out: str) -> str:
     shape = r"^([0-2]?\d):([0-5]\d)(am|pm)?$"
     return rf"""SELECT * EXCLUDE (s_t, s_h0, s_h, s_a) FROM (SELECT *,
@@ -128,16 +133,17 @@ _AT = f"least(greatest(round_even(({_T})::DOUBLE, 0), 0), 11)"
 _MID = f"least(greatest(round_even(({_T})::DOUBLE - 0.5, 0), 0), 11)"
 _ROW = f"CASE WHEN abs(({q._CY})::DOUBLE - 510 - 120 * ({_AT} + 0.5::DOUBLE)) <= 66 THEN {_AT}::INT END"
 
-_FORM = Layout()
-_COLS = ", ".join(f"({i}, '{n}', {w})" for i, (n, _, w) in enumerate(_FORM.columns))
-_OFFSETS = f"SELECT *, {_FORM.left} + coalesce(sum(width) OVER (ORDER BY col_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS x0 FROM (VALUES {_COLS}) v(col_idx, name, width)"
+#: The form, stated apart from the library: names, types and widths of columns; margin 80, data from 510 on, twelve bands of 120.
+_COLS = """(0, 'employee_name', 'text', 260), (1, 'in_am', 'time', 170), (2, 'out_am', 'time', 170), (3, 'lunch', 'time', 140), (4, 'in_pm', 'time', 170),
+  (5, 'out_pm', 'time', 170), (6, 'total_hours', 'amount', 170), (7, 'signature', 'text', 210)"""
+_OFFSETS = f"SELECT *, 80 + coalesce(sum(width) OVER (ORDER BY col_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS x0 FROM (VALUES {_COLS}) v(col_idx, name, ftype, width)"
 _DET = f"""SELECT l_orderkey AS page_id, l_linenumber AS det_idx, floor(x0 + width / 2) + l_partkey % 61 - 30 AS cx, (l_orderkey % 12)::INT AS row_idx, CASE WHEN l_suppkey % 10 = 0 THEN 'date' ELSE 'field' END AS cls
   FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey FROM lineitem GROUP BY ALL) JOIN ({_OFFSETS}) ON l_linenumber - 1 = col_idx"""
 _CENTERS = f"SELECT col_idx, name, floor(x0 + width / 2) AS c FROM ({_OFFSETS})"
 
 _FIELDS = f"""SELECT (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS pos, {samples.PAGE} AS page_image, {samples.FIELD} AS field_name, cast(l_partkey % 1500 AS int) AS x, cast(l_suppkey % 2000 AS int) AS y,
   cast(20 + l_linenumber AS int) AS w, cast(30 + l_orderkey % 7 AS int) AS h FROM lineitem"""
-_DIM = ", ".join(f"({i}, '{c}')" for i, c in enumerate(CLASSES))
+_DIM = "(0, 'employee_name'), (1, 'in_am'), (2, 'out_am'), (3, 'lunch'), (4, 'in_pm'), (5, 'out_pm'), (6, 'total_hours'), (7, 'signature'), (8, 'date')"
 _TYPED = f"SELECT * FROM (SELECT *, split_part(field_name, '_r', 1) AS cls FROM ({_FIELDS})) JOIN (VALUES {_DIM}) d(cid, name) ON cls = name"
 _NUMBER = "('0x' || substr(md5(page_image), 1, 12))::BIGINT"
 _COCO = f"""WITH own AS (SELECT *, min(pos) OVER (PARTITION BY page_image) AS f FROM ({_TYPED}) WHERE cid < 8)
@@ -162,16 +168,141 @@ _LINT = amount(strict(_LINT, "raw", "t"), "raw", "m")
 _KEYS = f"{samples.KEY} || cast(l_orderkey AS string) || CASE l_linenumber % 7 WHEN 0 THEN '_clock_in_am' WHEN 2 THEN '_total_hours' ELSE '' END"
 _VALUES = f"CASE l_linenumber % 7 WHEN 0 THEN {samples.TIME} WHEN 2 THEN {samples.AMOUNT} WHEN 3 THEN '<EMPTY>' ELSE ' plain ' END"
 _IMPORT = f"SELECT l_suppkey AS image_id, l_orderkey, {_KEYS} AS key, {_VALUES} AS value, {_CORNERS} AS b FROM lineitem"
-_IMPORT = f"""SELECT l.key, l.value, {_TYPE.format('l.key')} AS ftype, x.b FROM ({_IMPORT}) l JOIN (SELECT * FROM ({_IMPORT}) WHERE l_orderkey % 5 <> 0) x
+_LINES = f"SELECT l_suppkey AS image_id, {_KEYS} AS key, {_VALUES} AS value FROM lineitem"
+_BOXES = f"SELECT CASE WHEN l_orderkey % 5 = 0 THEN 'no ' ELSE '' END || l_suppkey AS image_id, {_KEYS} AS key, {_CORNERS} AS b FROM lineitem"
+_IMPORT = f"""SELECT l.image_id, l.key, l.value, {_TYPE.format('l.key')} AS ftype, x.b FROM ({_IMPORT}) l JOIN (SELECT * FROM ({_IMPORT}) WHERE l_orderkey % 5 <> 0) x
   ON l.image_id = x.image_id AND l.key = x.key WHERE x.b IS NOT NULL"""
 _IMPORT = amount(strict(_IMPORT, "value", "t"), "value", "m")
 _PAD = lambda b: f"[greatest({b}[1] - 2, 0), greatest({b}[2] - 2, 0), least({b}[3] + 2, 1700), least({b}[4] + 2, 2200)]"
 
 _WORK = lines(a0="cast(l_orderkey % 12 AS string) || ':' || lpad(cast(l_partkey % 60 AS string), 2, '0')", b0="cast(12 + l_suppkey % 12 AS string) || lpad(cast(l_partkey % 60 AS string), 2, '0')")
 
+_TEXT = "CASE WHEN o_orderkey % 5 = 0 THEN '9.' || o_custkey % 60 ELSE o_custkey % 26 || ':' || lpad(cast(o_orderkey % 64 AS string), 2, '0') END"
+_NUMBERED = "SELECT *, o_orderkey % 7 AS shape, 's' || o_orderkey % 10 AS own, row_number() OVER (PARTITION BY o_orderkey % 10 ORDER BY o_orderkey) AS line FROM orders"
+_READ = f"""SELECT CASE WHEN o_orderkey % 4 = 0 THEN 'T' || o_custkey % 7 ELSE 'sheet=' || own END AS TimesheetID, cast(o_orderkey % 12 AS string) AS Row, 'row' || o_orderkey % 9 || '_clock_in_am' AS FieldKey,
+    {_TEXT} AS RawText, CASE WHEN o_orderkey % 9 = 0 THEN 'x' ELSE '0.' || o_orderkey % 9 END AS Confidence, 'c/img' || o_custkey || '/ROW' || o_orderkey % 9 || '_clock_in_AM.png' AS CropPath,
+    CASE WHEN o_orderkey % 8 = 3 THEN ['blurred'] ELSE [] END AS own_w, line, 0 AS item FROM ({_NUMBERED}) WHERE shape IN (0, 1, 2, 6)
+  UNION ALL SELECT 'sheet=' || own, NULL, NULL, '7', NULL, NULL, [], line, 1 FROM ({_NUMBERED}) WHERE shape = 1
+  UNION ALL SELECT 'sheet=' || own, NULL, NULL, cast(o_custkey % 2400 AS string), NULL, NULL, [], line, 0 FROM ({_NUMBERED}) WHERE shape = 3
+  UNION ALL SELECT 'sheet=' || own, NULL, NULL, NULL, NULL, NULL, ['jsonl_line_error:' || line], line, 0 FROM ({_NUMBERED}) WHERE shape = 5"""
+_READ = f"""SELECT *, list_concat(own_w, w, list_filter([CASE WHEN try_cast(Confidence AS DOUBLE) < 0.35 THEN 'low_conf<0.35' END, CASE WHEN NormalizedTime IS NULL THEN 'invalid_time' END], lambda x: x IS NOT NULL)) AS all_w,
+  NormalizedTime IS NOT NULL AS ok FROM ({parsed(_READ, 'RawText', 'NormalizedTime', 'w')})"""
+
+_GREEDY = """WITH RECURSIVE dets AS (
+  SELECT l_orderkey // 24 AS page_id, (l_orderkey // 2) % 12 AS row_idx, list({'x': x, 'i': i}) AS d FROM (
+    SELECT l_orderkey, l_orderkey * 10 + l_linenumber AS i, (min(l_partkey) * 37 % 1400 + 80)::DOUBLE AS x FROM lineitem GROUP BY l_orderkey, l_linenumber) GROUP BY ALL
+), walk AS (
+  SELECT page_id, row_idx, d, -1 AS col_idx, NULL::BIGINT AS det_idx FROM dets
+  UNION ALL
+  SELECT page_id, row_idx, list_filter(d, lambda e: e.i <> p.i), c, p.i FROM (
+    SELECT *, col_idx + 1 AS c, list_sort(list_transform(d, lambda e: {'far': abs(e.x - [210, 425, 595, 750, 905, 1075, 1245, 1435][col_idx + 2]), 'i': e.i}))[1] AS p FROM walk WHERE col_idx < 7 AND len(d) > 0)
+)
+SELECT page_id, row_idx::INT AS row_idx, col_idx, det_idx FROM walk WHERE col_idx >= 0"""
+
+
+def ranked(kind: str, sanitize, allowed: str) -> str:
+    """Ranking of the candidates of a kind."""
+    cands = f"SELECT *, regexp_replace(trim(cand), '\\s+', ' ', 'g') AS norm FROM (SELECT o_orderkey, pos, {q.CANDIDATES[kind]} AS cand, pos * -0.25::DOUBLE AS logp FROM orders, (SELECT unnest([0, 1, 2]) AS pos))"
+    good, typed = f"({allowed})", kind != "text"
+    both = sanitize(f"SELECT *, coalesce(san, norm) AS clean FROM ({sanitize(cands, 'norm', 'san')})", "clean", "again") if typed else f"SELECT *, norm AS san, norm AS clean, NULL AS again FROM ({cands})"
+    scored = f"""SELECT *, logp - CASE WHEN {good} THEN 0 ELSE 2 END + CASE WHEN san IS NOT NULL THEN 2 ELSE 0 END + CASE WHEN again IS NOT NULL THEN 1.5 ELSE 0 END - 0.05::DOUBLE * levenshtein(norm, clean) AS s,
+      array_to_string(list_filter([CASE WHEN NOT {good} THEN 'prefilter_fail' END, CASE WHEN san IS NOT NULL THEN 'sanitized_ok' END, CASE WHEN again IS NOT NULL THEN '{kind}_valid' END,
+      CASE WHEN levenshtein(norm, clean) > 0 THEN 'lev-' || cast(levenshtein(norm, clean) AS string) END], lambda x: x IS NOT NULL), ',') AS bits FROM ({both})"""
+    return f"SELECT o_orderkey, pos::BIGINT AS pos, cand, round(s, 6) AS score, CASE WHEN bits = '' THEN 'ok' ELSE bits END AS note, row_number() OVER (PARTITION BY o_orderkey ORDER BY s DESC, length(norm), pos)::BIGINT AS rank FROM ({scored})"
+
+
+_CROPS = "SELECT l_orderkey, l_linenumber AS n, min(l_partkey) AS p, min(l_suppkey) AS s FROM lineitem GROUP BY l_orderkey, l_linenumber"
+_CROPS = f"SELECT *, CASE WHEN n = 2 THEN p || ',5' WHEN n = 5 AND p % 2 = 0 THEN '?none' ELSE p % 24 || '.15' END AS hint FROM ({_CROPS})"
+_ROUTED = f"SELECT *, CASE n WHEN 1 THEN coalesce(t, hint) WHEN 5 THEN coalesce(t, hint) WHEN 2 THEN coalesce(m, hint) WHEN 3 THEN CASE WHEN s % 3 = 0 THEN 'present' ELSE 'absent' END ELSE '' END AS v FROM ({amount(strict(_CROPS, 'hint', 't'), 'hint', 'm')})"
+
+_IMAGES = f"SELECT DISTINCT {_NUMBER} AS id, page_image FROM ({_TYPED}) WHERE cid < 8"
+_ANNOTATIONS = _COCO.replace("concat_ws(',', x, y, w, h) AS bbox", "'[' || concat_ws(',', x, y, w, h) || ']' AS bbox")
+_COCO_LINES = f"""SELECT 0 AS part, 0::BIGINT AS at, '{{"images":[' AS value
+  UNION ALL SELECT 1, id, CASE WHEN row_number() OVER (ORDER BY id) > 1 THEN ',' ELSE '' END || '{{"id":' || id || ',"file_name":"' || page_image || '","width":0,"height":0}}' FROM ({_IMAGES})
+  UNION ALL SELECT 2, 0, '],"annotations":['
+  UNION ALL SELECT 3, id, CASE WHEN id > 1 THEN ',' ELSE '' END || '{{"id":' || id || ',"image_id":' || image_id || ',"category_id":' || category_id || ',"bbox":' || bbox || ',"area":' || area || ',"iscrowd":0}}' FROM ({_ANNOTATIONS})
+  UNION ALL SELECT 4, 0, '],"categories":[' || (SELECT string_agg('{{"id":' || i + 1 || ',"name":"' || n || '"}}', ',' ORDER BY i) FROM (VALUES {_DIM}) v(i, n) WHERE i < 8) || ']}}'"""
+
+_FOUND = f"SELECT *, '{{\"cls\":\"' || cls || '\",\"bbox\":[' || (cx - 20)::DOUBLE || ',' || (510 + row_idx * 120 - 15)::DOUBLE || ',40.0,30.0],\"score\":0.9}}' AS j FROM ({_DET})"
+_PAGE = f"""SELECT page_id, '{{"image":"' || page_id || '","meta":{{"crop_version":"v1","header_rows":2}},"table_top_data":510,"row_h":120,"rows_data":12,"col_widths":[260,170,170,140,170,170,170,210],"detections":['
+    || string_agg(j, ',' ORDER BY det_idx) FILTER (WHERE j IS NOT NULL) || '],"grid":{{' || any_value(g) || '}}}}' AS result FROM ({_FOUND}) JOIN (
+      SELECT page_id, string_agg('"' || r || ',' || c || '":' || coalesce(j, 'null'), ',' ORDER BY r, c) AS g FROM (SELECT DISTINCT page_id FROM ({_DET})), (SELECT unnest(range(12)) AS r), (SELECT unnest(range(8)) AS c)
+      LEFT JOIN (SELECT page_id AS p, row_idx, det_idx - 1 AS col, j FROM ({_FOUND}) WHERE cls <> 'date') ON p = page_id AND row_idx = r AND col = c GROUP BY page_id) USING (page_id) GROUP BY page_id"""
+
+_DRAW = lambda salt, m: f"('0x' || substr(md5('42|' || page || '|' || r || '|' || c || '|{salt}'), 1, 12))::BIGINT % {m}"
+_HHMM = lambda m: f"lpad(cast(({m}) // 60 AS string), 2, '0') || ':' || lpad(cast(({m}) % 60 AS string), 2, '0')"
+_PERSON = f"['Ann', 'Ben', 'Cal', 'Dee', 'Eve', 'Fay'][{_DRAW('first', 6)} + 1] || ' ' || ['Hill', 'Lake', 'Moor', 'Reed', 'Vale', 'Wood'][{_DRAW('last', 6)} + 1]"
+_BOXED = f"""SELECT r::INT AS r, col_idx AS c, name, ftype, (x0 + 8)::INT AS bx, (458 + r * 120)::INT AS bw0, (width - 16)::INT AS bw, 104 AS bh FROM ({_OFFSETS}), (SELECT unnest(range(12)) AS r)"""
+_HEADS = "SELECT -1 AS r, c, name, 'text' AS ftype, x AS bx, y AS bw0, w AS bw, h AS bh FROM (VALUES (0, 'company', 200, 150, 500, 50), (1, 'supervisor', 200, 224, 480, 50), (2, 'date', 1360, 150, 240, 50)) v(c, name, x, y, w, h)"
+_SYNTH = f"""SELECT *, CASE WHEN r < 0 THEN name ELSE name || '_r' || (r + 1) END AS field_name, CASE WHEN name IN ('employee_name', 'supervisor') THEN {_PERSON}
+    WHEN name = 'company' THEN ['Hill', 'Lake', 'Moor', 'Reed', 'Vale', 'Wood'][{_DRAW('last', 6)} + 1] || ' Works'
+    WHEN name = 'date' THEN printf('%02d/%02d/%d', {_DRAW('month', 12)} + 1, {_DRAW('day', 28)} + 1, {_DRAW('year', 2)} + 2024)
+    WHEN name = 'lunch' THEN {_HHMM(_DRAW('lunch', 5) + ' * 15')} WHEN name = 'signature' THEN CASE WHEN {_DRAW('sign', 10)} < 8 THEN 'present' ELSE 'absent' END
+    WHEN ftype = 'amount' THEN printf('%.2f', ({_DRAW('cents', 1200)}) / 100.0) ELSE {_HHMM('(' + _DRAW('hour', 14) + ' + 6) * 60 + ' + _DRAW('quarter', 4) + ' * 15')} END AS text
+  FROM (SELECT unnest(range(200)) AS page), ({_HEADS} UNION ALL {_BOXED})"""
+_SYNTH = f"""SELECT image, text, ftype AS field_type, 'pages/page_' || page || '.jpg' AS page_image, field_name, concat_ws(',', bx, bw0, bw, bh) AS bbox_xywh,
+  CASE WHEN r >= 0 THEN name = 'signature' AND text = 'present' END AS signature_present, CASE WHEN ('0x' || substr(md5('42|' || image), 1, 12))::BIGINT % 1000000 < 100000 THEN 'val' ELSE 'train' END AS split
+  FROM (SELECT *, 'crops/page_' || page || '_' || field_name || '.jpg' AS image FROM ({_SYNTH}))"""
+_ESCAPED = lambda x: f"replace(replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
+_TYPED_TEXT = "CASE WHEN trim(value) IN ('', '<EMPTY>', '<ILLEGIBLE>', '<SIGNATURE>', 'NA', 'N/A') THEN NULL WHEN ftype = 'time' THEN t WHEN ftype = 'amount' THEN m ELSE trim(value) END"
+_LOGGED = " UNION ALL ".join(f"SELECT {b} AS b, user_id, max(event_id) AS e, arg_max(event_type, event_id) AS kind FROM events WHERE event_id % {n} = 0 GROUP BY user_id" for b, n in enumerate((97, 11, 2)))
+_PROBED = """(1, 'fields,image,image_id,labels', 'p1.png', 'list', 'key,text'), (2, 'fields,image_path', 'x.png', 'dict', 'a,b'), (3, 'other', NULL, 'none', NULL)"""
+_LISTED = "('a.JPG', 0), ('b.png', 1), ('c.tif', 2), ('d.TIFF', 3), ('f.webp', 4), ('g.BMP', 5), ('h.jpeg', 6), ('i.png', NULL)"
+
 SQL: dict[str, str] = {
+    "export_files": f"""SELECT 'run1' AS RunID, TimesheetID, Row, FieldKey, RawText, NormalizedTime, Confidence, CropPath, nullif(array_to_string(all_w, '; '), '') AS Warnings,
+      CASE WHEN ok THEN 'True' ELSE 'False' END AS IsValid, cast(line AS string) AS line, cast(item AS string) AS item FROM ({_READ})""",
+    "export_summary_files": f"""SELECT 'run1' AS RunID, TimesheetID, cast(count(*) AS string) AS Records, cast(sum(ok::INT) AS string) AS ValidRecords, cast({mean('ok::INT')} AS string) AS PctValid,
+      cast({mean('try_cast(Confidence AS DOUBLE)')} AS string) AS AvgConfidence FROM ({_READ}) GROUP BY TimesheetID""",
+    "json_documents": """SELECT c_nationkey, c_name AS raw_text, NULL::VARCHAR AS fault FROM customer WHERE c_nationkey % 5 < 3
+      UNION ALL SELECT DISTINCT c_nationkey, CASE WHEN c_nationkey % 5 = 3 THEN '17' END, CASE WHEN c_nationkey % 5 = 4 THEN 'json_error:' END FROM customer WHERE c_nationkey % 5 > 2""",
+    "keyed_rows": "SELECT o_custkey % 50 AS row, arg_max(o_orderpriority || o_orderkey, o_orderkey) AS text, max(o_orderkey) AS pos FROM orders GROUP BY 1",
+    "label_log_latest": f"""SELECT cast(user_id AS string) AS crop_path, CASE WHEN b = 1 THEN '' ELSE 'p' END AS pred_raw, CASE WHEN e % 6 > 0 THEN b || ', "' || kind || '"' WHEN b = 1 THEN ' ' ELSE '<EMPTY>' END AS label, (9 - b)::BIGINT AS ts
+      FROM (SELECT * FROM ({_LOGGED}) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY b DESC) = 1)""",
+    "label_folder": "SELECT n_name AS image_id, 'clock_in' AS field_name, CASE WHEN n_nationkey % 3 > 0 THEN n_name ELSE '' END AS text, '1,2,' || n_nationkey || ',4' AS bbox FROM nation",
+    "newest_csv": "SELECT n_nationkey::BIGINT AS n_nationkey, n_name || ' 20251013_120000' AS name FROM nation",
+    "image_files": f"SELECT name, place, CASE WHEN place IS NOT NULL THEN true END AS listed, true AS below FROM (VALUES {_LISTED}) v(name, place)",
+    "schema_probe": f"SELECT line::BIGINT AS line, keys, image, kind, field_keys FROM (VALUES {_PROBED}) v(line, keys, image, kind, field_keys)",
+    "record_columns": """SELECT (row_number() OVER (ORDER BY name) - 1)::INT AS place, name FROM (SELECT 'row' AS name UNION SELECT 'in_am' UNION SELECT 'k' || o_custkey % 4 FROM orders WHERE o_orderkey % 2 = 1)""",
+    "first_in_order": """SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 50 >= 48 THEN l_orderkey % 50 END AS TimesheetID, CASE WHEN l_partkey % 3 > 0 THEN l_partkey % 3 END AS Page, l_suppkey % 12 AS Row, l_linenumber AS Col
+      FROM lineitem ORDER BY TimesheetID NULLS LAST, Page NULLS LAST, Row, Col, l_orderkey, l_partkey LIMIT 500""",
+    "import_funnel": f"""SELECT count(DISTINCT l.image_id) AS lines, count(DISTINCT l.image_id) FILTER (WHERE file) AS img_ok, count(*) AS fields, count_if(file AND b IS NOT NULL)::BIGINT AS bbox,
+      count_if(file AND b IS NOT NULL AND trim(value) NOT IN ('', '<EMPTY>', '<ILLEGIBLE>', '<SIGNATURE>', 'NA', 'N/A'))::BIGINT AS text
+      FROM (SELECT *, image_id % 3 > 0 AS file FROM ({_LINES})) l LEFT JOIN ({_BOXES}) x ON cast(l.image_id AS string) = x.image_id AND l.key = x.key""",
+    "import_split": f"""SELECT crop, ftype, text, CASE WHEN ('0x' || substr(md5('13|' || crop), 1, 12))::BIGINT % 1000000 < 150000 THEN 'val' ELSE 'train' END AS split
+      FROM (SELECT image_id || '__' || key AS crop, ftype, {_TYPED_TEXT} AS text FROM ({_IMPORT})) WHERE text IS NOT NULL AND ftype IS NOT NULL""",
+    "assembled_rows": """SELECT l_orderkey AS row, arg_max(s, n) FILTER (WHERE n % 3 = 0) AS in_am, arg_max(s, n) FILTER (WHERE n % 3 = 1) AS out_am, arg_max(s, n) FILTER (WHERE n % 3 = 2) AS note
+      FROM (SELECT l_orderkey, l_linenumber AS n, cast(min(l_suppkey) AS string) AS s FROM lineitem GROUP BY ALL) GROUP BY l_orderkey""",
+    "best_epochs": """SELECT cast(d AS string) AS epoch, em, em > coalesce(max(em) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS is_best
+      FROM (SELECT o_orderdate::DATE AS d, max(o_custkey)::DOUBLE AS em FROM orders GROUP BY 1)""",
+    "sequence_scores": """SELECT l_orderkey, sum(lp) FILTER (WHERE n <= coalesce(e, n)) AS logprob FROM (SELECT *, min(n) FILTER (WHERE tok = 3) OVER (PARTITION BY l_orderkey) AS e FROM (
+      SELECT l_orderkey, l_suppkey % 4 AS tok, -l_quantity / 8 AS lp, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey % 4, -l_quantity / 8) AS n FROM lineitem)) GROUP BY l_orderkey""",
+    "hashed_names": """SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN '.hidden__' || h WHEN 1 THEN p_name || '.v1__' || h || '.png' ELSE p_name || '__' || h END AS name FROM (SELECT *, substr(sha1('/data/' || p_brand || '/' ||
+      CASE p_partkey % 3 WHEN 0 THEN '.hidden' WHEN 1 THEN p_name || '.v1.png' ELSE p_name END), 1, 16) AS h FROM part)""",
+    "warnings_split": "SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 1 THEN 'a|b' || l_suppkey WHEN 3 THEN 'invalid_time' ELSE '' END AS warnings FROM lineitem",
+    "grid_greedy": _GREEDY,
+    "nbest_time": ranked("time", strict, r"regexp_full_match(norm, '[\s0-9:;.,apmAPM-]+')"),
+    "nbest_date": ranked("date", day, r"regexp_full_match(norm, '[\s0-9/.-]+')"),
+    "nbest_text": ranked("text", None, "true"),
+    "layout_drawn": f"SELECT name || CASE WHEN r < 0 THEN '' ELSE '_r' || (r + 1) END AS name, bx, bw0 AS by, bw, bh FROM ({_HEADS} UNION ALL {_BOXED})",
+    "stub_grid": """SELECT cast(l_orderkey AS string) AS page_id, (l_orderkey % 12)::INT AS row_idx, l_linenumber AS det_idx, (120 + (l_linenumber - 1) * 170)::DOUBLE AS x, 90::DOUBLE AS w, 0.999::DOUBLE AS score
+      FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS p FROM lineitem GROUP BY ALL) WHERE p % 20 > 0""",
+    "router_rows": f"""SELECT l_orderkey AS row, coalesce(max(v) FILTER (WHERE n = 5), max(v) FILTER (WHERE n = 1)) AS in_am, {', '.join(f"max(v) FILTER (WHERE n = {n}) AS {c}" for n, c in ((2, 'total_hours'), (3, 'signature'), (4, 'employee_name'), (6, 'date')))},
+      max(v) FILTER (WHERE n > 6) AS unknown FROM ({_ROUTED}) GROUP BY l_orderkey""",
+    "coco_lines": _COCO_LINES,
+    "yolo_files": f"SELECT page_image, string_agg(line, chr(10) ORDER BY pos, line) AS value FROM (SELECT page_image, pos, printf('%d %.6f %.6f %.6f %.6f', cid, (x + w / 2.0::DOUBLE) / 1700, (y + h / 2.0::DOUBLE) / 2200, w / 1700.0::DOUBLE, h / 2200.0::DOUBLE) AS line FROM ({_TYPED})) GROUP BY page_image",
+    "failure_review": f"SELECT TimesheetID, RawText, CleanText AS PrecleanedCandidate, NormalizedTime, Confidence, coalesce(Warnings[1], '') AS Reason, array_to_string(Warnings, '; ') AS Warnings FROM ({_FAILED})",
+    "review_page": f"""SELECT 1 AS part, conv_id * 1000 + turn AS at, '<tr><td>' || {_ESCAPED("coalesce(role, '')")} || '</td><td>' || {_ESCAPED("coalesce(text, '')")} || '</td></tr>' AS value FROM conversations
+      UNION ALL SELECT 0, 0, '<!doctype html><meta charset="utf-8"/><table><tr><th>role</th><th>text</th></tr>' UNION ALL SELECT 2, 0, '</table>'""",
+    "review_list": """SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS idx, 'c/' || c_name AS crop_path, 'time' AS field_type, raw AS pred_raw, raw AS suggest
+      FROM (SELECT *, CASE WHEN c_custkey % 3 = 2 THEN '9:30' WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END AS raw FROM customer)""",
+    "split_bernoulli": "SELECT o_orderkey, CASE WHEN ('0x' || substr(md5('13|' || o_orderkey), 1, 12))::BIGINT % 1000000 < 100000 THEN 'val' ELSE 'train' END AS split FROM orders",
+    "export_stream": f"""SELECT c_custkey, RawText, NormalizedTime, array_to_string(list_concat(w, list_filter([CASE WHEN c_custkey % 10 < 4 THEN 'low_conf<0.35' END, CASE WHEN NormalizedTime IS NULL THEN 'invalid_time' END], lambda x: x IS NOT NULL)), '; ') AS Warnings,
+      NormalizedTime IS NOT NULL AS IsValid FROM ({parsed("SELECT c_custkey, c_custkey % 26 || ':' || lpad(cast(c_nationkey * 3 AS string), 2, '0') AS RawText FROM customer", "RawText", "NormalizedTime", "w")})""",
+    "synth_crops": _SYNTH,
+    "page_json": _PAGE,
     "export_time_detail": f"SELECT l_orderkey, l_linenumber, RawText, NormalizedTime, array_to_string(Warnings, '; ') AS Warnings, IsValid::INT AS IsValid FROM ({_EXPORT})",
-    "export_time_summary": f"SELECT TimesheetID, count(*)::BIGINT AS Records, sum(IsValid::INT)::BIGINT AS ValidRecords, round_even(avg(IsValid::INT), 4) AS PctValid, round_even(avg(Confidence), 4) AS AvgConfidence FROM ({_EXPORT}) GROUP BY TimesheetID",
+    "export_time_summary": f"SELECT TimesheetID, count(*)::BIGINT AS Records, sum(IsValid::INT)::BIGINT AS ValidRecords, {mean('IsValid::INT')} AS PctValid, {mean('Confidence')} AS AvgConfidence FROM ({_EXPORT}) GROUP BY TimesheetID",
     "time_three_way": f"SELECT * EXCLUDE (w) FROM ({parsed(lenient(strict(lines(raw=samples.TIME), 'raw', 'strict'), 'raw', 'lenient'), 'raw', 'parsed', 'w')})",
     "amount_sanitize": amount(lines(raw=samples.AMOUNT), "raw", "amount"),
     "amount_canon": f"""SELECT * EXCLUDE (t, a, b) FROM (SELECT *, regexp_replace(replace(raw, ',', '.'), '[^0-9.]', '', 'g') AS t, split_part(t, '.', 1) AS a, replace(substr(t, length(a) + 1), '.', '') AS b,
@@ -203,7 +334,7 @@ SQL: dict[str, str] = {
     "grid_row_bin": f"SELECT l_orderkey, l_linenumber, {_ROW} AS row_tops, CASE WHEN abs(({q._CY})::DOUBLE - 510 - 120 * ({_MID} + 0.5::DOUBLE)) <= 66 THEN {_MID}::INT END AS row_centered FROM lineitem",
     "row_histogram": f"SELECT r::INT AS row_idx, count(cy)::BIGINT AS n, min(cy) AS y_min, max(cy) AS y_max FROM (SELECT unnest(range(12)) AS r) LEFT JOIN (SELECT {_ROW} AS slot, cast({q._CY} AS double) AS cy FROM lineitem) ON r = slot GROUP BY r",
     "grid_assign": f"""SELECT page_id, row_idx, c.col_idx, det_idx, c.name FROM ({_DET}) d JOIN ({_CENTERS}) c ON c.col_idx = d.det_idx - 1 WHERE cls <> 'date'""",
-    "layout_offsets": f"SELECT r::INT AS row_idx, col_idx, name, x0::INT AS x0, floor(x0 + width / 2)::INT AS x_center, ({_FORM.data_top} + r * {_FORM.row_height})::INT AS y0 FROM ({_OFFSETS}), (SELECT unnest(range({_FORM.rows})) AS r)",
+    "layout_offsets": f"SELECT r::INT AS row_idx, col_idx, name, x0::INT AS x0, floor(x0 + width / 2)::INT AS x_center, (510 + r * 120)::INT AS y0 FROM ({_OFFSETS}), (SELECT unnest(range(12)) AS r)",
     "coco_annotations": _COCO,
     "coco_images": f"SELECT DISTINCT {_NUMBER} AS id, page_image AS file_name, 0 AS width, 0 AS height FROM ({_TYPED}) WHERE cid < 8",
     "yolo_lines": f"SELECT page_image, pos, printf('%d %.6f %.6f %.6f %.6f', cid, (x + w / 2.0::DOUBLE) / 1700, (y + h / 2.0::DOUBLE) / 2200, w / 1700.0::DOUBLE, h / 2200.0::DOUBLE) AS line FROM ({_TYPED})",

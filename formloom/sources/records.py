@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -16,12 +16,43 @@ ALIASES = {
 }
 
 
-def _exists(spark: SparkSession, path: str) -> None:
+#: Extensions of images.
+IMAGES = "jpg jpeg png tif tiff bmp webp".split()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share: under spark.checkpoint.dir, or on one machine a temporary one where that is not set."""
+    import tempfile
+    import uuid
+
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = "file://" + tempfile.gettempdir()
+    return f"{shared.rstrip('/')}/formloom-{name}-{uuid.uuid4().hex}"
+
+
+def _found(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and what is there."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at):
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, list(fs.globStatus(at) or [])
+
+
+def _exists(spark: SparkSession, path: str) -> None:
+    if not _found(spark, path)[1]:
         raise FileNotFoundError(path)
 
 
+def expanded(spark: SparkSession, path: str) -> list[str]:
+    """A file, the images of a folder (not of folders below), or the files that a pattern matches; sorted."""
+    fs, found = _found(spark, path)
+    if len(found) == 1 and found[0].isDirectory():
+        found = [s for s in fs.listStatus(found[0].getPath()) if str(s.getPath()).rsplit(".", 1)[-1].lower() in IMAGES]
+    return sorted(str(s.getPath()) for s in found if s.isFile())
+
+
 def _parsed(df: DataFrame, lines: bool) -> DataFrame:
     """A row a record from (file, line, value). record is JSON text of an object; other values are wrapped as _raw; faults are null."""
     v = F.try_parse_json("value")
@@ -42,12 +73,26 @@ def _parsed(df: DataFrame, lines: bool) -> DataFrame:
     return df.select("file", "line", "item", record.alias("record"), F.when(F.col("_kind") == "fault", fault).alias("fault"))
 
 
+def numbered_lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """(file, line, value) of text files, lines numbered from 1 by file. Files are split: a line's number is its place in its block and the
+    number of lines of the file's blocks before."""
+    raw = spark.read.text(path, pathGlobFilter=pattern, recursiveFileLookup=True)
+    raw = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("_at"), "value")
+    blocks = raw.groupBy("file", "block").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.select("file", "block", (before + 1 - F.col("_first")).alias("_shift"))
+    return raw.join(blocks, ["file", "block"]).select("file", (F.col("_at") + F.col("_shift")).alias("line"), "value")
+
+
 def jsonl(spark: SparkSession, path: str) -> DataFrame:
     """(file, line, item, record, fault) of all .jsonl files under a path. Lines are numbered by file; blank ones are skipped."""
     _exists(spark, path)
-    raw = spark.read.text(path, wholetext=True, pathGlobFilter="*.jsonl", recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    lines = raw.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line", "value")).where(F.trim("value") != "")
-    return _parsed(lines.withColumn("line", F.col("line") + 1), lines=True)
+    return _parsed(numbered_lines(spark, path, "*.jsonl").where(F.trim("value") != ""), lines=True)
+
+
+def strict_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of JSONL files; a line that is no such record is an error."""
+    return spark.read.schema(schema).json(path, mode="FAILFAST")
 
 
 def json_files(spark: SparkSession, path: str) -> DataFrame:
@@ -101,7 +146,7 @@ def label_folder(spark: SparkSession, path: str) -> DataFrame:
 
 def images(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """Paths of image files, without reading them."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.{jpg,jpeg,png,bmp,tif,tiff,webp,JPG,JPEG,PNG}").option("recursiveFileLookup", str(recursive).lower()).load(path)
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.{" + ",".join("".join(f"[{c}{c.upper()}]" for c in e) for e in IMAGES) + "}").option("recursiveFileLookup", str(recursive).lower()).load(path)
     return found.select("path", "length")
 
 
@@ -115,24 +160,54 @@ def latest_csv(spark: SparkSession, path: str, prefix: str = "time_fields_long_"
     return spark.read.csv(max(str(s.getPath()) for s in found), header=True, inferSchema=True, escape='"')
 
 
+LOG = "crop_path string, field_type string, pred_raw string, label string, reviewer string, ts long"
+
+
 def label_log(spark: SparkSession, path: str) -> DataFrame:
-    """The label log. Its position is its order in the file, not its time stamp."""
-    schema = "crop_path string, field_type string, pred_raw string, label string, reviewer string, ts long"
-    return spark.read.schema(schema).csv(path, header=True, escape='"', multiLine=True).withColumn("pos", F.monotonically_increasing_id())
+    """The label log with pos, its order: by batch as appended, and in a batch or a single file by line. The time stamp is not looked at."""
+    rows = spark.read.schema(LOG).csv(path, header=True, escape='"', multiLine=True, recursiveFileLookup=True)
+    # Quoted files are not split, so ids rise along a file; names of batches and their parts sort as they were written.
+    return rows.withColumn("pos", F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line")))
 
 
 def probe(df: DataFrame, n: int = 2) -> DataFrame:
-    """Keys of the first records."""
-    return df.orderBy("file", "line", "item").limit(n).select("file", "line", F.json_object_keys("record").alias("keys"))
+    """Of the first records: keys, the image they name, the kind of their fields, and the first fields' keys."""
+    at = lambda k: F.get_json_object("record", f"$.{k}")
+    some = lambda v: F.when(~v.isin("", "{}", "[]", "0", "false"), v)
+    fields = F.coalesce(*(some(at(k)) for k in ("fields", "labels", "annotations")))
+    kind = F.when(fields.startswith("{"), "dict").when(fields.startswith("["), "list").when(fields.isNull(), "none").otherwise("value")
+    inner = F.when(kind == "dict", fields).when(kind == "list", F.get_json_object(fields, "$[0]"))
+    image = F.coalesce(some(at("image")), some(at("image_path")), F.concat(some(at("image_id")), F.lit(".png")))
+    first = df.orderBy("file", "line", "item").limit(n)
+    return first.select("file", "line", F.json_object_keys("record").alias("keys"), image.alias("image"), kind.alias("kind"), F.slice(F.json_object_keys(inner), 1, 10).alias("field_keys"))
+
+
+def review_items(df: DataFrame, pos: str, field_type: str) -> DataFrame:
+    """What the correction page shows of predictions: idx from 0 in order, the crop, and the prediction as suggestion."""
+    raw = text.strip(F.coalesce(F.nullif("pred_time", F.lit("")), F.nullif("pred_text", F.lit("")), F.lit("")))
+    idx = F.row_number().over(Window.orderBy(pos)) - 1  # a list that a person goes through
+    return df.select(idx.alias("idx"), "crop_path", F.lit(field_type).alias("field_type"), raw.alias("pred_raw"), raw.alias("suggest"))
+
+
+def loaded(path: str | None) -> dict:
+    """Settings of a YAML file, with numbers, truth values and nesting; none without a path or of an empty file."""
+    if not path:
+        return {}
+    import yaml
+
+    with open(path, encoding="utf-8") as f:
+        return yaml.safe_load(f) or {}
 
 
 def config(path: str | None, given: dict) -> dict:
-    """Settings with those of a YAML file of flat keys put over them where they are not null; an empty file gives none."""
-    out = dict(given)
-    if path:
-        with open(path, encoding="utf-8") as f:
-            for line in f:
-                key, colon, value = line.split("#", 1)[0].partition(":")
-                if colon and key.strip() and (value := value.strip().strip("\"'")) not in ("", "null", "~"):
-                    out[key.strip()] = {"true": True, "false": False}.get(value.lower(), int(value) if value.lstrip("-").isdigit() else value)
-    return out
+    """Settings with those of a YAML file put over them where they are not null. Nested ones are refused where a plain one is meant."""
+    own = loaded(path)
+    for key, value in own.items():
+        if isinstance(value, dict) and not isinstance(given.get(key), dict):
+            raise ValueError(f"{key} is nested")
+    return given | {k: v for k, v in own.items() if v is not None}
+
+
+def heads(path: str) -> dict[str, dict]:
+    """Models by field type: {type: {model_id, ckpt_path}}."""
+    return {kind: {"model_id": spec["model_id"], "ckpt_path": spec.get("ckpt_path")} for kind, spec in loaded(path).items()}

@@ -13,14 +13,14 @@ from ..operators import labels, layout
 HEADERS = [("company", 200, 150, 500, 50), ("supervisor", 200, 224, 480, 50), ("date", 1360, 150, 240, 50)]
 
 
-def crops(spark: SparkSession, n: int, val_ratio: float = 0.1, seed: int = 42, by_page: bool = False, form: layout.Layout = layout.Layout()) -> DataFrame:
+def crops(spark: SparkSession, n: int, val_ratio: float = 0.1, seed: int = 42, by_page: bool = False, form: layout.Layout = layout.DRAWN) -> DataFrame:
     """n pages of 3 header fields and a field a cell: image, text, field_type, page_image, field_name, bbox_xywh, signature_present (null
     for headers), split. by_page: a page's crops share a split; else each crop is dealt by itself."""
-    slots = layout.cells(spark, form).select("row_idx", "col_idx", "name", "ftype", "x0", "y0", "width", F.lit(form.row_height).alias("height"))
+    slots = layout.cells(spark, form).select("row_idx", "col_idx", "name", "ftype", *(F.col(c).cast("int").alias(n) for c, n in (("bx", "x0"), ("by", "y0"), ("bw", "width"), ("bh", "height"))))
     above = [(-1, i, name, "text", x, y, w, h) for i, (name, x, y, w, h) in enumerate(HEADERS)]
     slots = slots.unionByName(spark.createDataFrame(above, "row_idx int, col_idx int, name string, ftype string, x0 int, y0 int, width int, height int"))
     df = spark.range(n).withColumnRenamed("id", "page").crossJoin(F.broadcast(slots))
-    draw = lambda salt, m: F.pmod(F.xxhash64(F.lit(seed), "page", "row_idx", "col_idx", F.lit(salt)), F.lit(m))
+    draw = lambda salt, m: text.image_number(F.concat_ws("|", F.lit(str(seed)), "page", "row_idx", "col_idx", F.lit(salt))) % m
     first, last = "Ann Ben Cal Dee Eve Fay".split(), "Hill Lake Moor Reed Vale Wood".split()
     pick: dict[str, Column] = {w: F.element_at(F.array(*map(F.lit, words)), (draw(w, len(words)) + 1).cast("int")) for w, words in (("first", first), ("last", last))}
     time = text.from_minutes((draw("hour", 14) + 6) * 60 + draw("quarter", 4) * 15)

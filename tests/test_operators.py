@@ -68,18 +68,19 @@ def test_assignment_is_cheapest(spark):
 
 
 def test_grid_has_every_slot(spark):
-    dets = [("a", i, "in_am", 300.0 + i, 405.0, 40.0, 30.0, 0.9) for i in range(9)] + [("a", 99, "date", 300.0, 505.0, 40.0, 30.0, 1.0), ("b", 0, "in_am", 300.0, 5000.0, 1.0, 1.0, 0.5)]
+    dets = [("a", i, "in_am", 300.0 + i, 495.0, 40.0, 30.0, 0.9) for i in range(9)] + [("a", 99, "date", 300.0, 505.0, 40.0, 30.0, 1.0), ("b", 0, "in_am", 300.0, 5000.0, 1.0, 1.0, 0.5)]
     g = layout.grid(spark.createDataFrame(dets, models.DETECTION))
     assert g.count() == 2 * 96 and g.where("det is not null").count() == 8 and g.where("det.cls = 'date'").count() == 0
-    doc = json.loads(layout.page_json(g).where("page_id = 'b'").first().grid)
-    assert len(doc) == 96 and set(doc.values()) == {None}
+    doc = json.loads(layout.page_json(g, spark.createDataFrame(dets, models.DETECTION)).where("page_id = 'b'").first().result)
+    assert list(doc) == ["image", "meta", "table_top_data", "row_h", "rows_data", "col_widths", "detections", "grid"] and doc["table_top_data"] == 510 and sum(doc["col_widths"]) == 1460
+    assert len(doc["grid"]) == 96 and list(doc["grid"])[:10][-2:] == ["1,0", "1,1"] and set(doc["grid"].values()) == {None} and doc["detections"] == [{"cls": "in_am", "bbox": [300.0, 5000.0, 1.0, 1.0], "score": 0.5}]
     wide = layout.assembled(g.where("page_id = 'a' and det is not null").select("page_id", "row_idx", "name", "col_idx", F.col("det.det_idx").cast("string").alias("value")), ["page_id", "row_idx"], ["in_am", "lunch"])
     assert wide.columns == ["page_id", "row_idx", "in_am", "lunch"] and wide.count() == 1
 
 
 def test_boxes(spark):
     cases = {'{"x":1,"y":2,"w":3.9,"h":4}': [1, 2, 4, 6], '{"x1":1,"y1":2,"x2":3,"y2":4}': [1, 2, 3, 4], '{"left":1,"top":2,"right":3,"bottom":4}': [1, 2, 3, 4],
-             "[1,2,3,4]": [1, 2, 3, 4], "[10,20,3,4]": [10, 20, 13, 24], "[1,2,9,2,9,8,1,8]": [1, 2, 9, 8], '{"points":[[1,2],[9,2],[9,8],[1,8]]}': [1, 2, 9, 8], '{"a":1}': None, "[1]": None, None: None}
+             "[1,2,3,4]": [1, 2, 3, 4], "[10,20,3,4]": [10, 20, 13, 24], "[1,2,9,2,9,8,1,8]": [1, 2, 9, 8], '{"points":[[1,2],[9,2],[9,8],[1,8]]}': [1, 2, 9, 8], '{"a":1}': None, "[1]": None, None: None, '{"w":5}': None, '{"x":1,"w":2,"left":1,"top":2,"right":3,"bottom":4}': [1, 2, 3, 4]}
     df = spark.createDataFrame([(k,) for k in cases], "b string")
     assert [r.o for r in df.select(layout.any_box(F.col("b")).alias("o")).collect()] == list(cases.values())
     pad = df.limit(1).select(F.array(*layout.padded(F.lit(1), F.lit(1), F.lit(1699), F.lit(50), 6, 1700, 2200)).alias("o"), F.array(*layout.padded(F.lit(5), F.lit(5), F.lit(-90), F.lit(9), 2, 100, 100)).alias("z")).first()
@@ -173,12 +174,13 @@ def test_files(spark, tmp_path):
         spark.createDataFrame([(day,)], "d string").coalesce(1).write.csv(f"{tmp_path}/x/time_fields_long_{day}.csv", header=True)
     assert records.latest_csv(spark, f"{tmp_path}/x").first().d == 2
     recs = spark.createDataFrame([("p.png", "in_am_r1", 1, 2, 3, 4, 0), ("p.png", "nothing", 1, 2, 3, 4, 1), ("q.png", "date", 1, 2, 3, 4, 2)], "page_image string, field_name string, x int, y int, w int, h int, pos int")
-    doc = json.loads(datasets.coco_document(recs).first().value)
+    doc = json.loads("".join(r.value for r in datasets.coco_document(recs).orderBy("part", "at").collect()))
     assert len(doc["images"]) == len(doc["annotations"]) == 1 and len(doc["categories"]) == 8
     lines = datasets.yolo_lines(recs.withColumns({"page_width": F.lit(100), "page_height": F.lit(100)}))
     assert {r.page_image: r.value for r in datasets.yolo_pages(lines).collect()} == {"p.png": "1 0.025000 0.040000 0.030000 0.040000", "q.png": "8 0.025000 0.040000 0.030000 0.040000"}
-    html = sinks.gallery(recs, ["field_name"], "pos").first().value
-    assert html.count("<tr>") == 4
+    sinks.write_document(sinks.gallery(recs, ["field_name"], "pos"), f"{tmp_path}/page")
+    html = "".join(p.read_text() for p in sorted((tmp_path / "page").glob("part-*")))
+    assert html.count("<tr>") == 4 and html.startswith("<!doctype") and html.rstrip().endswith("</table>")
     files = spark.createDataFrame([("1",)], "image_id string")
     lines_ = spark.createDataFrame([("1", "a_clock_in_am", "9;30"), ("1", "b_total_hours", "NA"), ("2", "c", "t")], "image_id string, key string, value string")
     boxes = lines_.select("image_id", "key", F.lit("[1,2,3,4]").alias("box")).where("key <> 'b_total_hours'")
@@ -212,3 +214,194 @@ def test_sql_functions(spark):
     assert (row.t, row.d, row.a, row.m, row.c, row.n) == ("19:45", "01/02/2025", "12.50", 1530, "in_am", None) and row.i == int(__import__("hashlib").md5(b"x").hexdigest()[:12], 16)
     plan = spark.sql("select form_time(cast(id as string)) from range(5)")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def brute_columns(xs, centers):
+    """Cheapest one-to-one choice of columns, by trying all."""
+    import itertools
+
+    short, swap = (xs, False) if len(xs) <= len(centers) else (centers, True)
+    long = centers if not swap else xs
+    return min(sum(abs(a - b) for a, b in zip(short, own)) for own in itertools.permutations(long, len(short)))
+
+
+def test_columns_of_crowded_rows(spark):
+    """Conflicts, and more detections than columns: the cost is the least there is, and each column is taken once."""
+    rng = np.random.RandomState(4)
+    form = layout.Layout(columns=tuple((f"c{i}", "text", 100) for i in range(4)))
+    centers = [80 + 100 * i + 50 for i in range(4)]
+    rows = [(str(p), i, "f", float(x), 555.0, 0.0, 30.0, 0.9) for p in range(25) for i, x in enumerate(rng.randint(60, 500, rng.randint(1, 7)))]
+    df = spark.createDataFrame(rows, models.DETECTION)
+    for method in ("optimal", "greedy"):
+        got = layout.grid(df, layout=form, mode="centered", method=method).where("det is not null").select("page_id", "col_idx", "det.x").collect()
+        for p in {r[0] for r in rows}:
+            xs, own = [r[3] for r in rows if r[0] == p], sorted((r.col_idx, r.x) for r in got if r.page_id == p)
+            assert len(own) == min(len(xs), 4) == len({c for c, _ in own})
+            if method == "optimal":
+                assert sum(abs(x - centers[c]) for c, x in own) == brute_columns(xs, centers)
+            else:
+                left, want = list(xs), []
+                for c in range(4):
+                    if left:
+                        x = min(left, key=lambda x: abs(x - centers[c]))
+                        left.remove(x)
+                        want.append((c, abs(x - centers[c])))
+                assert [(c, abs(x - centers[c])) for c, x in own] == want
+
+
+def test_lines_are_numbered_across_splits(spark, tmp_path):
+    """Files of several splits, with blank and bad lines; what is numbered does not depend on how they are split."""
+    (tmp_path / "in").mkdir()
+    for name, n in (("a", 3000), ("b", 10), ("c", 1)):
+        (tmp_path / "in" / f"{name}.jsonl").write_text("".join("\n" if i % 7 == 0 else "{bad\n" if i % 11 == 0 else f'{{"text":"{i}"}}\n' for i in range(1, n + 1)))
+    own = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        rows = records.jsonl(spark, str(tmp_path / "in")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", own)
+    good = {(r.file[-7:], r.line) for r in rows if r.fault is None}
+    assert all(json.loads(r.record)["text"] == str(r.line) for r in rows if r.fault is None)
+    assert all(r.fault == f"jsonl_line_error:{r.line}" for r in rows if r.fault) and len(good) + sum(r.fault is not None for r in rows) == 3011 - 3000 // 7 - 1
+    (tmp_path / "bad.jsonl").write_text("{no")
+    with pytest.raises(Exception):
+        records.strict_jsonl(spark, str(tmp_path / "bad.jsonl"), "a int").collect()
+
+
+def test_the_log_keeps_its_order(spark, tmp_path):
+    schema, path = records.LOG, f"{tmp_path}/log"
+    row = lambda i, label, ts: (f"c{i}", "time", "p", label, "me", ts)
+    sinks.append_labels(spark.createDataFrame([row(0, "OLD", 9)], schema), path)
+    sinks.append_labels(spark.createDataFrame([row(0, "NEW", 1)] + [row(i, ' q, "x"\nsecond ', 2) for i in range(1, 3000)], schema).repartition(4), path, web=False)
+    (tmp_path / "log" / "_claims" / "00000002").touch()  # another writer's
+    sinks.append_labels(spark.createDataFrame([row(7, "LAST", 0)], schema), path)
+    last = {r.crop_path: r for r in labels.latest(records.label_log(spark, path), "crop_path", "pos").collect()}
+    assert len(last) == 3000 and last["c0"].label == "NEW" and last["c0"].pred_raw != "p" and last["c7"].label == "LAST" and last["c9"].label == ' q, "x"\nsecond '
+    assert sorted(p.name for p in (tmp_path / "log").iterdir() if p.name.startswith("batch")) == ["batch-00000000", "batch-00000001", "batch-00000003"]
+    (tmp_path / "one.csv").write_text("crop_path,field_type,pred_raw,label,reviewer,ts\n" + "".join(f"k,time,,{i},me,{-i}\n" for i in range(500)))
+    assert labels.latest(records.label_log(spark, f"{tmp_path}/one.csv"), "crop_path", "pos").first().label == "499"
+
+
+def test_settings(tmp_path):
+    (tmp_path / "c.yaml").write_text("conf: 0.25\nimgsz: 640\nout: null\nname: x # note\nsave: false\n")
+    (tmp_path / "h.yaml").write_text("time:\n  model_id: a/b\n  ckpt_path: c\namount:\n  model_id: a/b\n  ckpt_path: null\n")
+    (tmp_path / "e.yaml").write_text("")
+    assert records.config(str(tmp_path / "c.yaml"), {"conf": 0.5, "out": "o", "other": 1}) == {"conf": 0.25, "imgsz": 640, "out": "o", "name": "x", "save": False, "other": 1}
+    assert records.heads(str(tmp_path / "h.yaml")) == {"time": {"model_id": "a/b", "ckpt_path": "c"}, "amount": {"model_id": "a/b", "ckpt_path": None}}
+    assert records.config(str(tmp_path / "e.yaml"), {"a": 1}) == {"a": 1} == records.config(None, {"a": 1})
+    with pytest.raises(ValueError):
+        records.config(str(tmp_path / "h.yaml"), {"time": "x"})
+    with pytest.raises(FileNotFoundError):
+        records.config(str(tmp_path / "none.yaml"), {})
+
+
+def test_copies(spark, tmp_path):
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "a.png").write_bytes(b"a")
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "there.png").write_bytes(b"old")
+    rows = [("src/a.png", f"{tmp_path}/out/a.png"), (f"{tmp_path}/src/a.png", f"file://{tmp_path}/out/deep/b.png"), (f"{tmp_path}/src/a.png", f"{tmp_path}/out/there.png"), ("no.png", f"{tmp_path}/out/no.png"), (None, f"{tmp_path}/out/null.png")]
+    out = sinks.copied(spark.createDataFrame(rows, "s string, t string"), "s", "t", base=str(tmp_path)).collect()
+    assert [r.done for r in out] == ["copied", "copied", "there", "missing", "missing"]
+    assert (tmp_path / "out" / "deep" / "b.png").read_bytes() == b"a" and (tmp_path / "out" / "there.png").read_bytes() == b"old"
+
+
+def test_sums_before(spark):
+    rows = [((i * 7919) % 1000 // 3, i, i % 5) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k long, t long, v long").repartition(5)
+    got = {r.t: r.b for r in datasets.sums_before(df, "k", ["t"], "v", "b", share=50).collect()}
+    want, total = {}, 0
+    for _, t, v in sorted(rows):
+        want[t], total = total, total + v
+    assert got == want == {r.t: r.b for r in datasets.sums_before(df, "k", ["t"], "v", "b").collect()}
+    assert datasets.sums_before(df.limit(0), "k", ["t"], "v", "b").count() == 0
+
+
+def flooded(mask):
+    """Sizes of connected areas, pixel by pixel."""
+    left, sizes = {tuple(p) for p in np.argwhere(mask)}, []
+    while left:
+        todo, n = [left.pop()], 0
+        while todo:
+            y, x = todo.pop()
+            n += 1
+            near = {(y + i, x + j) for i in (-1, 0, 1) for j in (-1, 0, 1)} & left
+            left -= near
+            todo += near
+        sizes.append(n)
+    return sorted(sizes)
+
+
+def test_areas():
+    rng = np.random.RandomState(1)
+    for share in (0.0, 0.1, 0.35, 0.6, 1.0):
+        for size in ((1, 1), (17, 23), (40, 9)):
+            mask = rng.rand(*size) < share
+            found, n = images.labelled(mask)
+            assert sorted(np.bincount(found.ravel(), minlength=1)[1:]) == flooded(mask) and len(flooded(mask)) == n and ((found > 0) == mask).all()
+
+
+def test_preparing_images():
+    page = np.full((80, 400), 240, np.uint8)
+    for i in range(12):
+        page[34:42, 20 + 30 * i : 44 + 30 * i] = 30
+    line = np.full((120, 400), 240, np.uint8)
+    line[55:65, 40:360] = 30
+    for lean in (-4.0, -2.0, 2.0, 4.0):
+        turned = images.rotated(line, lean)
+        angle = images.skew(images.ink(turned))
+        assert abs(abs(angle) - abs(lean)) < 0.4
+        straight = images.rotated(turned, angle)
+        assert abs(images.skew(images.ink(straight))) < 0.6
+    assert images.rotated(page, 0.3) is page and images.skew(np.zeros((50, 50), bool)) == 0.0
+    out = images.prepared(page)
+    assert set(np.unique(out)) == {0, 255} and (out[36:40, 22:40] == 0).all() and (out[:20] == 255).all()
+    noisy = np.clip(page + np.random.RandomState(0).normal(0, 8, page.shape), 0, 255).astype(np.uint8)
+    calm = images.denoised(noisy)
+    assert calm[:25].std() < 0.7 * noisy[:25].std() and calm[36:40, 26:40].mean() < 60 and calm[:25].mean() > 225
+    hole = np.zeros((7, 7), bool)
+    hole[2:5, 2:5] = True
+    assert images.grown(hole, 3, 3).sum() == 25 and images.shrunk(hole, 3, 3).sum() == 1 and (images.shrunk(images.grown(hole, 2, 2), 2, 2, back=True) == hole).all()
+
+
+def test_thumbnails(spark):
+    import base64
+    import struct
+    import zlib
+
+    gray = np.arange(60 * 200, dtype=np.uint32).reshape(60, 200).astype(np.uint8)
+    df = spark.createDataFrame([(bytearray(gray.tobytes()), 200, 60)], "content binary, width int, height int")
+    uri = images.with_thumbnail(df).first().image
+    raw = base64.b64decode(uri.removeprefix("data:image/png;base64,"))
+    assert raw[:8] == b"\x89PNG\r\n\x1a\n" and struct.unpack(">II", raw[16:24]) == (380, 114)
+    at = raw.index(b"IDAT")
+    pixels = np.frombuffer(zlib.decompress(raw[at + 4 : at + 4 + struct.unpack(">I", raw[at - 4 : at])[0]]), np.uint8).reshape(114, 381)
+    assert (pixels[:, 0] == 0).all() and (pixels[0, 1:] == 200).all() and (pixels[:, -1] == 200).all()
+    assert bytes(images.cleaned(df).first().content) == images.prepared(gray).tobytes()
+
+
+def test_registration():
+    rng = np.random.RandomState(3)
+    want = np.array([[1.05, 0.02, 12.0], [-0.03, 0.97, -7.0], [1e-5, 2e-5, 1.0]])
+    points = rng.rand(60, 2) * 300
+    moved = np.c_[points, np.ones(60)] @ want.T
+    moved = moved[:, :2] / moved[:, 2:]
+    moved[:20] += rng.rand(20, 2) * 80 + 20  # wrong matches
+    found = images.homography(points, moved)
+    assert np.allclose(found, want, atol=1e-6) and images.homography(points[:7], moved[:7]) is None
+    gray = np.tile(np.arange(0, 200, 2, dtype=np.uint8), (80, 1))
+    shift = np.array([[1.0, 0, 10], [0, 1, 0], [0, 0, 1]])
+    assert (images.registered(gray, shift, 100, 80)[:, 20:90] == gray[:, 10:80]).all() and images.registered(gray, None, 50, 40).shape == (40, 50)
+
+
+def test_command_line(spark, tmp_path):
+    from formloom.__main__ import main
+
+    (tmp_path / "sheet1").mkdir()
+    (tmp_path / "sheet1" / "r.jsonl").write_text('{"row":2,"text":"9:30","conf":0.9}\n{"row":1,"text":"x","conf":0.1}\n')
+    main(["export", "--in", str(tmp_path / "sheet1"), "--out", str(tmp_path / "out")])
+    rows = spark.read.csv(f"{tmp_path}/out/detail", header=True, escape='"').orderBy("Row").collect()
+    assert [(r.TimesheetID, r.Row, r.NormalizedTime, r.IsValid) for r in rows] == [("sheet1", "1", None, "False"), ("sheet1", "2", "09:30", "True")]
+    assert rows[0].Warnings == "unparsable('x'); low_conf<0.35; invalid_time" and spark.read.csv(f"{tmp_path}/out/summary", header=True).first().PctValid == "0.5"
+    main(["label", "--log", str(tmp_path / "log"), "--crop", "c", "--label", "9:31"])
+    assert records.label_log(spark, str(tmp_path / "log")).first().label == "9:31"

@@ -6,7 +6,7 @@ import pytest
 
 from formloom.plans import queries
 
-PYTHON = {"grid_assign", "page_json"}
+PYTHON = {"grid_assign", "page_json", "grid_greedy", "stub_grid", "router_rows"}
 #: These run a stream or count before their result, which then is read back.
 READ_BACK = {"labels_latest_stream", "events_by_hour"}
 
