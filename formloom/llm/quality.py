@@ -47,7 +47,15 @@ LEVELS = (0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.8)
 #: Values of features: of a document's words together, of length one times this; of each share.
 WORDS_NORM, SHARE_VALUE = 2.0, 3.0
 #: Words that a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+
+
+def texts_of(column, few: int = 256):
+    """The texts of a column as bytes, of which only a few are held at a time."""
+    import pyarrow as pa
+
+    for at in range(0, len(column), few):
+        yield from column.slice(at, few).cast(pa.binary()).to_pylist()
 
 
 #: Bytes of letters, white space, and whatever is not ASCII.
@@ -172,12 +180,27 @@ def copies(sketches) -> set[int]:
 
 
 def lexicon_of(found: DataFrame) -> dict[bytes, int]:
-    """Words and beginnings that mark toxic documents, with what one counts for; near copies count once. found: id, toxic, forms, sketch."""
+    """Words and beginnings that mark toxic documents, with what one counts for; near copies count once. found: id, toxic, words, sketch."""
     again = copies((r.id, r.sketch) for r in found.select("id", "sketch").orderBy("id").toLocalIterator())
-    own = found.select("id", "toxic", F.explode("forms").alias("form"))
+    own = found.select("id", "toxic", "words")
     if again:
         own = own.join(F.broadcast(found.sparkSession.createDataFrame([(i,) for i in sorted(again)], "id long")), "id", "left_anti")
-    counts = own.groupBy("form").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).where((F.col("toxic") >= SUPPORT) & (F.col("toxic") >= PRECISION * F.col("n")))
+
+    def counted(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            n: dict[bytes, list[int]] = {}
+            for bad, words in zip(b.column(1).to_pylist(), b.column(2)):
+                for f in {f for w in words.as_py() for f in forms(w)}:
+                    own = n.setdefault(f, [0, 0])
+                    own[0] += bad
+                    own[1] += 1
+            cols = [pa.array(n, pa.binary()), pa.array((x for x, _ in n.values()), pa.int64()), pa.array((x for _, x in n.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, ["form", "toxic", "n"])
+
+    parts = own.mapInArrow(counted, "form binary, toxic long, n long")
+    counts = parts.groupBy("form").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")).where((F.col("toxic") >= SUPPORT) & (F.col("toxic") >= PRECISION * F.col("n")))
     enough = (F.col("toxic") >= ENOUGH_SUPPORT) & (F.col("toxic") >= ENOUGH_PRECISION * F.col("n"))
     return {bytes(r.form): 2 if r.enough else 1 for r in counts.select("form", enough.alias("enough")).collect()}
 
@@ -294,18 +317,18 @@ def classify(
         for b in batches:
             texts = b.column(1).cast(pa.binary()).to_pylist()
             own = [vocabulary(x) for x in texts]
-            formed = pa.array((sorted({f for w in v for f in forms(w)}) for v in own), pa.list_(pa.binary()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, texts), pa.int64()), b.column(2), formed, pa.array(map(sketch, own), pa.list_(pa.int64()))], ["id", "size", "toxic", "forms", "sketch"])
+            cols = [pa.array(map(len, texts), pa.int64()), b.column(2), pa.array(map(sorted, own), pa.list_(pa.binary())), pa.array(map(sketch, own), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols], ["id", "size", "toxic", "words", "sketch"])
 
     ids = labels.orderBy(F.xxhash64("id"), "id").limit(labelled).select("id", "toxic")
-    lexicon = sent(lexicon_of(_sampled(rows, ids, sample_bytes, words, "id long, size long, toxic int, forms array<binary>, sketch array<long>", scratch, "words")))
+    lexicon = sent(lexicon_of(_sampled(rows, ids, sample_bytes, words, "id long, size long, toxic int, words array<binary>, sketch array<long>", scratch, "words")))
 
     def voted(batches):
         import pyarrow as pa
 
         marks = Marks(lexicon.value)
         for b in batches:
-            own = [sum(v * 3**i for i, v in enumerate(votes(x, marks))) for x in b.column(1).cast(pa.binary()).to_pylist()]
+            own = [sum(v * 3**i for i, v in enumerate(votes(x, marks))) for x in texts_of(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.int32())], ["id", "pattern"])
 
     labellers = len(SHARES) + 2
@@ -357,7 +380,7 @@ def classify(
         known = Weights()
         for b in batches:
             score = []
-            for x in b.column(b.num_columns - 1).cast(pa.binary()).to_pylist():
+            for x in texts_of(b.column(b.num_columns - 1)):
                 own = list(map(known.__getitem__, vocabulary(x)))
                 words = fsum(o[0] for o in own) * WORDS_NORM / max(1, sum(o[1] for o in own)) ** 0.5
                 places = share_places(x, sum(o[2] for o in own) if marks.lexicon else None)
