@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 
 class Steps:
-    """Adds numbered helper columns; `done` adds the results and drops the helpers."""
+    """Adds numbered helper columns; `done` adds the results and drops the helpers. Results are generated, one row each: filters on them are then
+    not pushed below the steps, where they would repeat every step in each of its uses."""
 
     def __init__(self, df: DataFrame, tag: str):
         self.df, self.tag, self.names = df, tag, []
@@ -25,16 +26,44 @@ class Steps:
         return F.col(name)
 
     def done(self, **results: Column) -> DataFrame:
-        return self.df.withColumns(results).drop(*self.names)
+        helpers = set(self.names)
+        names = [c for c in self.df.columns if c not in helpers]
+        row = F.inline(F.array(F.struct(*(v.alias(n) for n, v in results.items()))))
+        return self.df.select(*(c for c in names if c not in results), row).select(*names, *(n for n in results if n not in names))
+
+
+#: All white space of Unicode.
+SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+LETTERS = "apmAPM"
+
+
+def has(c: Column, *parts: str) -> Column:
+    """Whether any of the parts is in the text. Regular expressions run only where there is something for them to do."""
+    found = [F.contains(c, F.lit(p)) for p in parts]
+    for other in found[1:]:
+        found[0] = found[0] | other
+    return found[0]
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(SPACE))
 
 
 def squeezed(c: Column) -> Column:
     """White space collapsed to single spaces and stripped; null counts as empty."""
-    return strip(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " "))
+    return F.regexp_replace(strip(F.translate(F.coalesce(c, F.lit("")), SPACE, " " * len(SPACE))), " {2,}", " ")
+
+
+def before(c: Column, mark: str) -> Column:
+    return F.substring_index(c, mark, 1)
+
+
+def after(c: Column, mark: str) -> Column:
+    return F.substring_index(c, mark, -1)
+
+
+def count_of(c: Column, mark: str) -> Column:
+    return F.length(c) - F.length(F.translate(c, mark, ""))
 
 
 def two_digits(n: Column) -> Column:
@@ -44,14 +73,15 @@ def two_digits(n: Column) -> Column:
 def amount(df: DataFrame, col: str, out: str) -> DataFrame:
     """Money as [-]d.dd, half-even; null where it is none."""
     s = Steps(df, out)
-    kept = F.regexp_replace(F.translate(strip(F.col(col)), "Oo—–", "00--"), r"[^0-9().,\-$]", "")
-    text = s.put(F.regexp_replace(F.regexp_replace(F.regexp_replace(kept, ",,", ","), r"\.\.", "."), r"^\$+", ""))
-    dotted = F.when(F.contains(text, F.lit(".")), F.replace(text, F.lit(","), F.lit("")))
+    kept = F.regexp_replace(F.translate(strip(F.col(col)), "Oo—–", "00--"), r"[^0-9().,\-$]+", "")
+    text = s.put(F.ltrim(F.replace(F.replace(kept, F.lit(",,"), F.lit(",")), F.lit(".."), F.lit(".")), F.lit("$")))
+    dotted = F.when(has(text, "."), F.translate(text, ",", ""))
     text = s.put(dotted.when(text.rlike(r",\d\d\)?$"), F.translate(text, ",", ".")).otherwise(text))
-    text = s.put(F.replace(F.regexp_replace(text, r"[.,]$", ""), F.lit(","), F.lit("")))
-    bare = s.put(F.regexp_replace(text, r"^[()]+|[()]+$", ""))
-    minus = s.put(text.rlike(r"^\(|\)$") | F.startswith(bare, F.lit("-")))
-    digits = s.put(F.regexp_replace(bare, "^-+", ""))
+    marked = F.endswith(text, F.lit(".")) | F.endswith(text, F.lit(","))
+    text = s.put(F.translate(F.when(marked, F.substr(text, F.lit(1), F.length(text) - 1)).otherwise(text), ",", ""))
+    bare = s.put(F.btrim(text, F.lit("()")))
+    minus = F.startswith(text, F.lit("(")) | F.endswith(text, F.lit(")")) | F.startswith(bare, F.lit("-"))
+    digits = s.put(F.ltrim(bare, F.lit("-")))
     value = s.put(F.when(digits.rlike(r"^(\d+\.?\d*|\.\d+)$"), digits.try_cast("decimal(38,10)")))
     sign = F.when(minus & (value != 0), "-").otherwise("")
     return s.done(**{out: F.when(F.length(col) > 0, F.concat(sign, F.bround(value, 2).cast("decimal(30,2)").cast("string")))})
@@ -60,11 +90,11 @@ def amount(df: DataFrame, col: str, out: str) -> DataFrame:
 def canon_amount(df: DataFrame, col: str, out: str) -> DataFrame:
     """Amount text in the form that accuracy is measured on; empty where there are no digits."""
     s = Steps(df, out)
-    text = s.put(F.regexp_replace(F.translate(strip(F.col(col)), ",", "."), r"[^0-9.]", ""))
-    whole = s.put(F.substring_index(text, ".", 1))
-    part = s.put(F.replace(F.substr(text, F.length(whole) + 1), F.lit("."), F.lit("")))
-    number = F.regexp_replace(F.when(whole == "", "0").otherwise(whole), r"^0+(?=\d)", "")
-    return s.done(**{out: F.when(text.isin("", "."), "").otherwise(F.concat(number, F.lit("."), F.rpad(part, 2, "0")))})
+    text = s.put(F.regexp_replace(F.translate(strip(F.col(col)), ",", "."), r"[^0-9.]+", ""))
+    whole = s.put(before(text, "."))
+    part = F.translate(F.substr(text, F.length(whole) + 1), ".", "")
+    number = s.put(F.ltrim(whole, F.lit("0")))
+    return s.done(**{out: F.when(text.isin("", "."), "").otherwise(F.concat(F.when(number == "", "0").otherwise(number), F.lit("."), F.rpad(part, 2, "0")))})
 
 
 def _day_hour(hour: Column, half: Column) -> Column:
@@ -72,63 +102,73 @@ def _day_hour(hour: Column, half: Column) -> Column:
     return F.when((half == "am") & (hour == 12), 0).when((half == "pm") & (hour < 12), hour + 12).otherwise(hour)
 
 
+def _clock(hour: Column, minute: Column) -> Column:
+    return F.concat(F.lpad(hour.cast("string"), 2, "0"), F.lit(":"), minute)
+
+
 def time_strict(df: DataFrame, col: str, out: str) -> DataFrame:
     """HH:MM of a time that is written without noise, else null."""
     s = Steps(df, out)
-    text = F.regexp_replace(F.lower(F.col(col)), r"([ap])\.m\.?", "$1m")
-    text = s.put(F.regexp_replace(F.translate(text, ";,.-", "::::"), r"(?U)\s+", ""))
-    shape = r"^([0-2]?\d):([0-5]\d)(am|pm)?$"
-    hour = s.put(F.regexp_extract(text, shape, 1).try_cast("int"))
-    hour = s.put(_day_hour(hour, F.regexp_extract(text, shape, 3)))
-    return s.done(**{out: F.when(hour <= 23, F.concat(two_digits(hour), F.lit(":"), F.regexp_extract(text, shape, 2)))})
+    low = s.put(F.lower(F.col(col)))
+    text = F.when(has(low, ".m"), F.regexp_replace(low, r"([ap])\.m\.?", "$1m")).otherwise(low)
+    text = s.put(F.translate(text, ";,.-" + SPACE, "::::"))
+    good = text.rlike(r"^[0-2]?\d:[0-5]\d(?:am|pm)?$")
+    hour = s.put(F.when(good, _day_hour(before(text, ":").cast("int"), F.ltrim(after(text, ":"), F.lit("0123456789")))))
+    return s.done(**{out: F.when(hour <= 23, _clock(hour, F.left(after(text, ":"), F.lit(2))))})
 
 
 def date(df: DataFrame, col: str, out: str) -> DataFrame:
     """MM/DD/YYYY of a date with the month first, from 2000 to 2100; days are checked up to 31 only. Null stays null."""
     s = Steps(df, out)
     text = s.put(F.translate(strip(F.col(col)), "-.", "//"))
-    shape = r"^\s*(\d{1,2})/(\d{1,2})/(\d{2,4})\s*$"
-    month, day, year = (s.put(F.regexp_extract(text, shape, i).try_cast("int")) for i in (1, 2, 3))
+    text = s.put(F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{2,4}$"), text))
+    month, day, year = (s.put(c.cast("int")) for c in (before(text, "/"), after(F.substring_index(text, "/", 2), "/"), after(text, "/")))
     year = s.put(F.when(year < 100, year + 2000).otherwise(year))
     good = month.between(1, 12) & day.between(1, 31) & year.between(2000, 2100)
-    return s.done(**{out: F.when(good, F.concat(two_digits(month), F.lit("/"), two_digits(day), F.lit("/"), year.cast("string")))})
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    return s.done(**{out: F.when(good, F.concat(two(month), F.lit("/"), two(day), F.lit("/"), year.cast("string")))})
 
 
 def time_lenient(df: DataFrame, col: str, out: str) -> DataFrame:
     """HH:MM of a time among recognition noise, else null."""
     s = Steps(df, out)
     given = s.put(strip(F.col(col)))
-    half = s.put(F.lower(F.replace(F.regexp_extract(given, r"([aApP] *[mM])", 1), F.lit(" "), F.lit(""))))
-    text = s.put(F.regexp_replace(F.translate(given, ".-/hH", ":::::"), r"[^0-9:apmAPM]", ""))
-    left = s.put(F.substring_index(text, ":", 1))
-    digits = s.put(F.regexp_replace(text, r"\D", ""))
-    colons = F.length(text) - F.length(F.replace(text, F.lit(":"), F.lit("")))
-    first = F.regexp_replace(left, r"\D", "")
+    half = F.when(has(given, "m", "M"), F.translate(F.lower(F.regexp_extract(given, r"[aApP] *[mM]", 0)), " ", "")).otherwise("")
+    half = s.put(half)
+    text = s.put(F.regexp_replace(F.translate(given, ".-/hH", ":::::"), r"[^0-9:apmAPM]+", ""))
+    digits = s.put(F.translate(text, ":" + LETTERS, ""))
+    colons = s.put(count_of(text, ":"))
+    first = F.translate(before(text, ":"), LETTERS, "")
     many = F.concat(first, F.lit(":"), F.substr(digits, F.length(first) + 1))
-    none = F.when(F.length(digits) >= 3, F.regexp_replace(digits, r"^(\d+)(\d\d)$", "$1:$2"))
+    none = F.when(F.length(digits) >= 3, F.concat(F.substr(digits, F.lit(1), F.length(digits) - 2), F.lit(":"), F.right(digits, F.lit(2))))
     text = s.put(F.when(colons > 1, many).when(colons == 0, none).otherwise(text))
-    shape = r"^\D*(\d{1,3}):(\d{2})\D*$"
-    hour = s.put(F.regexp_replace(F.regexp_extract(text, shape, 1), r"^1(?=\d\d$)", "").try_cast("int"))
-    minute = s.put(F.regexp_extract(text, shape, 2))
+    text = s.put(F.when(text.rlike(r"^\D*\d{1,3}:\d{2}\D*$"), F.translate(text, LETTERS, "")))
+    hour = before(text, ":")
+    hour = s.put(F.when((F.length(hour) == 3) & F.startswith(hour, F.lit("1")), F.right(hour, F.lit(2))).otherwise(hour).cast("int"))
     hour = s.put(_day_hour(hour, half))
-    repaired = F.when(hour.between(0, 23) & (minute.try_cast("int") <= 59), F.concat(two_digits(hour), F.lit(":"), minute))
-    plain = r"^\s*(\d{1,2})[:hH]?(\d{2})\s*([aApP][mM])?\s*$"
-    again = s.put(_day_hour(F.regexp_extract(F.col(col), plain, 1).try_cast("int"), F.lower(F.regexp_extract(F.col(col), plain, 3))))
-    last = F.regexp_extract(F.col(col), plain, 2)
-    fallback = F.when(again.between(0, 23) & (last.try_cast("int") <= 59), F.concat(two_digits(again), F.lit(":"), last))
-    return s.done(**{out: F.coalesce(repaired, fallback)})
+    repaired = s.put(F.when(hour.between(0, 23) & (after(text, ":").cast("int") <= 59), _clock(hour, after(text, ":"))))
+    # What is left goes by the plain form: hour, mark, minute, half.
+    plain = F.when(repaired.isNull(), F.regexp_extract(F.col(col), r"^\s*(\d{1,2}[:hH]?\d{2}\s*(?:[aApP][mM])?)\s*$", 1))
+    plain = s.put(F.translate(F.lower(F.nullif(plain, F.lit(""))), ":h \t\n\x0b\x0c\r", ""))
+    number = s.put(F.rtrim(plain, F.lit("apm")))
+    again = s.put(_day_hour(F.substr(number, F.lit(1), F.length(number) - 2).cast("int"), F.ltrim(plain, F.lit("0123456789"))))
+    last = F.right(number, F.lit(2))
+    return s.done(**{out: F.coalesce(repaired, F.when(again.between(0, 23) & (last.cast("int") <= 59), _clock(again, last)))})
 
 
 def time_cleaned(df: DataFrame, col: str, out: str) -> DataFrame:
     """Time text without recognition noise, colons between hours and minutes where they can be told."""
     s = Steps(df, out)
-    text = F.translate(strip(F.col(col)), "OoS", "005")
-    text = F.translate(F.regexp_replace(text, r"(?<=\d)[./\\](?=\d)", ":"), ",", ":")
-    text = F.regexp_replace(F.regexp_replace(text, r"[^0-9apmAPM: ]+", ""), r"\s+", "")
-    text = s.put(F.regexp_replace(F.regexp_replace(text, ":{2,}", ":"), "^:|:$", ""))
-    text = s.put(F.regexp_replace(text, "^([^:]*):.*:([^:]*)$", "$1:$2"))
-    text = s.put(F.regexp_replace(text, r"^(\d{1,2}):\d*(\d\d)$", "$1:$2"))
-    return s.done(**{out: F.regexp_replace(F.regexp_replace(text, r"^(\d)(\d\d)$", "$1:$2"), r"^(\d\d)\d?(\d\d)$", "$1:$2")})
+    text = s.put(F.translate(strip(F.col(col)), "OoS", "005"))
+    text = F.when(has(text, ".", "/", "\\"), F.regexp_replace(text, r"(?<=\d)[./\\](?=\d)", ":")).otherwise(text)
+    text = s.put(F.regexp_replace(F.translate(text, ",", ":"), r"[^0-9apmAPM:]+", ""))
+    text = s.put(F.btrim(F.when(has(text, "::"), F.regexp_replace(text, ":{2,}", ":")).otherwise(text), F.lit(":")))
+    colons = s.put(count_of(text, ":"))
+    text = s.put(F.when(colons > 1, F.concat(before(text, ":"), F.lit(":"), after(text, ":"))).otherwise(text))
+    long = (colons > 0) & text.rlike(r"^\d{1,2}:\d{3,}$")
+    tail = F.concat(F.lit(":"), F.right(text, F.lit(2)))
+    bare = (colons == 0) & F.length(text).between(3, 5) & text.rlike(r"^\d+$")
+    return s.done(**{out: F.when(long, F.concat(before(text, ":"), tail)).when(bare, F.concat(F.left(text, F.when(F.length(text) == 3, 1).otherwise(2)), tail)).otherwise(text)})
 
 
 def time_parsed(df: DataFrame, col: str, out: str, warnings: str) -> DataFrame:
@@ -136,15 +176,15 @@ def time_parsed(df: DataFrame, col: str, out: str, warnings: str) -> DataFrame:
     df = time_cleaned(df, col, f"__{out}_text")
     s = Steps(df, out)
     text, raw = F.col(f"__{out}_text"), F.col(col)
-    shape = r"^(\d{1,2})(?:[:.\- ](\d{1,2}))?(am|pm|a|p|AM|PM|A|P)?$"
-    hour, minute = (s.put(F.regexp_extract(text, shape, i).try_cast("int")) for i in (1, 2))
-    half = s.put(F.lower(F.substring(F.regexp_extract(text, shape, 3), 1, 1)))
-    minute = s.put(F.coalesce(minute, F.lit(0)))
-    day = F.when(half == "a", F.when(hour == 12, 0).otherwise(hour)).when(half == "p", F.when(hour == 12, 12).otherwise(hour + 12)).otherwise(hour % 24)
-    day = s.put(day)
+    text = s.put(F.when(text.rlike(r"^\d{1,2}(?::\d{1,2})?(?:am|pm|a|p|AM|PM|A|P)?$"), text))
+    body = s.put(F.rtrim(text, F.lit(LETTERS)))
+    hour = s.put(before(body, ":").cast("int"))
+    half = s.put(F.lower(F.substr(text, F.length(body) + 1, F.lit(1))))
+    minute = s.put(F.when(has(body, ":"), after(body, ":").cast("int")).otherwise(0))
+    day = s.put(F.when(half == "", hour % 24).otherwise(F.when(hour == 12, 0).otherwise(hour) + F.when(half == "p", 12).otherwise(0)))
     notes = F.array_compact(F.array(F.when(minute > 59, "minutes>59"), F.when((half == "") & (hour > 23), "hour>23")))
     notes = F.when(raw.isNull(), F.array(F.lit("empty"))).when(hour.isNull(), F.array(F.concat(F.lit("unparsable('"), raw, F.lit("')")))).otherwise(notes)
-    time = F.concat(two_digits(day), F.lit(":"), two_digits(F.least(minute, F.lit(59))))
+    time = _clock(day, F.lpad(F.least(minute, F.lit(59)).cast("string"), 2, "0"))
     return s.done(**{out: time, warnings: notes}).drop(f"__{out}_text")
 
 
