@@ -37,22 +37,21 @@ def _key(h: str, place: str) -> str:
     return f"({h} & {MOST - PLACE}L) | ({place})"
 
 
-def _alike(other: str) -> str:
-    """SQL: whether a key before x, in order, is of the same k-mer; null if there is none. Keys of one k-mer differ by positions only."""
-    return f"x - {other} <= span"
+def _alike(key: str, last: str) -> str:
+    """SQL: whether the key before in order is of the same k-mer; null if there is none. Keys of one k-mer differ by positions only."""
+    return f"{key} - {last} <= span"
 
 
 def _chosen(limit: str) -> str:
     """SQL: keys of all (k-mer, occurrence) up to the limit, of the sorted keys s of first hashes; with the sketch in front, then the order value."""
     steps = "filter(transform(sequence(29, 0), b -> cast(shiftleft(1, b) as int)), b -> b <= size(s))"
     below = f"aggregate(steps, 0, (at, step) -> if(get(s, at + step - 1) <= {limit}, at + step, at))"
-    first = _let("t", f"slice(s, 1, {below})", f"filter(t, (x, j) -> j = 0 or not ({_alike('t[j - 1]')}))")
-    # How many equal k-mers are before a repeated one in their list: none, one, or steps of halving length as far back as they still meet an equal one.
-    same = lambda at: _alike(f"get(r, {at})")
-    before = f"j - aggregate(steps, j, (at, step) -> if({same('at - step')}, at - step, at))"
-    number = f"2 + if({same('j - 1')}, if({same('j - 2')}, {before}, 1), 0)"
-    again = f"transform(r, (x, j) -> {_key(f'xxhash64(shiftright(x, 29), {number})', f'x & {PLACE}L')})"
-    again = _let("r", f"filter(s, (x, j) -> {_alike('get(s, j - 1)')})", f"filter({again}, x -> x <= {limit})")
+    first = _let("t", f"slice(s, 1, {below})", f"filter(t, (x, j) -> j = 0 or not ({_alike('x', 't[j - 1]')}))")
+    # Repeated k-mers by runs of equal ones, numbered from 2 on.
+    again = _key("xxhash64(shiftright(x, 29), k + 2)", f"x & {PLACE}L")
+    run = f"transform(slice(r, at + 1, coalesce(get(b, i + 1), size(r)) - at), (x, k) -> {again})"
+    runs = _let("b", f"filter(sequence(0, size(r) - 1), j -> j = 0 or not ({_alike('r[j]', 'r[j - 1]')}))", f"flatten(transform(b, (at, i) -> {run}))")
+    again = _let("r", f"filter(s, (x, j) -> {_alike('x', 'get(s, j - 1)')})", f"if(size(r) = 0, r, filter({runs}, x -> x <= {limit}))")
     turned = f"shiftleft(shiftright(x, 29) & 63L, 57) | shiftleft(shiftright(x, 35), 29) | (x & {PLACE}L)"
     return _let("steps", steps, f"transform(concat({first}, {again}), x -> {turned})")
 
@@ -89,7 +88,7 @@ def signature(df: DataFrame, text_col: str, out: str) -> DataFrame:
 
 
 def text_form(signature_col: str) -> Column:
-    return F.array_join(F.transform(F.col(signature_col), lambda v: F.lpad(F.lower(F.hex(v)), 8, "0")), "")
+    return F.lower(F.array_join(F.transform(F.col(signature_col), lambda v: F.lpad(F.hex(v), 8, "0")), ""))
 
 
 def likeness(a: str, b: str) -> Column:
