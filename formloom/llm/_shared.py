@@ -10,19 +10,26 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share. One is made up only where none is set (tests on one machine)."""
+    """The folder that all executors share. One is made up only where none is set and all runs on one machine (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="formloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
 class Scratch:
-    """Tables written once and read again: they cut lineage and survive lost executors."""
+    """Tables written once and read again: they cut lineage and survive lost executors. They are deleted when the driver ends, for results
+    that were not yet worked out read them."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        root = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(root)
+        fs.deleteOnExit(root)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"

@@ -1,20 +1,22 @@
 """Nearest neighbours by inner product: inverted lists, scanned a block of dimensions at a time.
 
-Vectors get one more component, sqrt(M^2 - |x|^2) with M the largest length (0 for queries): the squared distance to a
+Vectors, divided by the largest length, get one more component, sqrt(1 - |x|^2) (0 for queries): the squared distance to a
 query is then a constant less twice the inner product. All are turned by one random rotation, after which any leading
 columns of a difference estimate its whole length. Vectors lie in lists by their nearest centroid; a query visits the lists of
 its nearest centroids. Within a list, candidates are scanned in column blocks. After each block a test abandons the
 candidates whose distance so far, scaled up, exceeds (1 + EPSILON / sqrt(columns seen)) times the distance of the query's
 20th best so far. What is left is scored exactly, in double precision on the vectors as given.
 
-The index (rotation, centroids, number of lists visited) is fitted on SAMPLE rows of smallest hash; all rows are indexed. As
-many lists are visited as find RECALL of the sample queries' neighbours within the sample.
+The index (rotation, centroids, number of lists visited) is fitted on `sample` rows of smallest hash, and has a list for sixteen of them at
+most; all rows are indexed. As many lists are visited as find `recall` of the sample queries' neighbours within the sample, and further
+ones where these hold fewer than k candidates. With exact=True all lists are visited and nothing is abandoned.
 
-Work is dealt in shelves: whole lists of ROWS rows together, or parts of longer lists; a task scans one shelf for up to QUERIES
-queries that visit it, so its memory is bounded for lists of any length.
+Work is dealt in shelves: whole lists of ROWS rows together, or parts of longer lists, and in blocks of about QUERIES queries. Blocks follow a
+tour of the lists, so that a block's queries lie near each other and visit few shelves; a task scans one shelf for one block, and only pairs of a
+shelf and a block that visits it are made. Its memory is bounded for lists of any length.
 
-Rows take no part if their id or vector is null, or the vector is zero, has a null or non-finite component, or not the length that
-most vectors have. Rows with the query's id are its own and no candidates of it. Repeated candidates are candidates each;
+Vectors of doubles are scored as doubles. Rows take no part if their id or vector is null, or the vector is zero, has a null or non-finite
+component, or not the length that most vectors have. Rows with the query's id are its own and no candidates of it. Repeated candidates are candidates each;
 repeated queries are one.
 """
 
@@ -28,20 +30,20 @@ from ._shared import Scratch
 SAMPLE, SAMPLE_QUERIES, RECALL = 1 << 14, 256, 0.975
 ROWS, QUERIES = 4096, 4096
 BLOCK, EPSILON, STRIP = 16, 2.1, 512
-LISTS = (8, 1024)
+FEWEST, ROWS_A_LIST = 8, 16
 
 
 class Index:
     """Rotation, centroids and the number of lists to visit."""
 
-    def __init__(self, sample, largest: float, rows: int, k: int, seed: int = 17):
+    def __init__(self, sample, largest: float, rows: int, k: int, recall: float = RECALL, seed: int = 17):
         import numpy as np
 
         rng = np.random.RandomState(seed)
         self.largest, dims = largest, sample.shape[1] + 1
         self.rotation = np.linalg.qr(rng.standard_normal((dims, dims)))[0].astype(np.float32)
         x = self.place(sample)
-        lists = min(max(1, len(x)), max(LISTS[0], min(LISTS[1], 1 << max(0, round(np.log2(max(1.0, rows**0.5 / 2)))))))
+        lists = min(max(1, len(x)), max(FEWEST, min(len(x) // ROWS_A_LIST, 1 << max(0, round(np.log2(max(1.0, rows**0.5 / 2)))))))
         self.centroids = x[rng.choice(len(x), lists, replace=False)]
         for _ in range(8):
             own = self.nearest(x, 1)[:, 0]
@@ -59,13 +61,13 @@ class Index:
             order = self.nearest(self.place(sample[q], query=True), lists)
             rank = np.take_along_axis(np.argsort(order, axis=1), own[best], axis=1)
             found = np.bincount(rank.ravel(), minlength=lists).cumsum() / rank.size
-            self.probes = int(np.argmax(found >= RECALL)) + 1
+            self.probes = int(np.argmax(found >= recall)) + 1 if recall < 1 else lists
 
     def place(self, x, query: bool = False):
         import numpy as np
 
-        x = np.asarray(x, np.float64)
-        last = np.zeros(len(x)) if query else np.sqrt(np.maximum(0.0, self.largest**2 - (x * x).sum(1)))
+        x = np.asarray(x, np.float64) / self.largest
+        last = np.zeros(len(x)) if query else np.sqrt(np.maximum(0.0, 1 - (x * x).sum(1)))
         return np.c_[x, last].astype(np.float32) @ self.rotation
 
     def nearest(self, placed, n: int):
@@ -75,17 +77,29 @@ class Index:
         far = (self.centroids**2).sum(1) / 2 - placed @ self.centroids.T
         return far.argmin(1)[:, None] if n == 1 else np.argsort(far, axis=1, kind="stable")[:, :n]
 
+    def tour(self):
+        """The lists in an order in which each is followed by the nearest one that is left."""
+        import numpy as np
+
+        left, at, out = np.ones(len(self.centroids), bool), 0, []
+        for _ in range(len(self.centroids)):
+            out.append(at)
+            left[at] = False
+            far = ((self.centroids - self.centroids[at]) ** 2).sum(1)
+            at = int(np.where(left, far, np.inf).argmin())
+        return out
+
 
 class Scan:
     """The best candidates so far of a group of queries."""
 
-    def __init__(self, index: Index, q, q_ids, x, x_ids, k: int):
+    def __init__(self, index: Index, q, q_ids, x, x_ids, k: int, epsilon: float = EPSILON):
         import numpy as np
 
         self.q64, self.x64, self.q_ids, self.x_ids, self.k = q.astype(np.float64), x.astype(np.float64), q_ids, x_ids, k
         self.qp, self.xp = index.place(q, query=True), index.place(x)
-        self.dims = self.qp.shape[1]
-        self.base = (self.q64 * self.q64).sum(1) + index.largest**2
+        self.dims, self.scale, self.epsilon = self.qp.shape[1], 1 / index.largest, epsilon
+        self.base = ((self.q64 * self.scale) ** 2).sum(1) + 1
         self.top_s, self.top_i = np.full((len(q), k), -np.inf), np.full((len(q), k), -1, np.int64)
         edges = [*range(0, self.dims, BLOCK), self.dims]
         self.blocks = list(zip(edges, edges[1:]))
@@ -102,12 +116,12 @@ class Scan:
     def _strip(self, ask, have) -> None:
         import numpy as np
 
-        limit = np.maximum(self.base[ask] - 2 * self.top_s[ask, -1], 0)  # squared distance of the k-th best; infinite before there are k
+        limit = np.maximum(self.base[ask] - 2 * (self.top_s[ask, -1] * self.scale) * self.scale, 0)  # squared distance of the k-th best; infinite before there are k
         part = np.zeros((len(ask), len(have)), np.float32)
         pairs, keep = None, self.q_ids[ask][:, None] != self.x_ids[have][None]
         for b, (lo, hi) in enumerate(self.blocks):
-            slack = 1 + (EPSILON / hi**0.5 if hi < self.dims else 1e-3)
-            test = (limit * slack**2 * (hi / self.dims)).astype(np.float32)
+            slack = 1 + (self.epsilon / hi**0.5 if hi < self.dims or not np.isfinite(self.epsilon) else 1e-3)
+            test = (limit * slack**2 * (hi / self.dims)).astype(np.float32) if np.isfinite(slack) else np.full(len(ask), np.inf, np.float32)
             if pairs is None:  # while many candidates are left, whole blocks
                 part += self.q2[b][ask][:, None] + self.x2[b][have][None]
                 part -= 2 * (self.qp[ask, lo:hi] @ self.xp[have, lo:hi].T)
@@ -152,31 +166,37 @@ def _vectors(column):
     import numpy as np
 
     column = column.combine_chunks() if hasattr(column, "combine_chunks") else column
-    return np.asarray(column.flatten(), np.float32).reshape(len(column), -1)
+    return np.asarray(column.flatten()).reshape(len(column), -1)
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, v) of the rows that take part."""
-    v = F.col(vector_col).cast("array<float>")
+    own = dict(df.select(vector_col).dtypes)[vector_col]
+    v = F.col(vector_col).cast("array<float>" if own == "array<float>" else "array<double>")
     sane = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = df.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull() & sane)
     most = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     return rows.where(F.size("v") == (most.n if most else 0))
 
 
-def search(df: DataFrame, id_col: str, vector_col: str, is_query, k: int = 20) -> DataFrame:
+def search(
+    df: DataFrame, id_col: str, vector_col: str, is_query, k: int = 20, sample: int = SAMPLE, recall: float = RECALL, epsilon: float = EPSILON, exact: bool = False,
+) -> DataFrame:
     """(query_id, rank, id, score): the k nearest of each row for which the column `is_query` (of id) holds."""
     import numpy as np
 
     spark, out = df.sparkSession, f"query_id long, rank int, {id_col} long, score double"
     scratch = Scratch(spark, "ann")
     rows = usable(df, id_col, vector_col)
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    kind = dict(rows.dtypes)["v"]
+    recall, epsilon = (1.0, float("inf")) if exact else (recall, epsilon)
+    top = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))  # so that squares stay in range
+    length = top * F.sqrt(F.aggregate(F.transform("v", lambda x: x.cast("double") / top), F.lit(0.0), lambda s, x: s + x * x))
     facts = rows.agg(F.count("*").alias("n"), F.max(length).alias("largest")).first()
     if not facts.n:
         return spark.createDataFrame([], out)
-    sample = rows.orderBy(F.xxhash64("id", "v"), "id").limit(SAMPLE).select("v").collect()
-    index = Index(np.array([r.v for r in sample], np.float32), facts.largest, facts.n, k)
+    chosen = rows.orderBy(F.xxhash64("id", "v"), "id").limit(sample).select("v").collect()
+    index = Index(np.array([r.v for r in chosen], np.float64), facts.largest, facts.n, k, recall)
     sent = spark.sparkContext.broadcast(index)
 
     def listed(batches):
@@ -187,16 +207,21 @@ def search(df: DataFrame, id_col: str, vector_col: str, is_query, k: int = 20) -
                 own = sent.value.nearest(sent.value.place(_vectors(b.column(1))), 1)[:, 0]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own.astype(np.int32))], ["id", "v", "list"])
 
+    stored = scratch.save(rows.mapInArrow(listed, f"id long, v {kind}, list int"), "stored")
+    sizes = dict(stored.groupBy("list").count().collect())  # a row a list: as many as the sample allows
+    counts = np.array([sizes.get(i, 0) for i in range(len(index.centroids))])
+    alike = stored.groupBy("id").count().agg(F.max("count")).first()[0]  # rows of one id
+
     def visiting(batches):
         import pyarrow as pa
 
         for b in batches:
             if b.num_rows:
-                near = sent.value.nearest(sent.value.place(_vectors(b.column(1)), query=True), sent.value.probes)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(near.tolist(), pa.list_(pa.int32()))], ["id", "v", "lists"])
+                near = sent.value.nearest(sent.value.place(_vectors(b.column(1)), query=True), len(counts))
+                enough = (np.cumsum(counts[near], axis=1) < k + alike).sum(1) + 1
+                lists = [own[: max(n, sent.value.probes)].tolist() for own, n in zip(near, enough)]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lists, pa.list_(pa.int32()))], ["id", "v", "lists"])
 
-    stored = scratch.save(rows.mapInArrow(listed, "id long, v array<float>, list int"), "stored")
-    sizes = dict(stored.groupBy("list").count().collect())  # a row a list: LISTS at most
     first, parts, shelf, room = {}, {}, -1, 0
     for own, n in sorted(sizes.items()):
         parts[own] = -(-n // ROWS)
@@ -205,16 +230,26 @@ def search(df: DataFrame, id_col: str, vector_col: str, is_query, k: int = 20) -
         first[own], room = shelf, room - n
         if parts[own] > 1:
             shelf, room = shelf + parts[own] - 1, 0
-    where = spark.createDataFrame([(own, first[own], parts[own]) for own in sizes], "list int, first int, parts int")
-    where = F.broadcast(where)
-    queries = rows.where(is_query(F.col("id"))).distinct()
-    groups = -(-queries.count() // QUERIES)
-    placed = stored.join(where, "list").withColumn("shelf", F.col("first") + F.pmod(F.xxhash64("id", "v"), F.col("parts")).cast("int"))
-    placed = placed.select("id", "v", "list", "shelf", F.explode(F.sequence(F.lit(0), F.lit(max(0, groups - 1)))).alias("block"))
-    asked = queries.mapInArrow(visiting, "id long, v array<float>, lists array<int>").withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(max(1, groups))).cast("int"))
-    asked = asked.select("id", "v", "block", F.explode("lists").alias("list")).join(where, "list")
+    where = F.broadcast(spark.createDataFrame([(own, first[own], parts[own]) for own in sizes], "list int, first int, parts int"))
+    queries = scratch.save(rows.where(is_query(F.col("id"))).distinct().mapInArrow(visiting, f"id long, v {kind}, lists array<int>"), "queries")
+    asking = dict(queries.groupBy(F.col("lists")[0]).count().collect())
+    blocks, block, room = [], -1, 0
+    for own in index.tour():  # of each list: its first block, and how many it has
+        n = asking.get(own, 0)
+        if n > room:
+            block, room = block + 1, QUERIES
+        blocks.append((own, block, max(1, -(-n // QUERIES))))
+        room -= n
+        if blocks[-1][2] > 1:
+            block, room = block + blocks[-1][2] - 1, 0
+    blocks = F.broadcast(spark.createDataFrame(blocks, "nearest int, block int, many int"))
+    placed = stored.join(where, "list").withColumn("shelf", F.col("first") + F.pmod(F.xxhash64("id", "v"), F.col("parts")).cast("int")).select("id", "v", "list", "shelf")
+    asked = queries.withColumn("nearest", F.col("lists")[0]).join(blocks, "nearest")
+    asked = asked.select("id", "v", (F.col("block") + F.pmod(F.xxhash64("id", "v"), F.col("many")).cast("int")).alias("block"), F.explode("lists").alias("list")).join(where, "list")
     asked = asked.select("id", "v", "block", "list", F.explode(F.expr("sequence(first, first + parts - 1)")).alias("shelf"))
     asked = asked.groupBy("id", "v", "block", "shelf").agg(F.collect_list("list").alias("lists"))
+    pairs = scratch.save(asked.select("shelf", "block").distinct(), "pairs")
+    placed = placed.join(pairs, "shelf")
 
     def near(left, right):
         import pyarrow as pa
@@ -224,9 +259,9 @@ def search(df: DataFrame, id_col: str, vector_col: str, is_query, k: int = 20) -
             return pa.table({n: pa.array([], t) for n, t in types})
         x_ids, own, q_ids = left["id"].to_numpy(), left["list"].to_numpy(), right["id"].to_numpy()
         lists = right["lists"].combine_chunks()
-        visits = np.zeros((right.num_rows, LISTS[1]), bool)
+        visits = np.zeros((right.num_rows, len(sent.value.centroids)), bool)
         visits[np.repeat(np.arange(right.num_rows), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()] = True
-        scan = Scan(sent.value, _vectors(right["v"]), q_ids, _vectors(left["v"]), x_ids, k)
+        scan = Scan(sent.value, _vectors(right["v"]), q_ids, _vectors(left["v"]), x_ids, k, epsilon)
         for each in np.unique(own):
             if len(ask := np.flatnonzero(visits[:, each])):
                 scan.visit(ask, np.flatnonzero(own == each))

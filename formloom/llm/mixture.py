@@ -12,7 +12,7 @@ dual; Newton steps, kept within a bracket, solve all sources at once. A step is
 Copies: sizes are visited from large to small within a source; each (source, size) group gets the whole copies that
 bring the words so far nearest to the rates' words so far, so that a source misses its target by about its smallest
 document. The copies of a group are dealt to its documents as evenly as may be, the odd ones by hash order; ranks
-within a group are counted over BUCKETS hash ranges, so a group of any size is spread.
+within a group are counted over BUCKETS hash ranges, so a group of any size is spread; rows with equal ids and texts share a range.
 
 Null or empty texts have size 0; they keep one copy and take no words. Repeated rows are rows of their own. An input
 column with the name of a result column is replaced.
@@ -86,6 +86,8 @@ def solve(sizes: DataFrame, goals: DataFrame, scratch: Scratch, most: int = MOST
         scratch.drop(f"state{step - 1}")
         if not open_:
             break
+    else:
+        raise RuntimeError(f"{STEPS} Newton steps did not bring all sources within {CLOSE} of their targets")
     return state.select(*goals.columns, "mean", "lam")
 
 

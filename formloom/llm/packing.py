@@ -158,9 +158,11 @@ def pack(df: DataFrame, length_col: str = "length", capacity: int = CAPACITY, bi
             )
 
     parts = max(1, round(df.count() / PIECES))
-    # Dealt in turn after a sort by hash: even parts for any keys, and the same ones when a task runs again.
+    # Dealt in turn: even parts for any keys. Blocks arrive as they are fetched, so each part is put into one order, by hash, and a task that runs
+    # again places its pieces alike.
+    plain = [c for c, t in df.dtypes if not t.startswith(("map", "variant"))]
     schema = df.withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long")).schema
-    return df.repartition(parts).mapInArrow(run, schema)
+    return df.repartition(parts).sortWithinPartitions(F.xxhash64(*plain), *(c for c, t in df.dtypes if not t.startswith(("map", "variant", "array", "struct")))).mapInArrow(run, schema)
 
 
 def packed(df: DataFrame, **options) -> DataFrame:

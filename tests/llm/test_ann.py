@@ -58,3 +58,29 @@ def test_odd_rows(spark, monkeypatch):
     assert ann.search(df.where("vec_id = 0"), "vec_id", "embedding", lambda i: i % 20 == 0).count() == 0
     twice = got(ann.search(df.where("vec_id < 200").unionByName(df.where("vec_id < 200")), "vec_id", "embedding", lambda i: i % 20 == 0))
     assert all(len(v) == 20 for v in twice.values())
+
+
+def test_exact_and_doubles(spark, monkeypatch):
+    """All lists and nothing abandoned gives the neighbours themselves; doubles stay doubles, beyond the range of floats too."""
+    for name, value in (("ROWS", 50), ("QUERIES", 4)):
+        monkeypatch.setattr(ann, name, value)
+    rng = np.random.RandomState(2)
+    for scale in (1.0, 1e60):
+        rows = [(i, (rng.standard_normal(12) * scale).tolist()) for i in range(700)] + [(900 + i, (np.full(12, 0.3) * scale).tolist()) for i in range(60)]
+        out = got(ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding", lambda i: i % 20 == 0, exact=True))
+        x = {i: np.array(v) for i, v in rows}
+        ids = np.array(sorted(x))
+        m = np.stack([x[i] for i in ids])
+        for q in ids[ids % 20 == 0]:
+            s = (m * x[q]).sum(1)
+            want = [int(ids[j]) for j in np.lexsort((ids, -s)) if ids[j] != q][:20]
+            assert [i for i, _ in out[int(q)]] == want and all(v == (x[q] * x[i]).sum() for i, v in out[int(q)])
+
+
+def test_small_lists_are_topped_up(spark):
+    """Tight clusters of fewer than k vectors: each query still gets k of them."""
+    rng = np.random.RandomState(3)
+    centers = rng.standard_normal((60, 16)) * 10
+    rows = [(i, (centers[i % 60] + rng.standard_normal(16) * 1e-3).tolist()) for i in range(600)]
+    out = got(ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), "vec_id", "embedding", lambda i: i % 20 == 0, recall=0.3))
+    assert len(out) == 30 and all(len(v) == 20 for v in out.values())
