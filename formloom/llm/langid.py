@@ -10,7 +10,7 @@ Bundling is linear: to learn, each task counts its documents' n-grams by languag
 n-gram, and vectors are made only of the sums. All sums are of whole numbers, so results don't depend on the order of rows.
 
 A null text, or one without letters, is `und` with score 0, as is all text where nothing was learned. Languages with a
-null name are not learned. Prototypes of all languages are sent to all tasks: D numbers a language.
+null name are not learned. Prototypes of all languages are sent to all tasks: D numbers a language, of LANGUAGES languages at most; more are an error.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ._shared import Scratch
 
-D, SEED = 1024, 20_011
+D, SEED, LANGUAGES = 1024, 20_011, 4096
 #: Letters with a place in a worker's table of n-grams, and n-grams with a vector there (4 KB each).
 LETTERS, GRAMS = 128, 25_000
 #: Code points that are handled at once: memory does not grow with a text.
@@ -150,6 +150,9 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict
 
     texts = df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).dropna()
     counts = Scratch(df.sparkSession, "langid").save(texts.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "counts")
+    many = counts.select("lang").distinct().count()
+    if many > LANGUAGES:
+        raise ValueError(f"{many} languages, and {LANGUAGES} at most can be held")
     parts = counts.mapInArrow(bundle, "lang string, v array<double>")
     summed = parts.select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
     vectors = summed.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v")).collect()
