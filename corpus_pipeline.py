@@ -15,31 +15,35 @@ def _whole(docs: DataFrame) -> DataFrame:
 
 
 def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
+    """Documents that the quality classifier keeps: a null or empty text is judged like any other, equal texts are judged alike, and documents with a
+    null id have no label. Of no documents none are kept."""
     judged = quality.classify(_whole(docs), tables(spark, sf_dir, "labels"), "_row.doc_id", "_row.text", carry=["_row"])
     return judged.where("keep").select("_row.*")
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, the one of smallest id (null ids last; of repeated rows one). Texts without words, null ones
+    too, are alike."""
     return simhash.distinct(docs).select(docs.columns)
 
 
 def anonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with surrogates for personal data; n_chars follows the new text."""
+    """Documents with surrogates for personal data; n_chars follows the new text. A null text stays null, and so does its n_chars. Equal
+    entities have equal surrogates in all documents."""
     replaced = pii.replace(docs.withColumnRenamed("n_entities", "_own_entities"), pii.key_of(spark)).drop("n_entities")
     replaced = replaced.withColumnRenamed("_own_entities", "n_entities")
     return replaced.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them: a row a copy. Texts without words stay once; a null source is a source of its own; which of
+    equally long documents get a copy more is by hash."""
     taken = mixture.mix(_whole(docs), "_row.doc_id", "_row.text", "_row.source")
     return taken.select("_row", F.explode(F.expr("array_repeat(1, cast(copies as int))")).alias("_copy")).select("_row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Placed pieces of at most 4096 tokens."""
+    """Placed pieces of at most 4096 tokens; a null text counts as empty, and copies of a document are packed each."""
     return packing.packed(docs)
 
 
