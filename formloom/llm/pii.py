@@ -152,23 +152,22 @@ def _pick(letters: str, n: Column) -> Column:
     return F.substr(F.lit(letters), n % len(letters) + 1, F.lit(1))
 
 
-def _disguise(key: str, kind: Column, value: Column, attempt: Column) -> Column:
+def _disguise(kind: Column, value: Column, stream: Column) -> Column:
     """Each digit and letter replaced by another of its sort."""
     hexadecimal = (kind == "secret") & value.rlike("^[0-9a-f]+$") & value.rlike("[a-f]")
 
-    def one(s, c, i):
-        n = _byte(s, i)
+    def one(c, i):
+        n = _byte(stream, i)
         letter = lambda name, test: F.when(F.lower(c).rlike(test), _pick(ALPHABETS[name], n))
         low = F.coalesce(letter("cyrillic", r"\p{IsCyrillic}"), letter("greek", r"\p{IsGreek}"), letter("latin", r"\p{L}"))
-        return (
+        return let(low, lambda own: (
             F.when(hexadecimal, _pick("0123456789abcdef", n))
             .when(c.rlike(r"\p{N}"), (n % 10).cast("string"))
-            .when(c.rlike(r"\p{Lu}"), F.upper(low))
-            .when(c.rlike(r"\p{L}"), low)
-            .otherwise(c)
-        )
+            .when(c.rlike(r"\p{Lu}"), F.upper(own))
+            .otherwise(F.coalesce(own, c))
+        ))
 
-    return let(_stream(key, kind, value, attempt), lambda s: F.array_join(F.transform(F.split(value, ""), lambda c, i: one(s, c, i)), ""))
+    return F.array_join(F.transform(F.split(value, ""), one), "")
 
 
 def _words(kind: Column, x: Column, attempt: Column) -> Column:
@@ -209,30 +208,36 @@ def _phone(value: Column, plain: Column) -> Column:
 
 
 def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
-    """The canonical form of a part's surrogate."""
-    s = _stream(key, kind, value, attempt)
+    """The canonical form of a part's surrogate. What several places need is worked out, and written into the plan, once."""
     more = F.floor(attempt / LONGER).cast("int")
-    longer = lambda v: F.when(more > 0, F.concat(v, F.repeat(F.lit("0"), more))).otherwise(v)
-    plain = _disguise(key, kind, longer(value), attempt)
-    local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
-    own = F.concat(F.substr(_disguise(key, kind, F.concat(longer(local), F.lit("@"), domain), attempt), F.lit(1), F.length(longer(local))), F.lit("@"), domain)
-    host = F.regexp_replace(value, r"\.[^.]+$", "")
-    named = F.concat(_disguise(key, kind, longer(host), attempt), F.substr(value, F.length(host) + 1))
-    kept = F.when(value.rlike("^[46]"), 1).when(F.startswith(value, F.lit("5")), 2).otherwise(4)
-    body = F.concat(F.substr(value, F.lit(1), kept), F.substr(plain, kept + 1, F.length(plain) - 1 - kept))
-    card = let(body, lambda b: F.concat(b, ((F.lit(10) - check_sum(F.concat(b, F.lit("0"))) % 10) % 10).cast("string")))
-    ssn = let(s, lambda x: F.concat(_number(x, 0, 1, 665, 3), _number(x, 3, 1, 99, 2), _number(x, 6, 1, 9999, 4), F.repeat(F.lit("0"), more)))
-    return (
-        F.when(kind == "local", own)
-        .when(kind == "domain", named)
-        .when(kind == "ip", let(s, lambda x: _ip(value, x, attempt)))
-        .when(kind == "card", card)
-        .when(kind == "ssn", ssn)
-        .when(kind == "phone", let(plain, lambda p: _phone(value, p)))
-        .when(kind == "key", F.concat(F.lit("AKIA"), plain.substr(F.lit(5), F.length(plain))))
-        .when(F.startswith(kind, F.lit("family")) | F.startswith(kind, F.lit("given")), let(s, lambda x: _words(kind, x, attempt)))
-        .otherwise(plain)
-    )
+    local, domain, host = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1), F.regexp_replace(value, r"\.[^.]+$", "")
+    taken = F.when(kind == "local", local).when(kind == "domain", host).otherwise(value)
+    longer = F.when(more > 0, F.concat(taken, F.repeat(F.lit("0"), more))).otherwise(taken)
+    # The local part's draw depends on its domain.
+    seed = F.when(kind == "local", F.concat(longer, F.lit("@"), domain)).otherwise(longer)
+
+    def drawn(p):
+        kept = F.when(value.rlike("^[46]"), 1).when(F.startswith(value, F.lit("5")), 2).otherwise(4)
+        body = F.concat(F.substr(value, F.lit(1), kept), F.substr(p, kept + 1, F.length(p) - 1 - kept))
+        card = let(body, lambda b: F.concat(b, ((F.lit(10) - check_sum(F.concat(b, F.lit("0"))) % 10) % 10).cast("string")))
+        return (
+            F.when(kind == "local", F.concat(p, F.lit("@"), domain))
+            .when(kind == "domain", F.concat(p, F.substr(value, F.length(host) + 1)))
+            .when(kind == "card", card)
+            .when(kind == "phone", _phone(value, p))
+            .when(kind == "key", F.concat(F.lit("AKIA"), p.substr(F.lit(5), F.length(p))))
+            .otherwise(p)
+        )
+
+    def chosen(x):
+        return (
+            F.when(kind == "ip", _ip(value, x, attempt))
+            .when(kind == "ssn", F.concat(_number(x, 0, 1, 665, 3), _number(x, 3, 1, 99, 2), _number(x, 6, 1, 9999, 4), F.repeat(F.lit("0"), more)))
+            .when(F.startswith(kind, F.lit("family")) | F.startswith(kind, F.lit("given")), _words(kind, x, attempt))
+            .otherwise(let(longer, lambda v: let(_disguise(kind, v, x), drawn)))
+        )
+
+    return let(_stream(key, kind, seed, attempt), chosen)
 
 
 def laid_out(kind: Column, e: Column, s: Column) -> Column:
@@ -315,7 +320,7 @@ def replace(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "te
         first = draw(key, p["kind"], p["value"], F.lit(0))
         return F.coalesce(known, first) if finals is not None else first
 
-    put = lambda e: F.when(e["kind"].isNull(), e["surface"]).otherwise(laid_out(e["kind"], e["surface"], F.transform(e["parts"], own)))
+    put = lambda e: F.when(e["kind"].isNull(), e["surface"]).otherwise(let(F.transform(e["parts"], own), lambda s: laid_out(e["kind"], e["surface"], s)))
     between = F.split(F.col(text_col), ENTITY, -1)
     written = F.array_join(F.zip_with(between, F.transform("_found", put), lambda gap, e: F.concat(gap, F.coalesce(e, F.lit("")))), "")
     count = F.size(F.filter("_found", lambda e: e["kind"].isNotNull()))
