@@ -74,13 +74,14 @@ def amount(df: DataFrame, col: str, out: str) -> DataFrame:
     """Money as [-]d.dd, half-even; null where it is none."""
     s = Steps(df, out)
     kept = F.regexp_replace(F.translate(strip(F.col(col)), "Oo—–", "00--"), r"[^0-9().,\-$]+", "")
+    kept = F.translate(kept, "()", "<>")
     text = s.put(F.ltrim(F.replace(F.replace(kept, F.lit(",,"), F.lit(",")), F.lit(".."), F.lit(".")), F.lit("$")))
     dotted = F.when(has(text, "."), F.translate(text, ",", ""))
-    text = s.put(dotted.when(text.rlike(r",\d\d\)?$"), F.translate(text, ",", ".")).otherwise(text))
+    text = s.put(dotted.when(text.rlike(r",\d\d>?$"), F.translate(text, ",", ".")).otherwise(text))
     marked = F.endswith(text, F.lit(".")) | F.endswith(text, F.lit(","))
     text = s.put(F.translate(F.when(marked, F.substr(text, F.lit(1), F.length(text) - 1)).otherwise(text), ",", ""))
-    bare = s.put(F.btrim(text, F.lit("()")))
-    minus = F.startswith(text, F.lit("(")) | F.endswith(text, F.lit(")")) | F.startswith(bare, F.lit("-"))
+    bare = s.put(F.btrim(text, F.lit("<>")))
+    minus = F.startswith(text, F.lit("<")) | F.endswith(text, F.lit(">")) | F.startswith(bare, F.lit("-"))
     digits = s.put(F.ltrim(bare, F.lit("-")))
     value = s.put(F.when(digits.rlike(r"^(\d+\.?\d*|\.\d+)$"), digits.try_cast("decimal(38,10)")))
     sign = F.when(minus & (value != 0), "-").otherwise("")

@@ -31,9 +31,37 @@ def write_splits(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("split").json(path)
 
 
-def write_pages(pages: DataFrame, path: str, key: str = "page_image") -> None:
-    """One folder of label text a page."""
-    pages.select(key, "value").write.mode("overwrite").partitionBy(key).text(path)
+def write_pages(pages: DataFrame, path: str, key: str = "page_image") -> DataFrame:
+    """One label file a page, named after its image. Returns the files' names."""
+
+    def run(batches):
+        import os
+
+        import pandas as pd
+        from pyarrow import fs
+
+        for pdf in batches:
+            made = []
+            for image, value in zip(pdf[key], pdf["value"]):
+                target = f"{path}/{os.path.splitext(os.path.basename(image))[0]}.txt"
+                place, at = fs.FileSystem.from_uri(target) if "://" in target or target.startswith("file:/") else (fs.LocalFileSystem(), target)
+                place.create_dir(os.path.dirname(at), recursive=True)
+                with place.open_output_stream(at) as out:
+                    out.write(value.encode())
+                made.append(target)
+            yield pd.DataFrame({"file": made})
+
+    return pages.select(key, "value").mapInPandas(run, "file string")
+
+
+def write_failures(review: DataFrame, path: str, base: str | None = None) -> DataFrame | None:
+    """The failure review as CSV, and with `base` the crops beside it, under their own names; of several of a name one stays."""
+    shown = {c: F.array_join(c, "; ") for c, t in review.dtypes if t == "array<string>"}
+    review.select(*(shown.get(c, F.col(c)).alias(c) for c in review.columns)).write.mode("overwrite").csv(f"{path}/review", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    if base is None or "CropPath" not in review.columns:
+        return None
+    crops = review.where("CropPath <> ''").select("CropPath", F.concat(F.lit(f"{path}/crops/"), F.substring_index("CropPath", "/", -1)).alias("target"))
+    return copied(crops.groupBy("target").agg(F.min("CropPath").alias("CropPath")), "CropPath", "target", base)
 
 
 def append_labels(rows: DataFrame, path: str, web: bool = True) -> None:

@@ -306,6 +306,22 @@ def test_copies(spark, tmp_path):
     assert (tmp_path / "out" / "deep" / "b.png").read_bytes() == b"a" and (tmp_path / "out" / "there.png").read_bytes() == b"old"
 
 
+def test_files_of_pages_and_failures(spark, tmp_path):
+    pages = spark.createDataFrame([("img/a.png", "1 0.5"), ("img/b.c.jpg", "2 0.5\n3 0.1")], "page_image string, value string")
+    assert sinks.write_pages(pages, f"{tmp_path}/labels").count() == 2
+    assert {p.name: p.read_text() for p in (tmp_path / "labels").iterdir()} == {"a.txt": "1 0.5", "b.c.txt": "2 0.5\n3 0.1"}
+    (tmp_path / "crops").mkdir()
+    (tmp_path / "crops" / "x.png").write_bytes(b"x")
+    rows = [("T", "9", ["empty", "b"], "crops/x.png", False, None), ("T", "8", ["low_conf<0.35"], None, True, "08:00"), ("T", "7", [], "crops/none.png", True, "07:00")]
+    df = spark.createDataFrame(rows, "TimesheetID string, RawText string, Warnings array<string>, CropPath string, IsValid boolean, NormalizedTime string")
+    review = validate.review(validate.failures(df))
+    assert review.columns == ["TimesheetID", "RawText", "PrecleanedCandidate", "NormalizedTime", "Reason", "CropPath", "Warnings"] and review.count() == 2
+    done = sinks.write_failures(review, f"{tmp_path}/out", str(tmp_path)).collect()
+    assert [r.done for r in done] == ["copied"] and (tmp_path / "out" / "crops" / "x.png").exists()
+    back = spark.read.csv(f"{tmp_path}/out/review", header=True, escape='"').orderBy("RawText").collect()
+    assert [(r.Reason, r.Warnings) for r in back] == [("low_conf<0.35", "low_conf<0.35"), ("empty", "empty; b")]
+
+
 def test_sums_before(spark):
     rows = [((i * 7919) % 1000 // 3, i, i % 5) for i in range(1000)]
     df = spark.createDataFrame(rows, "k long, t long, v long").repartition(5)
