@@ -41,7 +41,7 @@ from ._shared import Scratch, components
 
 BITS = 64
 #: Entries of two chunks of a shard, which a task holds at most; fewer where pairs are compared by their sets.
-TREE, TREE_OF_SETS = 2048, 512
+TREE, TREE_OF_SETS = 2048, 256
 #: Permutations, hashes kept of a set, and radius, of `distinct`; margins above and below the similarity within which estimates don't decide.
 ANCHORS, BOTTOM, WIDE, SURE, UNLIKELY = 5, 96, 28, 0.12, 0.14
 #: Shards get so many bits that this many random entries are expected in one.
