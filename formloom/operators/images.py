@@ -203,6 +203,18 @@ def thumbnail(gray, width: int = 380, height: int = 120) -> str:
     return "data:image/png;base64," + base64.b64encode(png(out)).decode()
 
 
+def outlined(gray, boxes, value: int = 0):
+    """The image with boxes (x, y, w, h) drawn one pixel wide, for looking at detections and grids."""
+    out, (height, width) = gray.copy(), gray.shape
+    for x, y, w, h in boxes:
+        x1, y1 = int(max(0, x)), int(max(0, y))
+        x2, y2 = int(min(width - 1, x + w)), int(min(height - 1, y + h))
+        if x1 <= x2 and y1 <= y2:
+            out[[y1, y2], x1 : x2 + 1] = value
+            out[y1 : y2 + 1, [x1, x2]] = value
+    return out
+
+
 def homography(source, target, reach: float = 5.0, tries: int = 500, least: int = 8):
     """The 3 by 3 map of matched points (n, 2) that most of them agree on within `reach` pixels, fitted to those; None for fewer matches than
     `least`. Which points are tried does not depend on chance."""

@@ -396,6 +396,11 @@ def test_thumbnails(spark):
     assert bytes(images.cleaned(df).first().content) == images.prepared(gray).tobytes()
 
 
+def test_boxes_are_drawn():
+    out = images.outlined(np.full((20, 30), 255, np.uint8), [(5, 4, 10, 6), (-3, -3, 5, 5), (40, 40, 5, 5)])
+    assert (out[4, 5:16] == 0).all() and (out[4:11, 15] == 0).all() and out[6, 8] == 255 and (out == 0).sum() == 2 * 11 + 2 * 5 + 8
+
+
 def test_registration():
     rng = np.random.RandomState(3)
     want = np.array([[1.05, 0.02, 12.0], [-0.03, 0.97, -7.0], [1e-5, 2e-5, 1.0]])
@@ -419,5 +424,9 @@ def test_command_line(spark, tmp_path):
     rows = spark.read.csv(f"{tmp_path}/out/detail", header=True, escape='"').orderBy("Row").collect()
     assert [(r.TimesheetID, r.Row, r.NormalizedTime, r.IsValid) for r in rows] == [("sheet1", "1", None, "False"), ("sheet1", "2", "09:30", "True")]
     assert rows[0].Warnings == "unparsable('x'); low_conf<0.35; invalid_time" and spark.read.csv(f"{tmp_path}/out/summary", header=True).first().PctValid == "0.5"
+    (tmp_path / "d.jsonl").write_text('{"page_id":"p","det_idx":0,"cls":"in_am","x":400,"y":495,"w":50,"h":30,"score":0.9}\n{"page_id":"p","det_idx":1,"cls":"in_am","x":400,"y":495,"w":50,"h":30,"score":0.1}\n')
+    main(["page", "--detections", str(tmp_path / "d.jsonl"), "--out", str(tmp_path / "pages")])
+    doc = json.loads(spark.read.text(f"{tmp_path}/pages").first().value)
+    assert len(doc["detections"]) == 1 and doc["grid"]["0,1"]["score"] == 0.9 and doc["grid"]["0,0"] is None
     main(["label", "--log", str(tmp_path / "log"), "--crop", "c", "--label", "9:31"])
     assert records.label_log(spark, str(tmp_path / "log")).first().label == "9:31"

@@ -10,13 +10,14 @@ from formloom.plans import oracle, queries
 TABLES = "region nation customer supplier part orders lineitem events documents conversations".split()
 
 
-@pytest.fixture(scope="module")
-def con(sf):
+@pytest.fixture(scope="module", params=["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def tables(request):
+    """A folder of tables, and DuckDB over them."""
     c = duckdb.connect()
     c.sql("set timezone = 'UTC'")
     for t in TABLES:
-        c.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
-    return c
+        c.sql(f"create view {t} as select * from '{request.param}/{t}.parquet'")
+    return request.param, c
 
 
 def normal(v):
@@ -31,7 +32,8 @@ def rows(names, data):
 
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
-def test_query(spark, sf, con, name):
+def test_query(spark, tables, name):
+    sf, con = tables
     df = queries.QUERIES[name](spark, sf)
     got = df.collect()
     if name not in oracle.SQL:
