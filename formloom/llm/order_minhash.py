@@ -3,8 +3,8 @@
 A text's k-mers are its runs of K code points (a shorter text is one k-mer; an empty or null text has none), each
 with its occurrence number. Each (k-mer, occurrence) is hashed by itself, however often the k-mer occurs: the hash gives
 its sketch, one of SKETCHES, and its order value. Each sketch keeps the TUPLE smallest of all. A sketch with fewer than TUPLE (short
-texts have such) takes the smallest of the whole text under a hash of its own instead, so that no sketch is empty. The kept ones of a
-sketch are put into text order and hashed as a tuple. Likeness is the share of equal tuples, and 1 for two texts without k-mers, whose
+texts have such) borrows the first ones that the next sketches kept, around the circle of sketches (densification by rotation), so that no sketch is
+empty. The kept ones of a sketch are put into text order and hashed as a tuple. Likeness is the share of equal tuples, and 1 for two texts without k-mers, whose
 sketches are zeros.
 
 Work: one pass hashes all k-mers, and a sort brings equal ones together and those of small order value to the front. Of these the first
@@ -78,12 +78,13 @@ def signature(df: DataFrame, text_col: str, out: str) -> DataFrame:
     full = SKETCHES * TUPLE
     enough = f"size(_first) = {full} or _cut = {MOST}L"
     df = df.withColumn("_all", F.expr(f"if({enough}, _few, sort_array({of(_chosen(f'{MOST}L'))}))")).withColumn("_first", F.expr(f"if({enough}, _first, {first('_all')})"))
-    own = "filter(a, x -> shiftright(x, 57) = b)"
-    other = f"slice(sort_array(transform(k, x -> {_key('xxhash64(shiftright(x, 29), b)', f'x & {PLACE}L')})), 1, {TUPLE})"
-    single = "shiftrightunsigned(xxhash64(shiftright(q[0], 29)), 32) | 1"
-    tuple_ = _let("o", own, _let("q", f"if(size(o) = {TUPLE}, o, {other})", f"if(size(q) = 1, {single}, {_pair('q[0]', 'q[1]')})"))
+    # How many kept ones are of sketches before: a sketch's own begin there, or those of the next ones that have some.
+    at = f"aggregate(steps, 0, (at, step) -> if(shiftright(get(a, at + step - 1), 57) < b, at + step, at))"
+    single = "shiftrightunsigned(xxhash64(shiftright(a[0], 29)), 32) | 1"
+    tuple_ = _let("i", at, f"if(size(a) = 1, {single}, {_pair('a[i % size(a)]', 'a[(i + 1) % size(a)]')})")
     sketches = f"sequence(0, {SKETCHES - 1})"
-    made = f"case size(a) when 0 then transform({sketches}, b -> 0L) when {full} then transform({sketches}, b -> {_pair('a[2 * b]', 'a[2 * b + 1]')}) else {_let('k', '_all', f'transform({sketches}, b -> {tuple_})')} end"
+    found = _let("steps", f"array({', '.join(str(1 << i) for i in range(7, -1, -1))})", f"transform({sketches}, b -> {tuple_})")
+    made = f"case size(a) when 0 then transform({sketches}, b -> 0L) when {full} then transform({sketches}, b -> {_pair('a[2 * b]', 'a[2 * b + 1]')}) else {found} end"
     return df.withColumn(out, F.expr(_let("a", "_first", made))).drop("_points", "_n", "_cut", "_keys", "_few", "_first", "_all")
 
 

@@ -29,12 +29,11 @@ def brute(text):
         if seen[kmer] > 1:
             place = bits(h_int(h_long(place), seen[kmer]))
         items.append(((place & 63) << 28 | place >> 6, i))
+    kept = [sorted(x for x in items if x[0] >> 28 == b)[: om.TUPLE] for b in range(om.SKETCHES)]
     out = []
     for b in range(om.SKETCHES) if items else ():
-        own = sorted(x for x in items if x[0] >> 28 == b)
-        if len(own) < om.TUPLE:
-            own = sorted((bits(h_int(h_long(p), b)), i) for p, i in items)
-        out.append(h_long(*(p for p, _ in sorted(own[: om.TUPLE], key=lambda x: x[1]))) >> 32 | 1)
+        around = [x for c in range(om.SKETCHES) for x in kept[(b + c) % om.SKETCHES]][: om.TUPLE]
+        out.append(h_long(*(p for p, _ in sorted(around, key=lambda x: x[1]))) >> 32 | 1)
     return out or [0] * om.SKETCHES
 
 

@@ -138,8 +138,9 @@ def test_collisions_are_drawn_again(spark):
     assert len(there) == 81 and len(set(there.values())) == 81 and not set(there) & set(there.values())
 
 
-def test_formats_that_run_out_get_longer(spark):
+def test_formats_that_run_out_get_longer(spark, monkeypatch):
     """All domains of one letter are taken, so that no free one is left."""
+    monkeypatch.setattr(pii, "LONGER", 2)
     rows = [(i, f"me@{c}.com you@{c}.com") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
     out = run(spark.createDataFrame(rows, "doc_id long, text string"))
     domains = [re.findall(r"@(\S+)", new) for _, new, _ in out]
